@@ -69,7 +69,7 @@ def length_histogram(
     limits = lengths.groupBy(label).agg(
         F.min(length).cast("double").alias("lo"),
         F.percentile(length, F.lit(clip), F.col("n")).alias("hi"))
-    clipped = lengths.join(F.broadcast(limits), label)
+    clipped = lengths.join(limits, label)
     value = F.least(F.col(length).cast("double"), F.col("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     place = F.when(width > 0, F.floor((value - F.col("lo")) / width)).otherwise(F.lit(0))

@@ -155,15 +155,21 @@ def fit_cuts(
 def _keys_at(
     keys: DataFrame, located: Mapping, levels: Sequence[str], key_names: Sequence[str],
 ) -> dict:
-    """The key at the wanted place of each located slice."""
-    slice_order = Window.partitionBy("_stratum", *levels).orderBy(*key_names)
-    places = sorted({rest for _, rest, _ in located.values()})
-    rows = (
+    """The key at the wanted place of each located slice.
+
+    Rows with equal keys are combined first, so the task that walks a slice sees its distinct
+    keys only, however many copies a key has.
+    """
+    in_slice = Window.partitionBy("_stratum", *levels).orderBy(*key_names)
+    counted = (
         keys.filter(_any_slice(located, len(levels)))
-        .withColumn("_place", F.row_number().over(slice_order))
-        .filter(F.col("_place").isin(*places))
-        .collect()
+        .groupBy("_stratum", *levels, *key_names).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_end", F.sum("_n").over(in_slice))
     )
+    places = F.array(*[F.lit(rest) for rest in sorted({r for _, r, _ in located.values()})])
+    held = F.filter(
+        places, lambda p: (p <= F.col("_end")) & (p > F.col("_end") - F.col("_n")))
+    rows = counted.withColumn("_place", F.explode(held)).collect()
     by_place = {
         (row["_stratum"], tuple(row[name] for name in levels), row["_place"]):
             tuple(row[name] for name in key_names)

@@ -9,14 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlake.operators.tokens import process_text
 from textlake.functions.text import normalize_text
+from textlake.operators.tokens import process_text
+from textlake.sources import readers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table whose rows are about to be worked on heavily, on all cores."""
+    return readers.spread(table(spark, sf_dir, name))
+
+
 def raw_date(timestamp: Column, kind: Column) -> Column:
     """A timestamp written in one of several layouts, or as junk, depending on ``kind``."""
     return (
@@ -30,7 +36,7 @@ def raw_date(timestamp: Column, kind: Column) -> Column:
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, content, domain, type`` with a numeric label, null where there is none."""
-    documents = table(spark, sf_dir, "documents").select(
+    documents = texts(spark, sf_dir).select(
         "doc_id", F.col("text").alias("content"), F.col("source").alias("domain"))
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", (1 - F.col("quality")).alias("type"))
@@ -39,7 +45,7 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw article table: text labels, mixed date layouts, missing values, unused columns."""
-    documents = table(spark, sf_dir, "documents")
+    documents = texts(spark, sf_dir)
     labels = table(spark, sf_dir, "labels")
     scraped = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"),
@@ -78,7 +84,7 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as statements with six-way labels, some unknown and some null."""
     labels = F.array(*[F.lit(label).cast("string") for label in TURN_LABELS])
     place = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(len(TURN_LABELS))).cast("int") + 1
-    return table(spark, sf_dir, "conversations").select(
+    return texts(spark, sf_dir, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"),
         F.element_at(labels, place).alias("label"),
         F.col("text").alias("statement"),

@@ -32,15 +32,6 @@ def _check_method(method: str) -> None:
         raise ValueError(f"Unsupported split_method: {method}")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all tasks when the input has fewer files than the cluster has cores.
-
-    Quoted line breaks make a CSV file one task; the text work after it need not be.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def prepare_articles(df: DataFrame) -> DataFrame:
     """Clean, normalise and process a raw article table: one map-only plan."""
     return add_processed(cleaning.normalize_columns(cleaning.clean_rows(df)))
@@ -65,7 +56,7 @@ def clean_and_split(
     cleaning.required_columns(raw)
     kept = cleaning.drop_null_only_columns(cleaning.drop_bookkeeping(raw))
     totals = Observation("cleaning")
-    rows = _spread(kept) if input_path.rstrip("/").endswith(".csv") else kept
+    rows = readers.spread(kept)
     observed = rows.observe(totals, *cleaning.summary_metrics(rows))
     writers.write_table(prepare_articles(observed), output_path)
     writers.require_rows(spark, output_path)

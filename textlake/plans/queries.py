@@ -53,7 +53,7 @@ def _stamp(timestamp: Column) -> Column:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.table(spark, sf_dir, "documents")
+    return corpus.texts(spark, sf_dir)
 
 
 def _on_documents(step: Callable[[Column], Column]) -> Query:
@@ -62,7 +62,7 @@ def _on_documents(step: Callable[[Column], Column]) -> Query:
 
 
 def _on_pages(step: Callable[[Column], Column]) -> Query:
-    return lambda spark, sf_dir: corpus.table(spark, sf_dir, "pages").select(
+    return lambda spark, sf_dir: corpus.texts(spark, sf_dir, "pages").select(
         "page_id", step(F.concat_ws(" ", "url", "html")).alias("result"))
 
 
@@ -560,17 +560,19 @@ def assemble_features(spark, sf_dir):
 # --- models ---------------------------------------------------------------------------------------------
 
 
-def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.processed_documents(spark, sf_dir).filter(F.col("type").isNotNull())
+def _processed_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Labelled documents, processed once and stored as train, validation and test parts."""
+    titles = corpus.articles(spark, sf_dir).select(F.col("id").cast("long").alias("id"), "title")
+    rows = corpus.processed_documents(spark, sf_dir).filter(F.col("type").isNotNull())
+    stored = writers.write_table(rows.join(titles, "id"), scratch_path(spark, "processed"))
+    split = splits.stratified_split(spark.read.parquet(stored), "type")
+    paths = writers.write_splits(split, scratch_path(spark, "parts"), "documents")
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Train and validation rows of the labelled documents."""
-    labels = corpus.table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("id"), (1 - F.col("quality")).alias("type"))
-    assigned = splits.stratified_split(labels, "type").select("id", "split")
-    rows = _training_rows(spark, sf_dir).join(assigned, "id")
-    return rows.filter("split = 'train'"), rows.filter("split = 'val'")
+    parts = _processed_parts(spark, sf_dir)
+    return parts["train"], parts["val"]
 
 
 SMALL_TREES = {"trees": 5, "depth": 4}
@@ -603,9 +605,7 @@ def feature_set_comparison(spark, sf_dir):
 
 @query
 def tune_results(spark, sf_dir):
-    rows = corpus.articles(spark, sf_dir).select("id", "title")
-    train = _training_rows(spark, sf_dir).withColumn("id", F.col("id").cast("string")).join(
-        rows, "id")
+    train, _ = _parts(spark, sf_dir)
     grid = {"trees": [2, 3], "depth": [2, 3], "learning_rate": [0.1, 0.2],
             "row_share": [1.0], "column_share": [0.9]}
     scores, _ = jobs.tune_job(train, grid, n_settings=2, folds=3, n_samples=300)

@@ -116,6 +116,15 @@ def read_table(
     return df.select(*[F.col(f"`{name}`") for name in columns]) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread the rows of a scan over all cores if it has fewer partitions than cores.
+
+    For small or unsplittable inputs ahead of heavy text work; a large table is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def first_rows(df: DataFrame, n: int, key: str = "id") -> DataFrame:
     """The n rows with the smallest key: a repeatable stand-in for 'the first n lines'."""
     return df.orderBy(key).limit(n)

@@ -2,50 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SPLITS = ("train", "val", "test")
 
 
-def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
-    """Write a table as parquet or as CSV with one header per part file."""
-    writer = df.write.mode("overwrite")
+def _csv_ready(df: DataFrame) -> DataFrame:
+    return df.select(*[
+        F.date_format(f"`{name}`", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX").alias(name)
+        if kind == "timestamp" else F.col(f"`{name}`")
+        for name, kind in df.dtypes
+    ])
+
+
+def _writer(df: DataFrame, file_format: str) -> DataFrameWriter:
     if file_format == "parquet":
-        writer.parquet(path)
-    elif file_format == "csv":
-        flat = df.select(*[
-            F.date_format(f"`{name}`", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX").alias(name)
-            if kind == "timestamp" else F.col(f"`{name}`")
-            for name, kind in df.dtypes
-        ])
-        flat.write.mode("overwrite").option("header", True).option("escape", '"').option(
-            "quoteAll", True).option("emptyValue", "").csv(path)
-    else:
-        raise ValueError(f"Unsupported file format: {file_format}")
+        return df.write.mode("overwrite").format("parquet")
+    if file_format == "csv":
+        return (
+            _csv_ready(df).write.mode("overwrite").format("csv")
+            .option("header", True).option("escape", '"').option("quoteAll", True)
+        )
+    raise ValueError(f"Unsupported file format: {file_format}")
+
+
+def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
+    """Write a table as parquet, or as CSV with one header per part file."""
+    _writer(df, file_format).save(path)
     return path
 
 
 def write_splits(
     df: DataFrame, output_dir: str, prefix: str, file_format: str = "parquet",
 ) -> dict[str, str]:
-    """Write the rows of each split to ``{prefix}_{split}`` and return the three paths."""
-    paths = {}
-    for split in SPLITS:
-        path = f"{output_dir.rstrip('/')}/{prefix}_{split}"
-        if file_format == "csv":
-            path += ".csv"
-        rows = df.filter(F.col("split") == split).drop("split")
-        paths[split] = write_table(rows, path, file_format)
+    """Write all splits in one pass over the rows and return a path per split.
+
+    The parts are the ``split=...`` directories of ``{output_dir}/{prefix}_splits``. A split
+    without rows is written as an empty table.
+    """
+    root = f"{output_dir.rstrip('/')}/{prefix}_splits" + (".csv" * (file_format == "csv"))
+    seen = Observation("splits")
+    counted = df.observe(
+        seen, *[F.count_if(F.col("split") == split).alias(split) for split in SPLITS])
+    _writer(counted, file_format).partitionBy("split").save(root)
+    paths = {split: f"{root}/split={split}" for split in SPLITS}
+    for split, path in paths.items():
+        if seen.get[split] == 0:
+            write_table(df.drop("split").limit(0), path, file_format)
     return paths
 
 
-def write_partitioned_splits(df: DataFrame, path: str) -> str:
-    """All splits in one pass over the rows, one directory per split."""
-    df.write.mode("overwrite").partitionBy("split").parquet(path)
-    return path
-
-
 def require_rows(spark: SparkSession, path: str) -> None:
     """Raise if a written parquet table holds no row."""
     if spark.read.parquet(path).isEmpty():
