@@ -55,14 +55,29 @@ def _drop(word: Column, count: int) -> Column:
     return F.substring(word, F.lit(1), F.length(word) - count)
 
 
-def _mark_consonant_y(word: Column) -> Column:
-    """Strip apostrophes and write a y that acts as a consonant as Y."""
+def _exceptions() -> dict[str, str]:
+    both = {form: word for word in UNCHANGED_IN_BOTH_NUMBERS for form in (word, word + "s")}
+    return SPECIAL | both
+
+
+# Ends a word that is already a stem: no suffix rule matches it.
+FINISHED = "\x01"
+
+
+def _prepare(word: Column) -> Column:
+    """Finish exceptional words; strip apostrophes and write a consonant y as Y in the others."""
+    exceptions = _exceptions()
+    looked_up = F.create_map(*[F.lit(x) for pair in exceptions.items() for x in pair])
     bare = F.when(
         word.contains("'"), F.regexp_replace(word, r"^'|'(?:s'?)?$", "")).otherwise(word)
-    return F.when(
-        bare.contains("y"),
-        F.regexp_replace(F.regexp_replace(bare, "^y", "Y"), "([aeiouy])y", "$1Y"),
-    ).otherwise(bare)
+    return (
+        F.when(F.length(word) <= 2, F.concat(word, F.lit(FINISHED)))
+        .when(word.isin(*exceptions),
+              F.concat(F.try_element_at(looked_up, word), F.lit(FINISHED)))
+        .when(word.contains("y"),
+              F.regexp_replace(F.regexp_replace(bare, "^y", "Y"), "([aeiouy])y", "$1Y"))
+        .otherwise(bare)
+    )
 
 
 def _plural(word: Column) -> Column:
@@ -148,8 +163,16 @@ def _final_e_or_l(word: Column) -> Column:
     )
 
 
+def _finish(word: Column) -> Column:
+    return (
+        F.when(word.endswith(FINISHED), _drop(word, 1))
+        .when(word.contains("Y"), F.replace(word, F.lit("Y"), F.lit("y")))
+        .otherwise(word)
+    )
+
+
 STEPS = [
-    _mark_consonant_y,
+    _prepare,
     _plural,
     _past_and_gerund,
     _final_y,
@@ -162,26 +185,15 @@ STEPS = [
     }),
     _rewriter(STEP_4, OPENS_R2, {"ion": lambda word: word.rlike("[st]ion$")}),
     _final_e_or_l,
+    _finish,
 ]
 
 
-def _exceptions() -> dict[str, str]:
-    both = {form: word for word in UNCHANGED_IN_BOTH_NUMBERS for form in (word, word + "s")}
-    return SPECIAL | both
-
-
 def stem_words(words: Column) -> Column:
     """Stem every word of an array of lower-case words, keeping order and repetitions."""
-    stems = words
     for step in STEPS:
-        stems = F.transform(stems, step)
-    exceptions = _exceptions()
-    looked_up = F.create_map(*[F.lit(x) for pair in exceptions.items() for x in pair])
-    return F.zip_with(words, stems, lambda word, stem: (
-        F.when(F.length(word) <= 2, word)
-        .when(word.isin(*exceptions), F.try_element_at(looked_up, word))
-        .otherwise(F.translate(stem, "Y", "y"))
-    ))
+        words = F.transform(words, step)
+    return words
 
 
 def stem(word: Column) -> Column:

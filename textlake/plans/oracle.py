@@ -27,6 +27,13 @@ def _list(values) -> str:
 
 STOP = _list(ENGLISH)
 
+# RE2 knows ASCII blanks only, so the blanks of Unicode are listed.
+_BLANK = (
+    r" \t-\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
+BLANKS, TOKEN = f"[{_BLANK}]+", f"[^{_BLANK}]+"
+URL = T.URL.replace(r"\S+", TOKEN)
+
 
 def _replace(text: str, pattern: str, replacement: str) -> str:
     return f"regexp_replace({text}, {_text(pattern)}, {_text(replacement)}, 'g')"
@@ -55,11 +62,11 @@ def _dashes(text: str) -> str:
 
 
 def _squeezed(text: str) -> str:
-    return f"trim({_replace(text, T.BLANKS, ' ')})"
+    return f"trim({_replace(text, BLANKS, ' ')})"
 
 
 def _normalized(text: str) -> str:
-    step = _replace(_folded(f"coalesce({text}, '')"), T.URL, T.URL_TOKEN)
+    step = _replace(_folded(f"coalesce({text}, '')"), URL, T.URL_TOKEN)
     step = _dashes(_replace(step, T.DATE, T.DATE_TOKEN))
     step = _replace(_numbers(_emails(step)), r"\p{P}", "")
     return _squeezed(f"lower({step})")
@@ -265,7 +272,7 @@ ORACLE_SQL["preview_sample"] = f"""SELECT id, substring(content, 1, 500) AS prev
 
 # --- text scalars --------------------------------------------------------------------------------------
 
-_step("norm_url", PAGE, "page_id", _replace("text", T.URL, T.URL_TOKEN))
+_step("norm_url", PAGE, "page_id", _replace("text", URL, T.URL_TOKEN))
 _step("norm_date", "documents", "doc_id", _replace(_folded("text"), T.DATE, T.DATE_TOKEN))
 _step("norm_dash", PAGE, "page_id", _dashes("text"))
 _step("norm_ascii", "documents", "doc_id", _folded("text"))
@@ -283,10 +290,10 @@ _GRAMS = """list_concat(words, list_transform(range(1, len(words)),
   lambda i: words[i] || ' ' || words[i + 1]))"""
 _WORDS = f"(SELECT doc_id, {_without_stops(_MODEL_WORDS)} AS words FROM documents)"
 _step("word_bigrams", _WORDS, "doc_id", f"array_to_string({_GRAMS}, '|')")
-_step("count_urls", PAGE, "page_id", _matches("text", T.URL))
+_step("count_urls", PAGE, "page_id", _matches("text", URL))
 _step("count_dates", "documents", "doc_id", _matches(_as_ascii_word("text"), T.DATE))
 _step("count_numbers", "documents", "doc_id", _matches(_as_ascii_word("text"), T.WHOLE_NUMBER))
-_step("token_length", "documents", "doc_id", _matches("text", T.TOKEN))
+_step("token_length", "documents", "doc_id", _matches("text", TOKEN))
 ORACLE_SQL["normalize_columns"] = f"""SELECT page_id, md5(html) AS content_md5,
   {_normalized('html')} AS content_normalized, {_normalized('url')} AS title_normalized
   FROM pages"""
@@ -297,10 +304,10 @@ ORACLE_SQL["style_features"] = f"""SELECT id,
   round((length(content) - length(replace(content, '?', ''))) / (length(content) + 1), 6)
     AS question_density,
   words AS content_word_count,
-  round(CASE WHEN words > 0 THEN length({_replace('content', T.BLANKS, '')}) / words
+  round(CASE WHEN words > 0 THEN length({_replace('content', BLANKS, '')}) / words
         ELSE 0 END, 6) AS avg_word_length,
   round(length(coalesce(title, '')) / (length(content) + 1), 6) AS title_content_ratio
-  FROM (SELECT id, title, content, {_matches('content', T.TOKEN)} AS words FROM {ARTICLES})"""
+  FROM (SELECT id, title, content, {_matches('content', TOKEN)} AS words FROM {ARTICLES})"""
 assert all(name in ORACLE_SQL["style_features"] for name in STYLE_FEATURES)
 
 # --- stemming -------------------------------------------------------------------------------------------
@@ -435,7 +442,7 @@ ORACLE_SQL["vocabulary_reduction"] = f"""{_STAGES}
     round((raw - stemmed) * 100 / raw, 6) AS total_reduction FROM ({_SIZES})"""
 ORACLE_SQL["label_distribution"] = f"""SELECT type, count(*) AS n,
   round(count(*) * 100 / sum(count(*)) OVER (), 6) AS percent FROM {LABELLED} GROUP BY type"""
-_SIZED = f"""(SELECT type, {_matches('content', T.TOKEN)} AS v FROM {LABELLED}
+_SIZED = f"""(SELECT type, {_matches('content', TOKEN)} AS v FROM {LABELLED}
   WHERE type IS NOT NULL)"""
 ORACLE_SQL["length_stats"] = f"""SELECT type, count(*) AS n, round(avg(v), 6) AS mean,
   round(median(v), 6) AS median, round(quantile_cont(v, 0.95), 6) AS p95, max(v) AS maximum
@@ -462,7 +469,7 @@ ORACLE_SQL["top_words_processed"] = f"""WITH
 ORACLE_SQL["rank_frequency"] = f"""WITH {_DOCUMENT_TERMS}
   SELECT row_number() OVER (ORDER BY n DESC, term)::INTEGER AS rank, term, n FROM (
     SELECT term, count(*) AS n FROM tokens GROUP BY term ORDER BY n DESC, term LIMIT 10000)"""
-_ARTEFACTS = f"""(SELECT type, {_matches('content', T.URL)} AS url_count,
+_ARTEFACTS = f"""(SELECT type, {_matches('content', URL)} AS url_count,
   {_matches(_as_ascii_word('content'), T.DATE)} AS date_count,
   {_matches(_as_ascii_word('content'), T.WHOLE_NUMBER)} AS number_count FROM {LABELLED})"""
 _LONG = f"""(SELECT type, feature, value FROM {_ARTEFACTS}
@@ -525,7 +532,7 @@ ORACLE_SQL["map_chunks_with_terms"] = f"""SELECT DISTINCT role AS name, unnest(w
 # --- features -------------------------------------------------------------------------------------------
 
 ORACLE_SQL["metadata_features"] = f"""SELECT id, url_count, number_count, article_length FROM
-  (SELECT id, {_matches('content', T.URL)} AS url_count,
+  (SELECT id, {_matches('content', URL)} AS url_count,
     {_matches(_as_ascii_word('content'), T.WHOLE_NUMBER)} AS number_count,
     len({_without_stops(_normal_tokens('content'))})::INTEGER AS article_length FROM {LABELLED})"""
 
@@ -542,8 +549,8 @@ ORACLE_SQL["bow_counts"] = f"""WITH {_bow(300)}
   SELECT doc_id, term, count(*) AS n FROM tokens JOIN vocab USING (term) GROUP BY doc_id, term"""
 ORACLE_SQL["assemble_features"] = f"""WITH {_bow(300)},
   counted AS (SELECT doc_id, count(*) AS n FROM tokens JOIN vocab USING (term) GROUP BY doc_id)
-  SELECT doc_id, 303 AS width, (coalesce(n, 0) + {_matches('text', T.URL)}
-    + {_matches(_as_ascii_word('text'), T.WHOLE_NUMBER)} + {_matches('text', T.TOKEN)})::BIGINT
+  SELECT doc_id, 303 AS width, (coalesce(n, 0) + {_matches('text', URL)}
+    + {_matches(_as_ascii_word('text'), T.WHOLE_NUMBER)} + {_matches('text', TOKEN)})::BIGINT
     AS total FROM documents LEFT JOIN counted USING (doc_id)"""
 _TFIDF = f"""WITH grams AS (SELECT doc_id, unnest({_GRAMS}) AS term FROM {_WORDS}),
   counts AS (SELECT doc_id, term, count(*) AS n FROM grams GROUP BY doc_id, term),
