@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from textlake.functions import text as T
 from textlake.operators import cleaning, splits
 from textlake.plans import jobs
 from textlake.sources import writers
@@ -143,4 +142,3 @@ def test_cleaning_keeps_columns_that_only_some_rows_fill(spark):
         [("1", "fake", "a", None), ("2", "fake", "b", "x")],
         "id string, type string, content string, tags string")
     assert "tags" in cleaning.initial_cleaning(df).columns
-    assert T.text_or_empty(F.lit(None)) is not None

@@ -121,9 +121,14 @@ def normalize_text(text: Column) -> Column:
 # --- tokens --------------------------------------------------------------------
 
 
+def split_normalized(text: Column) -> Column:
+    """Tokens of text whose blanks are single spaces already, as the normaliser leaves them."""
+    return F.array_remove(F.split(text_or_empty(text), " "), "")
+
+
 def tokenize(text: Column) -> Column:
     """Whitespace tokens; empty or null text gives an empty array."""
-    return F.array_remove(F.split(squeeze_blanks(text_or_empty(text)), " "), "")
+    return split_normalized(squeeze_blanks(text_or_empty(text)))
 
 
 def split_contracted(text: Column) -> Column:

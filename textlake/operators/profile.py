@@ -64,12 +64,16 @@ def length_stats(df: DataFrame, length: str, label: str = "type") -> DataFrame:
 def length_histogram(
     df: DataFrame, length: str, label: str = "type", bins: int = 50, clip: float = 0.99,
 ) -> DataFrame:
-    """Equal-width histogram per label after clipping at a percentile; the last bin is closed."""
+    """Equal-width histogram per label after clipping at a percentile; the last bin is closed.
+
+    The windows run over the distinct lengths of a label, not over its rows.
+    """
     lengths = value_histogram(df.filter(F.col(label).isNotNull()), length, label)
-    limits = lengths.groupBy(label).agg(
-        F.min(length).cast("double").alias("lo"),
-        F.percentile(length, F.lit(clip), F.col("n")).alias("hi"))
-    clipped = lengths.join(limits, label)
+    same_label = Window.partitionBy(label)
+    clipped = lengths.withColumns({
+        "lo": F.min(length).over(same_label).cast("double"),
+        "hi": F.percentile(length, F.lit(clip), F.col("n")).over(same_label),
+    })
     value = F.least(F.col(length).cast("double"), F.col("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     place = F.when(width > 0, F.floor((value - F.col("lo")) / width)).otherwise(F.lit(0))

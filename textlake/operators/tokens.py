@@ -18,7 +18,7 @@ def process_tokens(words: Column, stopwords: Sequence[str] = ENGLISH) -> Column:
 
 
 def process_text(normalized: Column, stopwords: Sequence[str] = ENGLISH) -> Column:
-    return process_tokens(T.tokenize(normalized), stopwords)
+    return process_tokens(T.split_normalized(normalized), stopwords)
 
 
 def process_text_words(normalized: Column, stopwords: Sequence[str] = ENGLISH) -> Column:

@@ -43,6 +43,17 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.join(labels, "doc_id", "left").withColumnRenamed("doc_id", "id")
 
 
+def _first_sentence(text: str) -> Column:
+    return F.nullif(F.regexp_extract(text, r"^[^\n.]*", 0), F.lit(""))
+
+
+def titled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, title, content``; the title is the start of the text up to a full stop or line end."""
+    return texts(spark, sf_dir).select(
+        F.col("doc_id").alias("id"), _first_sentence("text").alias("title"),
+        F.col("text").alias("content"))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw article table: text labels, mixed date layouts, missing values, unused columns."""
     documents = texts(spark, sf_dir)
@@ -66,7 +77,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "scraped_at",
         F.col("scraped_at").alias("inserted_at"),
         F.col("scraped_at").alias("updated_at"),
-        F.nullif(F.regexp_extract("text", r"^[^\n.]*", 0), F.lit("")).alias("title"),
+        _first_sentence("text").alias("title"),
         F.when(F.col("lang") != "en", F.concat(F.lit("author "), "lang")).alias("authors"),
         nothing.alias("keywords"),
         F.when(F.col("toxic") == 1, F.col("lang")).alias("tags"),

@@ -72,7 +72,7 @@ def clean_and_split(
 
 def vocabulary_report(cleaned: DataFrame) -> DataFrame:
     """Vocabulary sizes at the three stages and the reduction between them."""
-    terms = vocabulary.term_counts(cleaned, T.tokenize(F.col("content_normalized")))
+    terms = vocabulary.term_counts(cleaned, T.split_normalized(F.col("content_normalized")))
     return vocabulary.reduction_rates(vocabulary.vocabulary_sizes(terms))
 
 
@@ -176,8 +176,8 @@ def corpus_report(cleaned: DataFrame) -> dict[str, DataFrame]:
     """The tables behind the six observations on a cleaned corpus."""
     sized = cleaned.withColumn("content_length", T.token_length(F.col("content_processed")))
     artefacts = profile.count_artefacts(cleaned)
-    before = vocabulary.term_counts(cleaned, T.tokenize(F.col("content_normalized")))
-    after = vocabulary.term_counts(cleaned, T.tokenize(F.col("content_processed")))
+    before = vocabulary.term_counts(cleaned, T.split_normalized(F.col("content_normalized")))
+    after = vocabulary.term_counts(cleaned, T.split_normalized(F.col("content_processed")))
     return {
         "label_distribution": profile.label_distribution(cleaned),
         "length_stats": profile.length_stats(sized, "content_length"),

@@ -307,7 +307,9 @@ ORACLE_SQL["style_features"] = f"""SELECT id,
   round(CASE WHEN words > 0 THEN length({_replace('content', BLANKS, '')}) / words
         ELSE 0 END, 6) AS avg_word_length,
   round(length(coalesce(title, '')) / (length(content) + 1), 6) AS title_content_ratio
-  FROM (SELECT id, title, content, {_matches('content', TOKEN)} AS words FROM {ARTICLES})"""
+  FROM (SELECT id, title, content, {_matches('content', TOKEN)} AS words
+    FROM (SELECT doc_id AS id, nullif(regexp_extract(text, '^[^\\n.]*'), '') AS title,
+          text AS content FROM documents))"""
 assert all(name in ORACLE_SQL["style_features"] for name in STYLE_FEATURES)
 
 # --- stemming -------------------------------------------------------------------------------------------
@@ -571,6 +573,30 @@ ORACLE_SQL["clean_and_split_job"] = f"""WITH cleaned AS ({_CLEAN}),
   {_processed('cleaned', 'id', _normal_tokens('content'))},
   {_stratified('cleaned', 'type', 'id')}
   SELECT id, type, content_processed, split FROM assigned JOIN processed USING (id)"""
+ORACLE_SQL["corpus_report"] = f"""WITH
+  {_processed('documents', 'doc_id', _normal_tokens('text'))},
+  sized AS (SELECT type, len(string_split(nullif(content_processed, ''), ' ')) AS v
+            FROM processed JOIN {LABELLED} USING (id)),
+  labelled AS (SELECT type, coalesce(v, 0) AS v FROM sized WHERE type IS NOT NULL),
+  limits AS (SELECT type, min(v) AS lo, quantile_cont(v, 0.99) AS hi FROM labelled GROUP BY type),
+  bins AS (SELECT DISTINCT type, CASE WHEN hi > lo THEN
+             least(49, floor((least(v, hi) - lo) / ((hi - lo) / 50))) ELSE 0 END AS bin
+           FROM labelled JOIN limits USING (type)),
+  stemmed AS (SELECT count(DISTINCT term) AS n FROM (
+    SELECT unnest(string_split(content_processed, ' ')) AS term FROM processed) WHERE term <> ''),
+  raw AS (SELECT count(DISTINCT term) AS n FROM (
+    SELECT unnest({_normal_tokens('text')}) AS term FROM documents)),
+  sources AS (SELECT type, least(10, count(DISTINCT domain)) AS n FROM {LABELLED}
+              WHERE type IS NOT NULL GROUP BY type)
+  SELECT 'label_distribution' AS name, count(*) AS n FROM (SELECT DISTINCT type FROM {LABELLED})
+  UNION ALL SELECT 'length_stats', count(DISTINCT type) FROM labelled
+  UNION ALL SELECT 'length_histogram', count(*) FROM bins
+  UNION ALL SELECT 'top_sources', sum(n)::BIGINT FROM sources
+  UNION ALL SELECT 'top_words_normalized', least(100, n) FROM raw
+  UNION ALL SELECT 'top_words_processed', least(100, n) FROM stemmed
+  UNION ALL SELECT 'rank_frequency', least(10000, n) FROM stemmed
+  UNION ALL SELECT 'artefact_stats', 3
+  UNION ALL SELECT 'artefact_by_label', 3 * count(DISTINCT type) FROM labelled"""
 ORACLE_SQL["stream_cleaning"] = f"""SELECT doc_id::VARCHAR AS id,
   CASE lang WHEN 'en' THEN 0 ELSE 1 END AS type, source AS domain,
   {_normalized('text')} AS content_normalized FROM documents WHERE lang IN ('en', 'fr')"""

@@ -243,7 +243,7 @@ QUERIES["norm_space"] = _on_pages(T.lower_and_squeeze)
 QUERIES["normalize_text"] = _on_documents(T.normalize_text)
 QUERIES["tokenize_ws"] = _on_documents(lambda text: F.array_join(T.tokenize(text), "|"))
 QUERIES["remove_stopwords"] = _on_documents(
-    lambda text: F.array_join(T.remove_stopwords(T.tokenize(T.normalize_text(text))), " "))
+    lambda text: F.array_join(T.remove_stopwords(T.split_normalized(T.normalize_text(text))), " "))
 QUERIES["process_text"] = _on_documents(lambda text: process_text(T.normalize_text(text)))
 QUERIES["process_text_words"] = _on_documents(
     lambda text: process_text_words(T.normalize_text(text)))
@@ -275,7 +275,7 @@ QUERIES["process_statements"] = QUERIES.pop("process_statements_query")
 
 @query
 def style_features(spark, sf_dir):
-    rows = corpus.articles(spark, sf_dir).select("id", "title", "content")
+    rows = corpus.titled_documents(spark, sf_dir)
     return _rounded(features.style_features(rows).select("id", *features.STYLE_FEATURES))
 
 
@@ -284,7 +284,7 @@ def style_features(spark, sf_dir):
 
 def _normalized_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary.term_counts(
-        _documents(spark, sf_dir), T.tokenize(T.normalize_text(F.col("text"))))
+        _documents(spark, sf_dir), T.split_normalized(T.normalize_text(F.col("text"))))
 
 
 @query
@@ -345,7 +345,7 @@ def top_words_processed(spark, sf_dir):
     documents = _documents(spark, sf_dir).select(
         process_text(T.normalize_text(F.col("text"))).alias("processed"))
     return vocabulary.top_terms(
-        vocabulary.term_counts(documents, T.tokenize(F.col("processed"))))
+        vocabulary.term_counts(documents, T.split_normalized(F.col("processed"))))
 
 
 @query
@@ -472,7 +472,7 @@ def union_all(spark, sf_dir):
 def union_distinct(spark, sf_dir):
     words = [
         corpus.table(spark, sf_dir, name).select(
-            F.explode(T.tokenize(T.normalize_text(F.col("text")))).alias("term")).distinct()
+            F.explode(T.split_normalized(T.normalize_text(F.col("text")))).alias("term")).distinct()
         for name in ("benchmark", "conversations")
     ]
     return words[0].unionByName(words[1]).distinct()
@@ -562,7 +562,7 @@ def assemble_features(spark, sf_dir):
 
 def _processed_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Labelled documents, processed once and stored as train, validation and test parts."""
-    titles = corpus.articles(spark, sf_dir).select(F.col("id").cast("long").alias("id"), "title")
+    titles = corpus.titled_documents(spark, sf_dir).select("id", "title")
     rows = corpus.processed_documents(spark, sf_dir).filter(F.col("type").isNotNull())
     stored = writers.write_table(rows.join(titles, "id"), scratch_path(spark, "processed"))
     split = splits.stratified_split(spark.read.parquet(stored), "type")
