@@ -51,8 +51,13 @@ def required_columns(df: DataFrame) -> list[str]:
     return REQUIRED + (["domain"] if "domain" in df.columns else [])
 
 
+def _complete(df: DataFrame) -> Column:
+    return reduce(lambda a, b: a & b, [_quoted(n).isNotNull() for n in required_columns(df)])
+
+
 def drop_missing_required(df: DataFrame) -> DataFrame:
-    return df.dropna(subset=required_columns(df))
+    """Written as IS NOT NULL tests, which reach the parquet scan."""
+    return df.filter(_complete(df))
 
 
 def fill_sentinels(df: DataFrame) -> DataFrame:
@@ -89,10 +94,6 @@ def initial_cleaning(df: DataFrame) -> DataFrame:
     return clean_rows(drop_null_only_columns(drop_bookkeeping(df)))
 
 
-def _complete(df: DataFrame) -> Column:
-    return reduce(lambda a, b: a & b, [_quoted(n).isNotNull() for n in required_columns(df)])
-
-
 def summary_metrics(df: DataFrame) -> list[Column]:
     """Aggregates over the *raw* table: rows in, dropped for either reason, rows out."""
     complete = _complete(df)

@@ -64,8 +64,9 @@ def _id_levels(id_column: Column, id_type: T.DataType) -> tuple[Column, ...]:
     if isinstance(id_type, T.IntegralType):
         wide = id_column.cast("long")
         return tuple(F.shiftright(wide, bits) for bits in (48, 32, 16))
-    text = id_column.cast("string")
-    return tuple(F.substring(text, start, 2) for start in range(1, 17, 2))
+    if isinstance(id_type, T.StringType):
+        return tuple(F.substring(id_column, start, 2) for start in range(1, 17, 2))
+    return ()
 
 
 def time_ordering(timestamp: Column, id_column: Column, id_type: T.DataType) -> Ordering:
@@ -116,7 +117,8 @@ def fit_cuts(
 
     ``positions`` receives ``{stratum: rows}`` and returns ``{stratum: {cut name: rows before
     the cut}}``. The driver sees level histograms (bounded by the number of level values times
-    the number of strata) and one key per cut, never rows.
+    the number of strata) and one key per cut, never rows. Rows with equal keys fall on the same
+    side of a cut.
     """
     depth_max = len(ordering.levels)
     columns = [(F.lit(0) if stratum is None else stratum).alias("_stratum")]

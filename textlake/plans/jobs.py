@@ -14,6 +14,7 @@ from textlake.functions.labels import LABEL_NAMES
 from textlake.operators import cleaning, features, models, profile, sampling, splits, vocabulary
 from textlake.operators.evaluation import evaluate
 from textlake.operators.tokens import add_processed
+from textlake.session import scratch_path
 from textlake.sources import readers, writers
 
 
@@ -94,7 +95,8 @@ def split_job(
 
 
 def _labelled(df: DataFrame, text: str, label: str) -> DataFrame:
-    return df.dropna(subset=[text, label]).withColumn(label, F.col(label).cast("int"))
+    kept = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
+    return kept.withColumn(label, F.col(label).cast("int"))
 
 
 def _with_extras(df: DataFrame, feature_set: str) -> DataFrame:
@@ -172,22 +174,35 @@ def tune_job(
     return models.tune_gbt(drawn, stages, grid, n_settings, folds, label)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = writers.write_table(df, scratch_path(df.sparkSession, name))
+    return df.sparkSession.read.parquet(path)
+
+
 def corpus_report(cleaned: DataFrame) -> dict[str, DataFrame]:
-    """The tables behind the six observations on a cleaned corpus."""
-    sized = cleaned.withColumn("content_length", T.token_length(F.col("content_processed")))
-    artefacts = profile.count_artefacts(cleaned)
+    """The tables behind the six observations on a cleaned corpus.
+
+    The text is measured once: a stored table of labels, sources, lengths and counts feeds six
+    of the reports, and the stored ranking of processed terms feeds two.
+    """
+    measured = _stored(
+        profile.count_artefacts(cleaned).select(
+            "type", "domain", *profile.ARTEFACTS,
+            T.token_length(F.col("content_processed")).alias("content_length")),
+        "measured")
     before = vocabulary.term_counts(cleaned, T.split_normalized(F.col("content_normalized")))
     after = vocabulary.term_counts(cleaned, T.split_normalized(F.col("content_processed")))
+    ranked = _stored(vocabulary.rank_frequency(after), "ranked")
     return {
-        "label_distribution": profile.label_distribution(cleaned),
-        "length_stats": profile.length_stats(sized, "content_length"),
-        "length_histogram": profile.length_histogram(sized, "content_length"),
-        "top_sources": profile.top_sources(cleaned),
+        "label_distribution": profile.label_distribution(measured),
+        "length_stats": profile.length_stats(measured, "content_length"),
+        "length_histogram": profile.length_histogram(measured, "content_length"),
+        "top_sources": profile.top_sources(measured),
         "top_words_normalized": vocabulary.top_terms(before),
-        "top_words_processed": vocabulary.top_terms(after),
-        "rank_frequency": vocabulary.rank_frequency(after),
-        "artefact_stats": profile.artefact_stats(artefacts),
-        "artefact_by_label": profile.artefact_by_label(artefacts),
+        "top_words_processed": vocabulary.top_terms(ranked.select("term", "n")),
+        "rank_frequency": ranked,
+        "artefact_stats": profile.artefact_stats(measured),
+        "artefact_by_label": profile.artefact_by_label(measured),
     }
 
 
