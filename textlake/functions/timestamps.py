@@ -5,31 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Layouts tried, in this order, after the ISO forms.
-FALLBACK_FORMATS = [
-    "yyyy/M/d H:mm:ss",
-    "yyyy/M/d H:mm",
-    "yyyy/M/d",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy",
-    "MMM d, yyyy H:mm:ss",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "d MMM yyyy H:mm:ss",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "yyyyMMdd",
-]
+# Layouts tried after the ISO forms, by the shape of the text.
+FALLBACK_FORMATS = {
+    r"^\d{4}/": ["yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d"],
+    r"^\d{1,2}/": ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy"],
+    r"^[A-Za-z]+ \d": ["MMM d, yyyy H:mm:ss", "MMM d, yyyy", "MMMM d, yyyy"],
+    r"^\d{1,2} [A-Za-z]": ["d MMM yyyy H:mm:ss", "d MMM yyyy", "d MMMM yyyy"],
+    r"^\d{8}$": ["yyyyMMdd"],
+}
+ISO_SHAPE = r"^\d{4}(-|$)"
 
 
 def parse_mixed(raw: Column) -> Column:
     """Timestamp of a string in any supported layout, null when there is none.
 
     ISO dates and date-times (``T`` or blank, any fraction, ``Z`` or offset) are cast directly;
-    zone-less values are read in the session zone, which the jobs expect to be UTC.
+    zone-less values are read in the session zone, which the jobs expect to be UTC. A layout is
+    tried only on text of its shape, because every failed attempt costs an exception.
     """
     text = F.trim(raw.cast("string"))
-    iso = F.when(text.rlike(r"^\d{4}(-|$)"), text.try_cast("timestamp"))
-    parsed = [F.try_to_timestamp(text, F.lit(layout)) for layout in FALLBACK_FORMATS]
-    return F.coalesce(iso, *parsed)
+    parsed = F.when(text.rlike(ISO_SHAPE), text.try_cast("timestamp"))
+    for shape, layouts in FALLBACK_FORMATS.items():
+        attempts = [F.try_to_timestamp(text, F.lit(layout)) for layout in layouts]
+        parsed = parsed.when(text.rlike(shape), F.coalesce(*attempts))
+    return parsed

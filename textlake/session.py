@@ -11,16 +11,14 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (a local test session) is a temporary folder made, and
-    then set as the checkpoint folder of the session.
+    Where that setting is missing, the checkpoint folder of the context is used; only where there
+    is none either (a local test session) is a temporary folder made.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="textlake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="textlake-"))
+    return folder or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
