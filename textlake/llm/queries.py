@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlake.llm import bpe, chat, langid, lines, mixing, pii, warc
+from textlake.llm import bpe, chat, hilbert, impact, langid, lines, mixing, pii, setjoin, warc
 from textlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def query(function):
     return function
 
 
+@query
+def op1_hilbert_ann(spark, sf_dir):
+    return hilbert.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_warc(spark, sf_dir):
     """All pages written as seekable bundles and read back through the index."""
@@ -53,6 +58,16 @@ def op5_bpe(spark, sf_dir):
         public_tokenizers.PATTERN)
 
 
+@query
+def op6_ngram_join(spark, sf_dir):
+    return setjoin.link_sets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_impact_topk(spark, sf_dir):
+    return impact.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_pii(spark, sf_dir):
     return pii.pii_report(table(spark, sf_dir, "documents"))
@@ -77,4 +92,5 @@ def op10_line_dedup(spark, sf_dir):
 
 
 ORACLE_SQL["op10_line_dedup"] = lines.LINE_DEDUP_SQL
+ORACLE_SQL["op7_impact_topk"] = impact.TOP_K_SQL
 ORACLE_SQL["op2_warc"] = warc.WARC_SQL
