@@ -122,11 +122,17 @@ _SPELLED_RUN = re.compile(
 _SPELLED_TOKEN = re.compile(rf"{_WORDS}|[0-9]+|[^\w\s]|\s+", re.I)
 _BRACKETED = re.compile(
     rf"\s*[\[({{<]\s*(?:(?P<at>{AT_WORDS}|@)|(?P<dot>{DOT_WORDS}|\.))\s*[\])}}>]\s*", re.I)
+_LABEL, _NAME = "[A-Za-z0-9-]{1,63}", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}"
+# What an address with "at" as a word may end in; prose has "at the dot on" too.
+_ENDINGS = ("com|org|net|edu|gov|mil|int|info|biz|example|test|invalid|local|de|at|ch|fr|be|es|mx|ar|"
+            "it|nl|eu|uk|us|ca|au|io|co|me|ai|dev|app")
+# "at" as a word needs "dot" as a word; @ also goes with full stops.
 _SPACED_ADDRESS = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:\s+(?:{AT_WORDS})\s+|\s*@\s*)"
-    rf"[A-Za-z0-9-]{{1,63}}(?:(?:\s+(?:{DOT_WORDS})\s+|\s*\.\s?)[A-Za-z0-9-]{{1,63}}){{1,5}}", re.I)
+    rf"{_NAME}(?:\s+(?:{AT_WORDS})\s+{_LABEL}(?:\s+(?:{DOT_WORDS})\s+{_LABEL}){{0,4}}"
+    rf"\s+(?:{DOT_WORDS})\s+(?:{_ENDINGS})(?![A-Za-z0-9-])"
+    rf"|\s*@\s*{_LABEL}(?:(?:\s+(?:{DOT_WORDS})\s+|\s*\.){_LABEL}){{1,5}})", re.I)
 _SPACED_JOINT = re.compile(
-    rf"(?P<at>\s+(?:{AT_WORDS})\s+|\s*@\s*)|(?P<dot>\s+(?:{DOT_WORDS})\s+|\s*\.\s?)", re.I)
+    rf"(?P<at>\s+(?:{AT_WORDS})\s+|\s*@\s*)|(?P<dot>\s+(?:{DOT_WORDS})\s+|\s*\.)", re.I)
 
 _OTHER_FORMS = (
     "".join(LOOK_ALIKES) + INVISIBLE + "！-～․‐-―−"
