@@ -163,8 +163,10 @@ def nearest(
         classes.select("cid", F.col("v").alias("w")), F.col("v") == F.col("w")).select(
             F.col("vec_id").alias("query_id"), "cid")
     asked = stored(asked, "queries")
-    seekers = blocks.join(asked.select("cid").distinct(), "cid", "left_semi").withColumn(
-        "block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
+    around = F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))
+    seekers = blocks.join(asked.select("cid").distinct(), "cid", "left_semi").select(
+        F.col("curve").alias("curve"), around.alias("block"), F.col("cid").alias("cid"),
+        F.col("v").alias("v"))
     found = seekers.groupBy("curve", "block").cogroup(blocks.groupBy("curve", "block")).applyInArrow(
         partial(_compare, k=k + 1), "qid long, cids array<long>, scores array<double>")
     hits = F.arrays_zip("cids", "scores")

@@ -126,8 +126,11 @@ def top_k(
     spread = F.xxhash64("vec_id")
     blocks = rows.withColumn("block", F.pmod(spread, F.lit(n_blocks))).withColumn(
         "group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
-    groups = asked.withColumn("group", F.pmod(spread, F.lit(n_groups)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+    every_block = F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))
+    groups = asked.select(
+        F.col("vec_id").alias("vec_id"), F.col("v").alias("v"),
+        F.pmod(spread, F.lit(n_groups)).cast("int").alias("group"),
+        F.explode(every_block).alias("block"))
     found = groups.groupBy("group", "block").cogroup(blocks.groupBy("group", "block")).applyInArrow(
         partial(_search, k=k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -75,14 +75,15 @@ def dedup_lines(
         "lines", lambda line, i: ~F.array_contains("covered", i + 1)), "\n")
     joined = rows.join(gone, F.col("own") == F.col("doc"), "left")
     cleaned = F.when(F.col("covered").isNull(), F.col("row")[text]).otherwise(left)
-    return joined.select(
-        *[cleaned.alias(name) if name == text else F.col("row")[name].alias(name)
-          for name in names],
-        F.when(F.col("row")[text].isNull() | (F.col("row")[text] == ""), 0)
-        .otherwise(F.size("lines")).cast("long").alias("n_lines"),
-        F.coalesce(F.array_size(F.filter(
-            "covered", lambda p: p <= F.size("lines"))), F.lit(0)).cast("long")
-        .alias("n_removed"))
+    total = F.when(F.col("row")[text].isNull() | (F.col("row")[text] == ""), 0).otherwise(
+        F.size("lines"))
+    removed = F.coalesce(F.array_size(F.filter(
+        "covered", lambda p: p <= F.size("lines"))), F.lit(0))
+    # built as one struct first: the names of ``docs`` may be any, also those used here
+    out = F.struct(
+        *[(cleaned if name == text else F.col("row")[name]).alias(name) for name in names],
+        total.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+    return joined.select(out.alias("out")).select("out.*")
 
 
 LINE_DEDUP_SQL = """

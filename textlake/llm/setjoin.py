@@ -432,8 +432,12 @@ def link_sets(
         partial(_cross_rows, percent=percent), "a bigint, b bigint").distinct()
     new_pairs = stored(crossing.join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = _verified(new_pairs, held, percent)
+    # one key with several sets is one node
+    several = reps.groupBy(F.col("of").alias("key")).agg(
+        F.min("rep").alias("u"), F.max("rep").alias("top")).filter("u < top")
+    tied = reps.join(several, F.col("of") == F.col("key")).select("u", F.col("rep").alias("v"))
     components = connected_components(links.union(more).select(
-        F.col("a").alias("u"), F.col("b").alias("v")))
+        F.col("a").alias("u"), F.col("b").alias("v")).union(tied))
     return placed.join(components, F.col("rep") == F.col("node"), "left").select(
         "doc_id", "n_shingles",
         F.coalesce("component", "rep", "doc_id").alias("component_id"))
