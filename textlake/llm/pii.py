@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import operator
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -26,10 +27,10 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 # Equal to the base patterns from the left end of a run of digits, where their matches start;
 # later starts in the same run can't match, so long runs stay linear.
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+_DOTTED = re.compile(r"[0-9]\.[0-9]")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LONG_NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){15}")
-_PHONE_RUN = re.compile(r"\+[0-9][\x20().0-9-]*+")
 
 
 def emails(text: str) -> Iterator[Span]:
@@ -43,14 +44,15 @@ def emails(text: str) -> Iterator[Span]:
         if found:
             done = found.end()
             yield start, done
-        # What precedes this @ can't be the local part of a later one: @ ends the run.
         else:
-            done = max(done, at + 1)
-        at = text.find("@", max(done, at + 1))
+            done = at + 1  # an @ ends every local part
+        at = text.find("@", done)
 
 
 def ips(text: str) -> Iterator[Span]:
     """Four numbers joined by dots, each at most 255."""
+    if not _DOTTED.search(text):
+        return
     for found in _IP.finditer(text):
         parts = (part.lstrip("0") for part in found.group().split("."))
         if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
@@ -140,9 +142,30 @@ _OTHER_FORMS = (
     "①-⑨\U0001d7ce-\U0001d7ff")
 _SIGN_CHARS = re.compile(f"[{_OTHER_FORMS}]")
 _SIGN_AT = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|@|{DOT_WORDS}|\.)\s*[\])}}>]", re.I)
-_SIGN_SPACED = re.compile(rf"\s(?:{DOT_WORDS})\s|\s@|@\s", re.I)
-_SIGN_SPELLED = re.compile(
-    rf"(?<!\w)(?:{_WORDS})[\s,.\-]{{1,3}}(?:{_WORDS}|[0-9]+)[\s,.\-]{{1,3}}(?:{_WORDS}|[0-9])", re.I)
+_DOT_WORDS = frozenset(DOT_WORDS.split("|"))
+_SPACED_AT = re.compile(r"\s@|@\s")
+
+
+def shows_signs(text: str) -> bool:
+    """Whether anything in a text may be a disguise; the cheap tests that most texts fail.
+
+    The words are looked up one by one: a run of spelled digits is at least MIN_SPELLED words
+    in a row that are digit words or numbers.
+    """
+    if _SIGN_CHARS.search(text) or _SIGN_AT.search(text):
+        return True
+    if "@" in text and _SPACED_AT.search(text):
+        return True
+    lowered = text.lower()
+    for sign in ",.-":
+        lowered = lowered.replace(sign, " ")
+    words = lowered.split()
+    if not _DOT_WORDS.isdisjoint(words):
+        return True
+    if SPELLED.keys().isdisjoint(words):
+        return False
+    run = bytes(map(operator.or_, map(SPELLED.__contains__, words), map(str.isdecimal, words)))
+    return b"\1" * MIN_SPELLED in run
 
 
 @functools.lru_cache(maxsize=4096)
@@ -232,9 +255,7 @@ def _spaced_signs(text: str) -> Iterator[tuple[int, int, str]]:
 
 def normalise(source: str) -> Normal | None:
     """The normal form, or None for a text that shows no sign of disguise."""
-    chars = bool(_SIGN_CHARS.search(source))
-    if not (chars or _SIGN_AT.search(source) or _SIGN_SPACED.search(source)
-            or _SIGN_SPELLED.search(source)):
+    if not shows_signs(source):
         return None
     form = Normal.of(source)
     form = form.rewritten(_spelled_digits(form.text))
