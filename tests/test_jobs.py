@@ -54,13 +54,13 @@ def test_stratified_job_keeps_balance(spark, tmp_path):
 
 def test_job_guards(spark, tmp_path):
     source = write_csv(tmp_path / "raw", "0,1,,text,x.com,A,T,2020-01-01")
-    with pytest.raises(ValueError, match="Unsupported split_method"):
+    with pytest.raises(ValueError, match="no such way to split"):
         jobs.clean_and_split(spark, "/nowhere.csv", str(tmp_path / "a"), "sideways")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         jobs.clean_and_split(spark, str(tmp_path / "none.csv"), str(tmp_path / "b"))
-    with pytest.raises(ValueError, match="No rows were written"):
+    with pytest.raises(ValueError, match="left no row"):
         jobs.clean_and_split(spark, source, str(tmp_path / "c"))
-    with pytest.raises(ValueError, match="Unsupported file format"):
+    with pytest.raises(ValueError, match="no writer"):
         writers.write_table(spark.range(1), str(tmp_path / "d"), "xml")
 
 
@@ -142,3 +142,65 @@ def test_cleaning_keeps_columns_that_only_some_rows_fill(spark):
         [("1", "fake", "a", None), ("2", "fake", "b", "x")],
         "id string, type string, content string, tags string")
     assert "tags" in cleaning.initial_cleaning(df).columns
+
+
+def test_chronological_parts_are_in_time_order(spark, tmp_path):
+    table = spark.range(200).select(
+        "id", F.timestamp_seconds(F.xxhash64("id") % 100_000).alias("scraped_at")).repartition(5)
+    source = writers.write_table(table, str(tmp_path / "table"))
+    for path in jobs.split_job(spark, source, str(tmp_path / "out"), "chronological").values():
+        times = [r["scraped_at"] for r in spark.read.parquet(path).coalesce(1).collect()]
+        files = sorted(spark.read.parquet(path).select(
+            F.input_file_name().alias("f"), "scraped_at").groupBy("f").agg(
+                F.min("scraped_at"), F.max("scraped_at")).collect())
+        bounds = [x for row in files for x in row[1:]]
+        assert times and bounds == sorted(bounds)
+
+
+def test_dates_are_utc_in_any_session_zone(spark):
+    from textlake.functions.timestamps import parse_mixed
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = ["2018-01-25 10:00:00", "Fri, 26 Jan 2018 10:00 GMT", "1/25/18", "25.01.2018 5:00 PM",
+                 "20180125T101010", "2018-01-25T10:00:00+02:00", "2/1/2018", "never", None]
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r[0] for r in df.select(F.unix_seconds(parse_mixed(F.col("t")))).collect()]
+        assert got == [1516874400, 1516960800, 1516838400, 1516899600, 1516875010, 1516867200,
+                       1517443200, None, None]
+        day = df.select(F.unix_seconds(parse_mixed(F.col("t"), day_first=True))).collect()[6][0]
+        assert day == 1514851200
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_scratch_folder_is_shared_or_refused(spark):
+    from types import SimpleNamespace
+
+    from textlake import session
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    far = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError, match="executors share"):
+        session.shared_folder(far)
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_readers_keep_layouts_and_lines(spark, tmp_path):
+    from textlake.sources import readers
+    one, two = tmp_path / "one.csv", tmp_path / "two.csv"
+    one.write_text("id,type,content\n1,fake,hello\n3,real,\n")
+    two.write_text("type,id,content\nfake,2,world\n")
+    rows = readers.read_articles_csv(spark, [str(one), str(two)]).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [
+        ("1", "fake", "hello"), ("2", "fake", "world"), ("3", "real", None)]
+    bad = tmp_path / "bad.csv"
+    bad.write_text('a,b\n1,2\n3,4,\n5\n6,"7,8"\n9,10,11\n')
+    rows = readers.read_articles_csv(spark, str(bad), skip_bad_lines=True).collect()
+    assert sorted(tuple(r) for r in rows) == [("1", "2"), ("5", None), ("6", "7,8")]
+    tsv = tmp_path / "s.tsv"
+    tsv.write_text('1\ttrue\t"line one\nline two"\n2\tfalse\tplain\n')
+    rows = readers.read_statements_tsv(spark, str(tsv), ["id", "statement"]).collect()
+    assert sorted(tuple(r) for r in rows) == [("1", "line one\nline two"), ("2", "plain")]

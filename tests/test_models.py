@@ -131,3 +131,32 @@ def test_tuning_scores_every_setting(spark, toy):
     scores, best = jobs.tune_job(toy, grid, n_settings=2, folds=2, n_samples=60)
     assert scores.count() == 2 and scores.agg(F.min("f1")).first()[0] == 1.0
     assert best.stages[-1].numFeatures == 10 + 6
+
+
+def test_evaluation_counts_every_class_and_refuses_nulls(spark):
+    rows = [(0, 0), (1, 1), (2, 0), (2, 2), (0, 3)]
+    tables = evaluation.evaluate(spark.createDataFrame(rows, "label int, prediction int"))
+    assert tables["confusion_matrix"].count() == 16
+    assert tables["accuracy"].first()[0] == pytest.approx(0.6)
+    assert tables["predictions"].count() == 5
+    assert len(tables) == 5 and set(tables) >= {"f1_scores", "predictions"}
+    for bad in ([(None, 1)], [(1, None)]):
+        with pytest.raises(Exception, match="contains nulls"):
+            evaluation.confusion_matrix(
+                spark.createDataFrame(bad, "label int, prediction int")).collect()
+
+
+def test_dense_and_sparse_entries_agree(spark):
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame(
+        [(1, Vectors.dense([0.0, 2.0, 0.0])), (2, Vectors.sparse(3, [1], [2.0]))], ["id", "v"])
+    rows = df.select("id", features.nonzero_entries(F.col("v")).alias("e")).collect()
+    assert [[tuple(e) for e in r["e"]] for r in rows] == [[(1, 2.0)], [(1, 2.0)]]
+
+
+def test_empty_articles_are_trained_on_and_models_saved(spark, toy, tmp_path):
+    rows = toy.withColumn("content_processed", F.when(F.col("id") >= 2, F.col("content_processed")))
+    path = str(tmp_path / "trees")
+    model, tables = jobs.train_gbt_job(rows, rows, trees=1, depth=1, model_path=path)
+    assert tables["predictions"].count() == 40
+    assert models.load_model(path).stages[-1].getNumTrees == model.stages[-1].getNumTrees

@@ -17,13 +17,14 @@ from pyspark.ml.feature import (
     SQLTransformer,
     VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import vector_to_array  # noqa: F401
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlake.functions import text as T
 from textlake.functions.stopwords import ENGLISH
+from textlake.session import scratch_path
 
 # Feature names and vocabulary settings.
 METADATA_FEATURES = ["url_count", "number_count", "article_length"]
@@ -61,12 +62,14 @@ def style_features(df: DataFrame) -> DataFrame:
     })
 
 
-def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
-    """Concatenate scalar and vector columns of the same row; no join is needed."""
-    return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
+# --- vocabularies ------------------------------------------------------------------
 
 
-# --- vocabularies ------------------------------------------------------------------
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A vocabulary is read several times; the corpus behind it is aggregated once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def document_terms(text: Column, stopwords: Sequence[str], bigrams: bool) -> Column:
@@ -98,7 +101,7 @@ def bow_vocabulary(
     words = T.model_words(F.col(text))
     counts = df.select(F.explode(words).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("tf"))
-    return counts.orderBy(F.desc("tf"), "term").limit(max_features)
+    return _stored(counts.orderBy(F.desc("tf"), "term").limit(max_features), "vocabulary")
 
 
 def tfidf_vocabulary(
@@ -115,9 +118,15 @@ def tfidf_vocabulary(
 
     idf is the smoothed form ``ln((1 + rows) / (1 + df)) + 1``.
     """
-    n = df.count() if n_documents is None else n_documents
-    statistics = term_statistics(document_terms(F.col(text), stopwords, bigrams), df)
-    kept = statistics.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n)))
+    # every row holds the null term once, so one aggregate also counts the rows
+    terms = F.concat(
+        document_terms(F.col(text), stopwords, bigrams), F.array(F.lit(None).cast("string")))
+    statistics = _stored(term_statistics(terms, df).filter(
+        (F.col("df") >= min_df) | F.col("term").isNull()), "terms")
+    rows = statistics.filter(F.col("term").isNull()).first()
+    n = n_documents if n_documents is not None else rows["tf"] if rows else 0
+    kept = statistics.filter(
+        F.col("term").isNotNull() & (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n)))
     top = kept.orderBy(F.desc("tf"), "term").limit(max_features)
     return top.withColumn("idf", F.log(F.lit(1.0 + n) / (F.col("df") + 1)) + 1)
 
@@ -184,17 +193,32 @@ def tfidf_transformer(
                           tidy])
 
 
+def nonzero_entries(vector: Column) -> Column:
+    """Array of ``(place, value)`` of a vector's non-zero entries, at the cost of these only.
+
+    A sparse vector is read by its own indices; an assembler may also make a dense one.
+    """
+    parts = F.unwrap_udt(vector)
+    sparse = F.zip_with(parts["indices"], parts["values"], lambda i, x: F.struct(
+        i.alias("place"), x.alias("value")))
+    dense = F.transform(parts["values"], lambda x, i: F.struct(i.alias("place"), x.alias("value")))
+    return F.filter(
+        F.when(parts["indices"].isNotNull(), sparse).otherwise(dense), lambda e: e["value"] != 0)
+
+
 def vector_entries(
     df: DataFrame, vocabulary: DataFrame, keys: Sequence[str], vector: str = "text_features",
     value: str = "weight",
 ) -> DataFrame:
-    """Non-zero entries of a feature vector as ``(keys, term, value)`` rows; no shuffle."""
+    """Non-zero entries of a feature vector as ``(keys, term, value)`` rows; no shuffle.
+
+    The broadcast table of terms has at most ``max_features`` rows.
+    """
     terms = [row["term"] for row in vocabulary.orderBy(F.desc("tf"), "term").collect()]
-    names = df.sparkSession.createDataFrame(
-        list(enumerate(terms)), "_place int, term string")
-    entries = df.select(
-        *keys, F.posexplode(vector_to_array(vector)).alias("_place", value))
-    return entries.filter(F.col(value) != 0).join(F.broadcast(names), "_place").drop("_place")
+    names = df.sparkSession.createDataFrame(list(enumerate(terms)), "_place int, term string")
+    entries = df.select(*keys, F.explode(nonzero_entries(F.col(vector))).alias("_entry")).select(
+        *keys, F.col("_entry.place").alias("_place"), F.col("_entry.value").alias(value))
+    return entries.join(F.broadcast(names), "_place").drop("_place")
 
 
 def feature_stages(

@@ -23,6 +23,8 @@ from textlake.session import shared_folder
 
 # A located slice with at most this many rows is sorted inside one task.
 SLICE_ROWS = 100_000
+# Larger slices are cut at this many keys of their own, again and again.
+PIVOTS = 200
 
 
 @dataclass(frozen=True)
@@ -95,16 +97,48 @@ def _located(rows: Sequence, depth: int, wanted: Mapping) -> dict:
     return found
 
 
-def _any_slice(located: Mapping, depth: int) -> Column:
-    """Rows in any of the located slices."""
-    def matches(stratum, prefix) -> Column:
-        same = F.col("_stratum").eqNullSafe(F.lit(stratum))
-        return reduce(
-            lambda a, b: a & b,
-            [F.col(f"_level{i}").eqNullSafe(F.lit(prefix[i])) for i in range(depth)], same)
+def _in_slices(keys: DataFrame, prefixes: Sequence[tuple], depth: int) -> DataFrame:
+    """Rows in any of the slices ``(stratum, level values)``, which are joined as a small table."""
+    names = ["_stratum", *(f"_level{i}" for i in range(depth))]
+    schema = T.StructType([
+        T.StructField(f"_of{i}", keys.schema[name].dataType) for i, name in enumerate(names)])
+    wanted = keys.sparkSession.createDataFrame(
+        [(stratum, *prefix) for stratum, prefix in prefixes], schema)
+    same = reduce(lambda a, b: a & b, [
+        F.col(name).eqNullSafe(F.col(f"_of{i}")) for i, name in enumerate(names)])
+    return keys.join(wanted, same, "left_semi")
 
-    wanted = {(stratum, prefix) for (stratum, _), (prefix, _, _) in located.items()}
-    return reduce(lambda a, b: a | b, [matches(*w) for w in sorted(wanted, key=repr)])
+
+def _distinct(located: Mapping) -> list[tuple]:
+    return list({(stratum, prefix) for (stratum, _), (prefix, _, _) in located.items()})
+
+
+def _key_by_pivots(rows: DataFrame, key_names: Sequence[str], rest: int) -> tuple:
+    """The key of the ``rest``-th row of a slice of any size and any type of key.
+
+    Keys of the slice, picked by hash, cut it into ranges; the rows of each are counted in one
+    aggregate, and the range that holds the place is cut again until one task can sort its
+    distinct keys.
+    """
+    key = F.struct(*key_names)
+    counted = rows.groupBy(*key_names).agg(F.count(F.lit(1)).alias("_n"))
+    while True:
+        total = counted.count()
+        if total <= SLICE_ROWS:
+            order = Window.orderBy(*key_names)
+            return tuple(counted.withColumn("_end", F.sum("_n").over(order)).filter(
+                F.col("_end") >= rest).orderBy(*key_names).first())[:len(key_names)]
+        picked = counted.select(key.alias("key")).orderBy(F.xxhash64(*key_names)).limit(PIVOTS)
+        pivots = F.array(*[
+            F.struct(*[F.lit(part).alias(name) for name, part in zip(key_names, row["key"])])
+            for row in picked.orderBy("key").collect()])
+        placed = counted.withColumn(
+            "_range", F.size(F.filter(pivots, lambda p: p < key)))
+        for row in sorted(placed.groupBy("_range").agg(F.sum("_n").alias("n")).collect()):
+            if rest <= row["n"]:
+                break
+            rest -= row["n"]
+        counted = placed.filter(F.col("_range") == row["_range"]).drop("_range")
 
 
 def fit_cuts(
@@ -143,14 +177,20 @@ def fit_cuts(
         depth = 1
         while depth < depth_max and any(n > SLICE_ROWS for _, _, n in located.values()):
             finer = (
-                keys.filter(_any_slice(located, depth))
+                _in_slices(keys, _distinct(located), depth)
                 .groupBy("_stratum", *level_names[:depth + 1])
                 .agg(F.count(F.lit(1)).alias("n")).collect()
             )
             depth += 1
             located = _located(
                 finer, depth, {cut: (prefix, rest) for cut, (prefix, rest, _) in located.items()})
-        bounds = _keys_at(keys, located, level_names[:depth], key_names)
+        small = {cut: at for cut, at in located.items() if at[2] <= SLICE_ROWS}
+        if small:
+            bounds = _keys_at(keys, small, level_names[:depth], key_names)
+        for (stratum_value, name), (prefix, rest, n) in located.items():
+            if n > SLICE_ROWS:
+                rows = _in_slices(keys, [(stratum_value, prefix)], depth)
+                bounds[stratum_value, name] = _key_by_pivots(rows, key_names, rest)
     return [Cut(value, name, bounds.get((value, name))) for value, name in targets], totals
 
 
@@ -164,7 +204,7 @@ def _keys_at(
     """
     in_slice = Window.partitionBy("_stratum", *levels).orderBy(*key_names)
     counted = (
-        keys.filter(_any_slice(located, len(levels)))
+        _in_slices(keys, _distinct(located), len(levels))
         .groupBy("_stratum", *levels, *key_names).agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_end", F.sum("_n").over(in_slice))
     )
@@ -193,27 +233,40 @@ def before_cut(keys: Sequence[Column], bound: tuple | None) -> Column:
 
 
 def assign_by_cuts(
-    ordering: Ordering, cuts: Sequence[Cut], last: object, stratum: Column | None = None,
-) -> Column:
-    """Name of the first cut that a row lies before, else ``last``: a map-side expression."""
-    def within(own: Sequence[Cut]) -> Column:
+    df: DataFrame, ordering: Ordering, cuts: Sequence[Cut], name: str, last: object,
+    stratum: Column | None = None,
+) -> DataFrame:
+    """Add ``name``: the first cut that a row lies before, else ``last``.
+
+    Without strata this is an expression of the row. With strata the cuts are a table with a row
+    for each stratum and joined by it, so their number does not swell the plan.
+    """
+    if stratum is None:
         chain = None
-        for cut in own:
+        for cut in cuts:
             test = before_cut(ordering.keys, cut.bound)
             chain = (F.when(test, F.lit(cut.name)) if chain is None
                      else chain.when(test, F.lit(cut.name)))
-        return F.lit(last) if chain is None else chain.otherwise(F.lit(last))
-
-    if stratum is None:
-        return within(cuts)
+        return df.withColumn(name, F.lit(last) if chain is None else chain.otherwise(F.lit(last)))
+    spark = df.sparkSession
+    kinds = df.select(*[key.alias(f"k{i}") for i, key in enumerate(ordering.keys)]).schema
+    bound = T.StructType([T.StructField(f.name, f.dataType) for f in kinds])
+    kind = df.select(stratum.alias("s")).schema["s"].dataType
+    schema = T.StructType([
+        T.StructField("_of", kind),
+        T.StructField("_cuts", T.ArrayType(T.StructType([
+            T.StructField("name", T.StringType()), T.StructField("bound", bound)])))])
     by_stratum: dict = {}
     for cut in cuts:
-        by_stratum.setdefault(cut.stratum, []).append(cut)
-    chain = None
-    for value, own in by_stratum.items():
-        test = stratum.eqNullSafe(F.lit(value))
-        chain = F.when(test, within(own)) if chain is None else chain.when(test, within(own))
-    return F.lit(last) if chain is None else chain
+        own = by_stratum.setdefault(cut.stratum, [])
+        if cut.bound is not None:
+            own.append((cut.name, cut.bound))
+    table = spark.createDataFrame(list(by_stratum.items()), schema)
+    key = F.struct(*[key.alias(f"k{i}") for i, key in enumerate(ordering.keys)])
+    joined = df.join(table, stratum.eqNullSafe(F.col("_of")), "left")
+    above = F.filter("_cuts", lambda cut: key <= cut["bound"])
+    return joined.withColumn(
+        name, F.coalesce(F.get(above, F.lit(0))["name"], F.lit(last))).drop("_of", "_cuts")
 
 
 def global_index(df: DataFrame, *order: str, name: str = "row_index") -> DataFrame:

@@ -19,8 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A table whose rows are about to be worked on heavily, on all cores."""
-    return readers.spread(table(spark, sf_dir, name))
+    """A table whose rows are about to be worked on heavily; a few files are dealt to all cores."""
+    rows = table(spark, sf_dir, name)
+    few = len(rows.inputFiles()) < spark.sparkContext.defaultParallelism
+    return readers.spread(rows) if few else rows
 
 
 def raw_date(timestamp: Column, kind: Column) -> Column:
@@ -35,9 +37,10 @@ def raw_date(timestamp: Column, kind: Column) -> Column:
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, content, domain, type`` with a numeric label, null where there is none."""
+    """``id, content, title, domain, type`` with a numeric label, null where there is none."""
     documents = texts(spark, sf_dir).select(
-        "doc_id", F.col("text").alias("content"), F.col("source").alias("domain"))
+        "doc_id", F.col("text").alias("content"), _first_sentence("text").alias("title"),
+        F.col("source").alias("domain"))
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", (1 - F.col("quality")).alias("type"))
     return documents.join(labels, "doc_id", "left").withColumnRenamed("doc_id", "id")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from textlake.functions import text as T
 from textlake.functions.labels import LABEL_NAMES
 from textlake.operators import cleaning, features, models, profile, sampling, splits, vocabulary
-from textlake.operators.evaluation import evaluate
+from textlake.operators.evaluation import Evaluation, evaluate
 from textlake.operators.tokens import add_processed
 from textlake.session import scratch_path
 from textlake.sources import readers, writers
@@ -30,7 +30,7 @@ class CleaningResult:
 
 def _check_method(method: str) -> None:
     if method not in splits.SPLIT_METHODS:
-        raise ValueError(f"Unsupported split_method: {method}")
+        raise ValueError(f"no such way to split: {method}")
 
 
 def prepare_articles(df: DataFrame) -> DataFrame:
@@ -46,10 +46,12 @@ def clean_and_split(
     split_output_dir: str | None = None,
     split_prefix: str | None = None,
     split_format: str = "parquet",
+    spread_rows: bool = True,
 ) -> CleaningResult:
     """Clean an article table, write it, and write its three splits.
 
-    The row totals are observed while the table is written, so they cost no extra pass. The
+    ``spread_rows`` deals the raw rows over all cores before the text work, for inputs of few or
+    unsplittable files; set it to False for inputs of many files. The row totals are observed while the table is written, so they cost no extra pass. The
     splits are cut from the written table, reading only the key columns to place the cuts.
     """
     _check_method(split_method)
@@ -57,7 +59,7 @@ def clean_and_split(
     cleaning.required_columns(raw)
     kept = cleaning.drop_null_only_columns(cleaning.drop_bookkeeping(raw))
     totals = Observation("cleaning")
-    rows = readers.spread(kept)
+    rows = readers.spread(kept) if spread_rows else kept
     observed = rows.observe(totals, *cleaning.summary_metrics(rows))
     writers.write_table(prepare_articles(observed), output_path)
     writers.require_rows(spark, output_path)
@@ -67,7 +69,7 @@ def clean_and_split(
     split = splits.split_table(cleaned, split_method)
     paths = writers.write_splits(
         split, split_output_dir or parent or ".", split_prefix or stem.split(".")[0],
-        split_format)
+        split_format, _order(split_method))
     return CleaningResult(output_path, paths, totals.get, vocabulary_report(cleaned))
 
 
@@ -87,15 +89,28 @@ def split_job(
     label_column: str = "type",
     file_format: str = "parquet",
 ) -> dict[str, str]:
-    """Split a stored table and write the three parts."""
+    """Split a stored table and write the three parts.
+
+    A CSV is stored as parquet first: finding the cuts reads the key columns several times.
+    Chronological parts are written in the order of time and id.
+    """
     _check_method(method)
     table = readers.read_table(spark, input_path)
+    if input_path.rstrip("/").endswith(".csv"):
+        table = _stored(table, "split-input")
     split = splits.split_table(table, method, date_column, label_column)
-    return writers.write_splits(split, output_dir, prefix or f"{method}_split", file_format)
+    return writers.write_splits(
+        split, output_dir, prefix or f"{method}_split", file_format, _order(method, date_column))
+
 
+def _order(method: str, date_column: str = "scraped_at") -> tuple[str, ...]:
+    return (date_column, "id") if method == "chronological" else ()
 
-def _labelled(df: DataFrame, text: str, label: str) -> DataFrame:
-    kept = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
+
+def _labelled(df: DataFrame, text: str, label: str, fill: bool = False) -> DataFrame:
+    """Rows with a label. A null text is empty (``fill``) or its row is dropped."""
+    kept = df.filter(F.col(label).isNotNull())
+    kept = kept.fillna({text: ""}) if fill else kept.filter(F.col(text).isNotNull())
     return kept.withColumn(label, F.col(label).cast("int"))
 
 
@@ -114,14 +129,20 @@ def train_logreg_job(
     max_features: int = features.BOW_FEATURES,
     text: str = "content_processed",
     label: str = "type",
+    model_path: str | None = None,
     **settings,
-) -> tuple[PipelineModel, dict[str, DataFrame]]:
-    """Bag-of-words logistic regression: the fitted pipeline and its validation tables."""
+) -> tuple[PipelineModel, Evaluation]:
+    """Bag-of-words logistic regression: the pipeline, its validation tables and predictions.
+
+    Rows without text are dropped. With ``model_path`` the pipeline is saved.
+    """
     train = _with_extras(_labelled(train, text, label), feature_set)
     validation = _with_extras(_labelled(validation, text, label), feature_set)
     words = features.bow_vocabulary(train, text, max_features)
     stages = features.feature_stages(features.bow_transformer(words, text), feature_set)
     model = models.train_logreg(train, stages, label, **settings)
+    if model_path:
+        models.save_model(model, model_path)
     return model, evaluate(models.predict(model, validation), LABEL_NAMES, label)
 
 
@@ -142,14 +163,21 @@ def train_gbt_job(
     id_column: str = "id",
     fit_rows: int = 300_000,
     vocabulary_limits: Mapping | None = None,
+    model_path: str | None = None,
     **settings,
-) -> tuple[PipelineModel, dict[str, DataFrame]]:
-    """TF-IDF boosted trees: the fitted pipeline and its validation tables."""
-    train = _with_extras(_labelled(train, text, label), feature_set)
-    validation = _with_extras(_labelled(validation, text, label), feature_set)
+) -> tuple[PipelineModel, Evaluation]:
+    """TF-IDF boosted trees: the fitted pipeline and its validation tables and predictions.
+
+    All labelled rows are trained on; a null text counts as empty. The vocabulary is fitted on a
+    repeatable sample of at most ``fit_rows`` rows. With ``model_path`` the pipeline is saved.
+    """
+    train = _with_extras(_labelled(train, text, label, True), feature_set)
+    validation = _with_extras(_labelled(validation, text, label, True), feature_set)
     stages = _tfidf_stages(
         train, text, feature_set, id_column, fit_rows, **(vocabulary_limits or {}))
     model = models.train_gbt(train, stages, label, **settings)
+    if model_path:
+        models.save_model(model, model_path)
     return model, evaluate(models.predict(model, validation), LABEL_NAMES, label)
 
 
@@ -165,8 +193,13 @@ def tune_job(
     fit_rows: int = 300_000,
     vocabulary_limits: Mapping | None = None,
 ) -> tuple[DataFrame, PipelineModel]:
-    """Random search on text plus style features over a stratified bootstrap sample."""
-    train = features.style_features(_labelled(train, text, label))
+    """Random search on text plus style features over a stratified bootstrap sample.
+
+    At most ``n_samples`` rows are drawn, with replacement, and the vocabulary is fitted on at
+    most ``fit_rows`` rows; both are the bounds of what the classifiers are fitted on. A null
+    text counts as empty.
+    """
+    train = features.style_features(_labelled(train, text, label, True))
     stages = _tfidf_stages(
         train, text, "style", id_column, fit_rows, **(vocabulary_limits or {}))
     folded = sampling.cv_folds(train, folds, label, id_column=id_column)
@@ -209,7 +242,7 @@ def corpus_report(cleaned: DataFrame) -> dict[str, DataFrame]:
 def evaluate_job(
     model: PipelineModel | str, table: DataFrame, text: str = "content_processed",
     label: str = "type", feature_set: str = "text",
-) -> dict[str, DataFrame]:
+) -> Evaluation:
     """Evaluate a fitted or saved pipeline on any processed table, without refitting."""
     fitted = models.load_model(model) if isinstance(model, str) else model
     rows = table.filter(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("int"))

@@ -141,10 +141,11 @@ ORACLE_SQL["scan_pruned_limit"] = (
 ORACLE_SQL["csv_round_trip"] = (
     "SELECT doc_id::VARCHAR AS id, text AS content, source AS domain FROM documents")
 ORACLE_SQL["csv_skip_bad_lines"] = (
-    "SELECT event_id::VARCHAR AS event_id, event_type FROM events WHERE event_type <> 'error'")
+    "SELECT event_id::VARCHAR AS event_id, event_type FROM events "
+    "WHERE event_type NOT IN ('error', 'click')")
+ORACLE_SQL["csv_two_layouts"] = ORACLE_SQL["csv_round_trip"]
 ORACLE_SQL["tsv_statements"] = (
-    f"SELECT id, label, replace(replace(statement, chr(10), ' '), chr(9), ' ') AS statement "
-    f"FROM {STATEMENTS}")
+    f"SELECT id, label, statement FROM {STATEMENTS}")
 
 # --- splits and samples --------------------------------------------------------------------------
 
@@ -230,7 +231,8 @@ ORACLE_SQL["drop_all_null_cols"] = _null_counts(
     [name for name in ARTICLE_COLUMNS if name not in ("keywords", "summary")])
 ORACLE_SQL["profile_nulls"] = _null_counts(ARTICLE_COLUMNS, ", count(*) AS rows")
 ORACLE_SQL["table_shape"] = (
-    f"SELECT count(*) AS rows, {len(ARTICLE_COLUMNS)} AS columns FROM {ARTICLES}")
+    f"SELECT count(*) AS rows, {len(ARTICLE_COLUMNS)} AS columns, "
+    f"{_text(', '.join(f'{name} string' for name in ARTICLE_COLUMNS))} AS types FROM {ARTICLES}")
 ORACLE_SQL["clean_required"] = (
     f"SELECT id, type, domain, md5(content) AS content_md5 FROM {ARTICLES} WHERE {COMPLETE}")
 ORACLE_SQL["clean_fill"] = (
@@ -546,12 +548,12 @@ def _bow(k: int) -> str:
             ORDER BY tf DESC, term LIMIT {k})"""
 
 
-ORACLE_SQL["bow_vocabulary"] = f"WITH {_bow(2000)} SELECT term, tf FROM vocab"
-ORACLE_SQL["bow_counts"] = f"""WITH {_bow(300)}
+ORACLE_SQL["bow_vocabulary"] = f"WITH {_bow(10_000)} SELECT term, tf FROM vocab"
+ORACLE_SQL["bow_counts"] = f"""WITH {_bow(10_000)}
   SELECT doc_id, term, count(*) AS n FROM tokens JOIN vocab USING (term) GROUP BY doc_id, term"""
-ORACLE_SQL["assemble_features"] = f"""WITH {_bow(300)},
+ORACLE_SQL["assemble_features"] = f"""WITH {_bow(10_000)},
   counted AS (SELECT doc_id, count(*) AS n FROM tokens JOIN vocab USING (term) GROUP BY doc_id)
-  SELECT doc_id, 303 AS width, (coalesce(n, 0) + {_matches('text', URL)}
+  SELECT doc_id, ((SELECT count(*) FROM vocab) + 3)::INTEGER AS width, (coalesce(n, 0) + {_matches('text', URL)}
     + {_matches(_as_ascii_word('text'), T.WHOLE_NUMBER)} + {_matches('text', TOKEN)})::BIGINT
     AS total FROM documents LEFT JOIN counted USING (doc_id)"""
 _TFIDF = f"""WITH grams AS (SELECT doc_id, unnest({_GRAMS}) AS term FROM {_WORDS}),
@@ -602,3 +604,48 @@ ORACLE_SQL["stream_cleaning"] = f"""SELECT doc_id::VARCHAR AS id,
   {_normalized('text')} AS content_normalized FROM documents WHERE lang IN ('en', 'fr')"""
 ORACLE_SQL["stream_vocabulary"] = (
     f"SELECT DISTINCT unnest({_normal_tokens('text')}) AS term FROM documents")
+
+# --- layouts, classes and split jobs ---------------------------------------------------------------------
+
+# What is left of an instant in each layout, by number of the layout; the last is no date.
+_FORM_UNITS = [
+    "microsecond", "second", "minute", "second", "minute", "day", "microsecond", "minute",
+    "minute", "day", "day", "second", "day", "second", "second", "day",
+]
+_FORMS = " ".join(
+    f"WHEN {i} THEN date_trunc('{unit}', ts)::TIMESTAMP" + " - INTERVAL 2 HOUR" * (i == 14)
+    for i, unit in enumerate(_FORM_UNITS))
+ORACLE_SQL["parse_timestamp_forms"] = f"""SELECT event_id,
+  strftime(CASE event_id % 17 {_FORMS} END, {TS_FORMAT}) AS parsed FROM events"""
+_KINDS = """(SELECT coalesce(list_position(['click', 'error', 'purchase', 'signup', 'view'],
+    event_type), 0)::INTEGER AS label, (user_id % 7)::INTEGER AS prediction FROM events)"""
+_MANY = f"""WITH predicted AS {_KINDS},
+  classes AS (SELECT label AS c FROM predicted UNION SELECT prediction FROM predicted
+              UNION VALUES (0), (1))"""
+ORACLE_SQL["confusion_many_classes"] = f"""{_MANY}
+  SELECT a.c AS label, b.c AS prediction,
+    (SELECT count(*) FROM predicted r WHERE r.label = a.c AND r.prediction = b.c) AS n
+  FROM classes a, classes b"""
+ORACLE_SQL["report_many_classes"] = f"""{_MANY},
+  counted AS (SELECT c, count(*) FILTER (WHERE label = c AND prediction = c) AS hits,
+      count(*) FILTER (WHERE label = c) AS support,
+      count(*) FILTER (WHERE prediction = c) AS chosen
+    FROM predicted, classes GROUP BY c),
+  scores AS (SELECT c, support, CASE WHEN chosen > 0 THEN hits / chosen ELSE 0 END AS p,
+      CASE WHEN support > 0 THEN hits / support ELSE 0 END AS r,
+      CASE WHEN chosen + support > 0 THEN 2 * hits / (chosen + support) ELSE 0 END AS f
+    FROM counted)
+  SELECT c::VARCHAR AS class, round(p, 6) AS precision, round(r, 6) AS recall,
+    round(f, 6) AS f1, support FROM scores
+  UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6),
+    sum(support)::BIGINT FROM scores
+  UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6),
+    round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6),
+    sum(support)::BIGINT FROM scores"""
+_ORDERS = "(SELECT o_orderkey AS id, o_orderdate AS scraped_at, o_orderstatus AS type FROM orders)"
+ORACLE_SQL["split_job_random"] = (
+    f"SELECT id, {_sequential('md5(concat(42, chr(58), id)), id')} AS split FROM {_ORDERS}")
+ORACLE_SQL["split_job_chronological"] = (
+    f"SELECT id, {_sequential('scraped_at, id')} AS split FROM {_ORDERS}")
+ORACLE_SQL["split_job_stratified"] = f"""WITH {_stratified(_ORDERS, 'type', 'id')}
+  SELECT id, split FROM assigned"""

@@ -92,12 +92,31 @@ def csv_skip_bad_lines(spark, sf_dir):
     path = scratch_path(spark, "lines") + ".csv"
     events = corpus.table(spark, sf_dir, "events").select(
         F.concat_ws(",", "event_id", "event_type", F.when(
-            F.col("event_type") == "error", F.lit("broken,line")).otherwise("ok")).alias("value"))
-    header = spark.range(1).select(F.lit("event_id,event_type,state").alias("value"))
-    lines = events.repartition(4).withColumn("first", F.lit(1)).unionByName(
-        header.withColumn("first", F.lit(0)))
-    lines.repartition(1).sortWithinPartitions("first").select("value").write.text(path)
-    return readers.read_articles_csv(spark, path, ["event_id", "event_type"], True)
+            F.col("event_type") == "error", F.lit("broken,line")).when(
+            F.col("event_type") == "click", F.lit("surplus,")).otherwise("ok")).alias("value"),
+        F.pmod("event_id", F.lit(8)).alias("part"))
+    header = spark.range(8).select(
+        F.lit("event_id,event_type,state").alias("value"), F.col("id").alias("part"),
+        F.lit(0).alias("first"))
+    lines = events.withColumn("first", F.lit(1)).unionByName(header)
+    # one file, with a header of its own, for each part
+    lines.repartition("part").sortWithinPartitions("part", "first").select(
+        "value", "part").write.partitionBy("part").text(path)
+    return readers.read_articles_csv(spark, f"{path}/part=*", ["event_id", "event_type"], True)
+
+
+@query
+def csv_two_layouts(spark, sf_dir):
+    """Two files with their columns in different orders, united by name."""
+    rows = _documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"),
+        F.col("source").alias("domain"))
+    paths = []
+    for half, order in enumerate((["id", "content", "domain"], ["domain", "id", "content"])):
+        paths.append(scratch_path(spark, "layout") + ".csv")
+        part = rows.filter(F.pmod(F.col("id").cast("long"), F.lit(2)) == half)
+        writers.write_table(part.select(order), paths[-1], "csv")
+    return readers.read_articles_csv(spark, paths, na_values=[])
 
 
 @query
@@ -107,9 +126,8 @@ def tsv_statements(spark, sf_dir):
     rows = corpus.statements(spark, sf_dir)
     filler = {f.name: F.lit(None).cast(f.dataType) for f in readers.STATEMENT_SCHEMA.fields
               if f.name not in rows.columns}
-    rows.withColumns(filler).select(readers.STATEMENT_COLUMNS).withColumn(
-        "statement", F.translate("statement", "\n\t", "  "),
-    ).write.option("sep", "\t").option("escape", '"').csv(path)
+    rows.withColumns(filler).select(readers.STATEMENT_COLUMNS).write.option(
+        "sep", "\t").option("escape", '"').option("quoteAll", True).csv(path)
     return readers.read_statements_tsv(spark, path, ["id", "label", "statement"])
 
 
@@ -164,6 +182,34 @@ def parse_timestamps(spark, sf_dir):
     return events.select("event_id", _stamp(parse_mixed(raw)).alias("parsed"))
 
 
+# Layouts that parse_timestamp_forms writes its dates in, and what is left of the instant.
+FORMS = [
+    ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "microsecond"), ("yyyy-MM-dd HH:mm:ss'Z'", "second"),
+    ("MMM d, yyyy HH:mm", "minute"), ("MMMM d, yyyy HH:mm:ss", "second"),
+    ("d MMMM yyyy HH:mm", "minute"), ("dd-MMM-yyyy", "day"),
+    ("yyyy/MM/dd HH:mm:ss.SSSSSS", "microsecond"), ("M/d/yyyy h:mm a", "minute"),
+    ("yyyy-MM-dd hh:mm a", "minute"), ("dd.MM.yyyy", "day"), ("yyyy.MM.dd", "day"),
+    ("yyyyMMdd'T'HHmmss", "second"), ("M/d/yy", "day"), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "second"),
+    ("yyyy-MM-dd'T'HH:mm:ss'+02:00'", "second"), ("MMM d yyyy", "day"), ("'not a date'", None),
+]
+
+
+@query
+def parse_timestamp_forms(spark, sf_dir):
+    """Every event's instant written in one of many layouts and read back, as UTC."""
+    events = corpus.table(spark, sf_dir, "events")
+    # numeric dates below the 13th are ambiguous; the one with the day first is kept above it
+    form = F.pmod("event_id", F.lit(len(FORMS)))
+    layout = None
+    for number, (pattern, _) in enumerate(FORMS):
+        text = F.date_format("ts", pattern)
+        if pattern == "dd.MM.yyyy":
+            text = F.when(F.dayofmonth("ts") > 12, text).otherwise(F.date_format("ts", "yyyy.MM.dd"))
+        layout = (F.when(form == number, text) if layout is None
+                  else layout.when(form == number, text))
+    return events.select("event_id", _stamp(parse_mixed(layout)).alias("parsed"))
+
+
 @query
 def invalid_ts_count(spark, sf_dir):
     events = corpus.table(spark, sf_dir, "events")
@@ -222,7 +268,7 @@ def profile_nulls(spark, sf_dir):
 
 @query
 def table_shape(spark, sf_dir):
-    return profile.table_shape(corpus.articles(spark, sf_dir)).select("rows", "columns")
+    return profile.table_shape(corpus.articles(spark, sf_dir))
 
 
 @query
@@ -380,6 +426,10 @@ def class_weights(spark, sf_dir):
 # --- evaluation ----------------------------------------------------------------------------------
 
 
+# Event types in code order; any other is 0.
+EVENT_KINDS = ["click", "error", "purchase", "signup", "view"]
+
+
 def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.confusion_matrix(corpus.rule_predictions(spark, sf_dir))
 
@@ -404,6 +454,22 @@ def accuracy(spark, sf_dir):
     return _rounded(evaluation.accuracy(_confusion(spark, sf_dir)))
 
 
+@query
+def confusion_many_classes(spark, sf_dir):
+    """Five event types against a rule whose predictions also lie outside of them."""
+    events = corpus.table(spark, sf_dir, "events")
+    kinds = F.array(*[F.lit(kind) for kind in EVENT_KINDS])
+    rows = events.select(
+        F.array_position(kinds, F.col("event_type")).cast("int").alias("label"),
+        F.pmod("user_id", F.lit(7)).cast("int").alias("prediction"))
+    return evaluation.confusion_matrix(rows)
+
+
+@query
+def report_many_classes(spark, sf_dir):
+    return _rounded(evaluation.classification_report(confusion_many_classes(spark, sf_dir)))
+
+
 # --- order, splits, samples ----------------------------------------------------------------------
 
 
@@ -517,13 +583,13 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bow_vocabulary(spark, sf_dir):
-    return features.bow_vocabulary(_texts(spark, sf_dir), "text", 2000)
+    return features.bow_vocabulary(_texts(spark, sf_dir), "text")
 
 
 @query
 def bow_counts(spark, sf_dir):
     rows = _texts(spark, sf_dir)
-    words = features.bow_vocabulary(rows, "text", 300)
+    words = features.bow_vocabulary(rows, "text")
     counted = features.bow_transformer(words, "text").transform(rows)
     entries = features.vector_entries(counted, words, ["doc_id"], value="n")
     return entries.withColumn("n", F.col("n").cast("long"))
@@ -547,14 +613,14 @@ def assemble_features(spark, sf_dir):
     """Text vector and metadata of the same row side by side: sizes and sums per row."""
     rows = features.metadata_features(
         _texts(spark, sf_dir).withColumnRenamed("text", "content"))
-    words = features.bow_vocabulary(rows, "content", 300)
+    words = features.bow_vocabulary(rows, "content")
     stages = features.feature_stages(features.bow_transformer(words, "content"), "metadata")
     for stage in stages:
         rows = stage.transform(rows)
-    values = features.vector_to_array("features")
+    parts = F.unwrap_udt("features")
     return rows.select(
-        "doc_id", F.size(values).alias("width"),
-        F.aggregate(values, F.lit(0.0), lambda a, b: a + b).cast("long").alias("total"))
+        "doc_id", F.coalesce(parts["size"], F.size(parts["values"])).alias("width"),
+        F.aggregate(parts["values"], F.lit(0.0), lambda a, b: a + b).cast("long").alias("total"))
 
 
 # --- models ---------------------------------------------------------------------------------------------
@@ -562,9 +628,8 @@ def assemble_features(spark, sf_dir):
 
 def _processed_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Labelled documents, processed once and stored as train, validation and test parts."""
-    titles = corpus.titled_documents(spark, sf_dir).select("id", "title")
     rows = corpus.processed_documents(spark, sf_dir).filter(F.col("type").isNotNull())
-    stored = writers.write_table(rows.join(titles, "id"), scratch_path(spark, "processed"))
+    stored = writers.write_table(rows, scratch_path(spark, "processed"))
     split = splits.stratified_split(spark.read.parquet(stored), "type")
     paths = writers.write_splits(split, scratch_path(spark, "parts"), "documents")
     return {name: spark.read.parquet(path) for name, path in paths.items()}
@@ -581,15 +646,15 @@ SMALL_TREES = {"trees": 5, "depth": 4}
 @query
 def logreg_predictions(spark, sf_dir):
     train, validation = _parts(spark, sf_dir)
-    model, _ = jobs.train_logreg_job(train, validation, max_features=2000, max_iter=50)
-    return models.predict(model, validation).select("id", "type", "prediction")
+    _, tables = jobs.train_logreg_job(train, validation)
+    return tables["predictions"].select("id", "type", "prediction")
 
 
 @query
 def gbt_predictions(spark, sf_dir):
     train, validation = _parts(spark, sf_dir)
-    model, _ = jobs.train_gbt_job(train, validation, **SMALL_TREES)
-    return models.predict(model, validation).select("id", "type", "prediction")
+    _, tables = jobs.train_gbt_job(train, validation, **SMALL_TREES)
+    return tables["predictions"].select("id", "type", "prediction")
 
 
 @query
@@ -597,8 +662,7 @@ def feature_set_comparison(spark, sf_dir):
     train, validation = _parts(spark, sf_dir)
     rows = []
     for feature_set in ("text", "metadata"):
-        _, tables = jobs.train_logreg_job(
-            train, validation, feature_set, max_features=2000, max_iter=50)
+        _, tables = jobs.train_logreg_job(train, validation, feature_set)
         rows.append(tables["f1_scores"].withColumn("feature_set", F.lit(feature_set)))
     return rows[0].unionByName(rows[1])
 
@@ -614,9 +678,9 @@ def tune_results(spark, sf_dir):
 
 def _linear(spark: SparkSession, sf_dir: str):
     train, validation = _parts(spark, sf_dir)
-    words = features.bow_vocabulary(train, max_features=2000)
+    words = features.bow_vocabulary(train)
     stages = features.feature_stages(features.bow_transformer(words), "text")
-    model = models.train_logreg(train, stages, max_iter=50)
+    model = models.train_logreg(train, stages)
     terms = model.stages[1].vocabulary
     return model, terms, validation
 
@@ -673,6 +737,54 @@ def corpus_report(spark, sf_dir):
     return counts
 
 
+@query
+def corpus_report_values(spark, sf_dir):
+    """The values of the report's tables in long form, one row per table, row and value."""
+    rows = corpus.processed_documents(spark, sf_dir)
+    parts = None
+    for name, table in jobs.corpus_report(rows).items():
+        if name in ("rank_frequency", "top_words_normalized", "top_words_processed"):
+            table = table.select("term", "n")
+        keys = [c for c, kind in table.dtypes if c in ("type", "term", "domain", "bin", "artefact")]
+        values = [c for c, _ in table.dtypes if c not in keys]
+        label = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+        part = table.select(label.alias("row"), F.explode(F.array(*[
+            F.struct(F.lit(v).alias("measure"), F.col(v).cast("double").alias("value"))
+            for v in values])).alias("entry")).select(
+                F.lit(name).alias("name"), "row", "entry.measure", "entry.value")
+        parts = part if parts is None else parts.unionByName(part)
+    return _rounded(parts)
+
+
+def _split_files(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    """Dated, labelled orders through the split job; the parts read back."""
+    source = scratch_path(spark, "orders")
+    writers.write_table(corpus.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("scraped_at"),
+        F.col("o_orderstatus").alias("type")), source)
+    paths = jobs.split_job(spark, source, scratch_path(spark, "parts"), method)
+    parts = None
+    for split, path in paths.items():
+        part = spark.read.parquet(path).select("id", F.lit(split).alias("split"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+@query
+def split_job_random(spark, sf_dir):
+    return _split_files(spark, sf_dir, "random")
+
+
+@query
+def split_job_chronological(spark, sf_dir):
+    return _split_files(spark, sf_dir, "chronological")
+
+
+@query
+def split_job_stratified(spark, sf_dir):
+    return _split_files(spark, sf_dir, "stratified")
+
+
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir)
     return incremental.read_stream(spark, f"{sf_dir}/documents*.parquet", documents.schema)

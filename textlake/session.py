@@ -7,20 +7,38 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_made: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Where that setting is missing, the checkpoint folder of the context is used; only where there
-    is none either (a local test session) is a temporary folder made.
+    Where that setting is missing, the checkpoint folder of the context is used. With neither, a
+    temporary folder is made in local mode only, where all tasks share this machine's disk; on a
+    cluster that is an error, because executors would write to disks of their own.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if folder is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="textlake-"))
     return folder or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for a written intermediate table."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this process has made.
+
+    Results may still read them, so this is for the caller, once results are written.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)

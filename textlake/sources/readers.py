@@ -8,12 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Column names of the article and statement files.
-ARTICLE_COLUMNS = [
-    "Unnamed: 0", "id", "domain", "type", "url", "content", "scraped_at", "inserted_at",
-    "updated_at", "title", "authors", "keywords", "meta_keywords", "meta_description", "tags",
-    "summary", "source",
-]
+from textlake.operators.cleaning import align_union
+
+# Column names of the statement files.
 STATEMENT_COLUMNS = [
     "id", "label", "statement", "subject", "speaker", "job_title", "state", "party",
     "barely_true_counts", "false_counts", "half_true_counts", "mostly_true_counts",
@@ -30,7 +27,8 @@ STATEMENT_SCHEMA = T.StructType([
     for name in STATEMENT_COLUMNS
 ])
 
-_SURPLUS = "_surplus_fields"
+_RECORD = "_odd_record"
+_QUOTED = r'"(?:[^"]|"")*"'
 
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
@@ -56,30 +54,43 @@ def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 
 def read_articles_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     skip_bad_lines: bool = False,
     na_values: Sequence[str] = NA_WORDS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Article CSV with a header, quoted line breaks and doubled quotes.
 
     Every column is read as a string, so ids keep leading zeros; later steps cast. ``columns``
-    prunes to those names. ``skip_bad_lines`` drops lines with more fields than the header
-    (they fill one extra column); shorter lines are padded with nulls either way.
+    prunes to those names. Several paths may have columns in different orders or of different
+    names: each is read by its own header, and they are united by name in the layout of the
+    first. Files below one path must have one header; Spark refuses others.
 
-    Quoted line breaks make a file unsplittable: give large inputs as many files.
+    ``skip_bad_lines`` drops lines with more fields than the header, empty ones included; shorter
+    lines are padded with nulls either way. Quoted line breaks make a file unsplittable:
+    ``multi_line=False`` splits files that have none.
     """
+    if not isinstance(path, str):
+        parts = [read_articles_csv(spark, own, columns, skip_bad_lines, na_values, multi_line)
+                 for own in path]
+        return align_union(*parts)
     names = csv_header(spark, path)
-    df = (
-        spark.read.schema(string_schema(names + [_SURPLUS] * skip_bad_lines))
+    reader = (
+        spark.read.schema(string_schema(names + [_RECORD] * skip_bad_lines))
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(path)
     )
     if skip_bad_lines:
-        df = df.filter(F.col(_SURPLUS).isNull()).drop(_SURPLUS)
+        # Spark hands out records of another length; those with more fields have more commas
+        df = reader.option("columnNameOfCorruptRecord", _RECORD).csv(path)
+        commas = F.regexp_count(
+            F.regexp_replace(F.col(_RECORD), _QUOTED, ""), F.lit(","))
+        df = df.filter(F.col(_RECORD).isNull() | (commas < len(names))).drop(_RECORD)
+    else:
+        df = reader.option("enforceSchema", False).csv(path)
     if columns is not None:
         missing = [name for name in columns if name not in names]
         if missing:
@@ -94,11 +105,15 @@ def read_statements_tsv(
     columns: Sequence[str] | None = None,
     na_values: Sequence[str] = NA_WORDS,
 ) -> DataFrame:
-    """Headerless tab-separated statements; several files are concatenated."""
+    """Headerless tab-separated statements; several files are concatenated.
+
+    Quoted fields may hold tabs, line breaks and doubled quotes.
+    """
     df = (
         spark.read.schema(STATEMENT_SCHEMA)
         .option("sep", "\t")
         .option("header", False)
+        .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
         .csv([paths] if isinstance(paths, str) else list(paths))
@@ -117,12 +132,11 @@ def read_table(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread the rows of a scan over all cores if it has fewer partitions than cores.
+    """Deal the rows over all cores: for inputs of few or unsplittable files.
 
-    For small or unsplittable inputs ahead of heavy text work; a large table is left as it is.
+    Costs a shuffle of the rows, so it is the caller's choice.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def first_rows(df: DataFrame, n: int, key: str = "id") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ def _writer(df: DataFrame, file_format: str) -> DataFrameWriter:
             _csv_ready(df).write.mode("overwrite").format("csv")
             .option("header", True).option("escape", '"').option("quoteAll", True)
         )
-    raise ValueError(f"Unsupported file format: {file_format}")
+    raise ValueError(f"no writer for {file_format}")
 
 
 def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
@@ -35,9 +37,13 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
 
 def write_splits(
     df: DataFrame, output_dir: str, prefix: str, file_format: str = "parquet",
+    order: Sequence[str] = (),
 ) -> dict[str, str]:
     """Write all splits in one pass over the rows and return a path per split.
 
+    ``order`` names columns by which the rows of each split are put into order over its files,
+    at the cost of one range shuffle of the rows.
+
     The parts are the ``split=...`` directories of ``{output_dir}/{prefix}_splits``. A split
     without rows is written as an empty table.
     """
@@ -45,6 +51,8 @@ def write_splits(
     seen = Observation("splits")
     counted = df.observe(
         seen, *[F.count_if(F.col("split") == split).alias(split) for split in SPLITS])
+    if order:
+        counted = counted.repartitionByRange("split", *order).sortWithinPartitions("split", *order)
     _writer(counted, file_format).partitionBy("split").save(root)
     paths = {split: f"{root}/split={split}" for split in SPLITS}
     for split, path in paths.items():
@@ -56,4 +64,4 @@ def write_splits(
 def require_rows(spark: SparkSession, path: str) -> None:
     """Raise if a written parquet table holds no row."""
     if spark.read.parquet(path).isEmpty():
-        raise ValueError("No rows were written to the cleaned output.")
+        raise ValueError("cleaning left no row")
