@@ -112,3 +112,42 @@ def shortened_replies(conversations: DataFrame) -> DataFrame:
             F.when((F.col("turn") == F.col("last")) & (F.col("role") == LEARNED_ROLE), shorter)
             .otherwise(F.col("text")).alias("text"))
     return chosen.unionByName(rejected)
+
+
+PREFERENCE_SQL = r"""
+WITH c AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+l AS (SELECT conv_id, max(turn) AS last FROM c WHERE role = 'assistant' GROUP BY conv_id),
+chosen AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+rejected AS (
+  SELECT c.conv_id, turn, coalesce(role, '') AS role, coalesce(CASE
+    WHEN turn <> last OR role <> 'assistant' OR last IS NULL THEN text
+    WHEN contains(text, chr(10)) THEN split_part(text, chr(10), 1)
+    ELSE array_to_string((string_split(text, ' '))[1:len(string_split(text, ' ')) // 2], ' ')
+    END, '') AS text
+  FROM c LEFT JOIN l USING (conv_id) WHERE last IS NULL OR turn <= last),
+split AS (
+  SELECT conv_id, min(turn) FILTER (a.role IS DISTINCT FROM b.role
+                                    OR a.text IS DISTINCT FROM b.text) AS split
+  FROM chosen a FULL JOIN rejected b USING (conv_id, turn) GROUP BY conv_id),
+said AS (
+  SELECT conv_id, turn, 'chosen' AS side, role, text FROM chosen
+  UNION ALL SELECT conv_id, turn, 'rejected', role, text FROM rejected),
+parts AS (
+  SELECT conv_id, turn, role, CASE WHEN split IS NULL OR turn < split THEN 'prompt' ELSE side END
+      AS part, '<|im_start|>' || role || chr(10) || replace(replace(text, '<|im_', '<| im_'),
+      chr(13) || chr(10), chr(10)) || '<|im_end|>' || chr(10) AS segment
+  FROM said JOIN split USING (conv_id)
+  WHERE side = 'chosen' OR NOT (split IS NULL OR turn < split)),
+placed AS (SELECT *, sum(length(segment)) OVER (
+    PARTITION BY conv_id, part ORDER BY turn) AS ends FROM parts),
+spans AS (SELECT *, CASE WHEN part <> 'prompt' AND role = 'assistant' THEN
+    (ends - length(segment) + length(role) + 13) || ':' || (ends - 1) END AS span FROM placed)
+SELECT conv_id AS pair_id,
+  coalesce(string_agg(segment, '' ORDER BY turn) FILTER (part = 'prompt'), '') AS prompt,
+  count(*) FILTER (part = 'prompt') AS n_prompt_turns,
+  coalesce(string_agg(segment, '' ORDER BY turn) FILTER (part = 'chosen'), '') AS chosen,
+  coalesce(string_agg(segment, '' ORDER BY turn) FILTER (part = 'rejected'), '') AS rejected,
+  coalesce(string_agg(span, ',' ORDER BY turn) FILTER (part = 'chosen'), '') AS chosen_spans,
+  coalesce(string_agg(span, ',' ORDER BY turn) FILTER (part = 'rejected'), '') AS rejected_spans
+FROM spans GROUP BY conv_id
+"""

@@ -15,6 +15,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlake.llm.common import stored
+
 UNDETERMINED = "und"
 #: Of each language at most SALTS * ROWS_PER_SALT labelled rows are looked at, of each at most
 #: SAMPLE_CHARS characters, and DICTIONARY_BYTES bytes go into the dictionary.
@@ -54,12 +56,12 @@ def learn(
     salted = rows.withColumn("order", order).withColumn("salt", F.pmod("order", F.lit(SALTS)))
     place = F.row_number().over(Window.partitionBy("lang", "salt").orderBy("order", "text"))
     sample = salted.withColumn("place", place).filter(F.col("place") <= ROWS_PER_SALT)
+    held = stored(sample.select("lang", "order", "text").distinct(), "language-sample")
+    if held.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     texts: dict[str, list[str]] = {}
-    for row in sample.select("lang", "order", "text").distinct().orderBy(
-            "lang", "order", "text").toLocalIterator():
+    for row in sorted(held.collect()):
         texts.setdefault(row["lang"], []).append(normal_form(row["text"]))
-        if len(texts) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
     found = {}
     for name, own in texts.items():
         held, size = [], 0
@@ -87,9 +89,10 @@ def _compressors(dictionaries: tuple[tuple[str, bytes], ...]):
 
 def classify(text: str | None, dictionaries: tuple) -> tuple[str, float, bool]:
     """Language, relative margin (0 to 1) and whether the answer is rejected."""
-    form = normal_form(text or "").encode()
-    if not form or not dictionaries:
+    form = normal_form(text or "")
+    if not dictionaries or not any(map(str.isalpha, form)):
         return UNDETERMINED, 0.0, True
+    form = form.encode()
     blocks = [form[i:i + BLOCK_BYTES] for i in range(0, len(form), BLOCK_BYTES)]
     sizes = sorted(
         (sum(len(coder.compress(block)) for block in blocks), name)

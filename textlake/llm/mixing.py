@@ -179,3 +179,40 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     return rows.join(plan, F.col("_of").eqNullSafe(F.col("source"))).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"),
         times.alias("repeats"))
+
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5('42:' || doc_id), 1, 15))::BIGINT AS h FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, ([5.0, 2.0, 1.0])[
+    ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1]::DOUBLE AS weight
+  FROM d GROUP BY source),
+-- the sources in the order in which they reach their caps, and the level if those before do
+o AS (
+  SELECT *, 3.0::DOUBLE * source_size AS cap, (SELECT sum(source_size) FROM s)::DOUBLE AS total,
+    coalesce(sum(3.0::DOUBLE * source_size) OVER before, 0) AS held,
+    sum(weight) OVER after AS free, row_number() OVER before AS turn
+  FROM s WINDOW
+    before AS (ORDER BY source_size / weight, source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    after AS (ORDER BY source_size / weight, source NULLS LAST
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+l AS (SELECT arg_min((total - held) / free, turn)
+        FILTER (weight * ((total - held) / free) <= cap) AS level FROM o),
+t AS (
+  SELECT source, source_size, least(cap, weight * level) AS target,
+    CASE WHEN source_size > 0 THEN floor(least(cap, weight * level) / source_size + 1e-12)
+         ELSE 0 END AS whole FROM o, l),
+r AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.whole,
+    greatest(0, t.target - t.whole * t.source_size) AS wanted,
+    sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS place,
+    sum(size) OVER (PARTITION BY d.source, h) AS unit
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target::DOUBLE AS target,
+  (size * (whole + CASE WHEN wanted > 0 AND place - unit / 2 <= wanted THEN 1 ELSE 0 END))::BIGINT
+    AS taken FROM r
+"""

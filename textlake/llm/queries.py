@@ -37,7 +37,7 @@ def op2_warc(spark, sf_dir):
 
 @query
 def op3_mixing(spark, sf_dir):
-    return mixing.mix_report(table(spark, sf_dir, "documents"))
+    return mixing.mix_report(table(spark, sf_dir, "documents")).drop("repeats")
 
 
 @query
@@ -91,6 +91,8 @@ def op10_line_dedup(spark, sf_dir):
         "doc_id", F.md5("text").alias("text_md5"), "n_lines", "n_removed")
 
 
+ORACLE_SQL["op9_chat"] = chat.PREFERENCE_SQL
 ORACLE_SQL["op10_line_dedup"] = lines.LINE_DEDUP_SQL
+ORACLE_SQL["op3_mixing"] = mixing.MIX_SQL
 ORACLE_SQL["op7_impact_topk"] = impact.TOP_K_SQL
 ORACLE_SQL["op2_warc"] = warc.WARC_SQL
