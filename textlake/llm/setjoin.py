@@ -23,13 +23,13 @@ Every comparison is of the sets themselves.
 from __future__ import annotations
 
 import functools
-import hashlib
 import math
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,15 +43,16 @@ BAND = 2
 #: A shingle that more than this share of the texts of a chunk have is reported as frequent; of
 #: the frequent ones at most this many, the most frequent, steer which subsets are left out.
 FREQUENT_SHARE, FREQUENT_CHUNK, MAX_FREQUENT = 0.002, 2048, 1 << 16
-#: Signatures are sent on in batches of about this many rows.
-BATCH_ROWS = 1 << 18
-#: Cells of the table of differences that are compared at once.
-COMPARE_CELLS = 1 << 22
+#: Signatures are made for sets of about this many members at once.
+BATCH_MEMBERS = 1 << 18
+#: Rows whose cells are compared together, pairs laid out at once, and numbers of sketches compared
+#: at once.
+CROSS_ROWS, PAIR_ROWS, COMPARE_CELLS = 1 << 14, 1 << 17, 1 << 21
+#: Rows of a star are held against its strays in cells of this many of either.
+CELL_ROWS = 4096
 #: What a subset that many sets have is taken to cost, in signatures.
 COMMON_COST = 200.0
 
-_ONE = np.uint64(1)
-
 
 def most_apart(sizes: int, percent: int = PERCENT) -> int:
     """Largest difference of two linked sets whose sizes add up to ``sizes``."""
@@ -116,48 +117,78 @@ def bands_of(size: int, percent: int = PERCENT) -> list[int]:
     return [own] + [own - 1] * (own > 0 and below * 100 >= size * percent)
 
 
+def _band_signatures(
+    band: int, sets: list[np.ndarray], docs: np.ndarray, frequent, percent: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of sets in one band, and the document of each."""
+    plan = scheme(band, percent)
+    n, rows = plan.plain + plan.deletion, len(sets)
+    sizes = np.array([len(s) for s in sets])
+    members = np.concatenate(sets)
+    row = np.repeat(np.arange(rows), sizes)
+    spread = mix(members ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    tokens = mix(members + np.uint64(0x5851F42D4C957F2D))
+    part = (((spread >> np.uint64(32)) * np.uint64(plan.parts)) >> np.uint64(32)).astype(np.int64)
+    # plain segments first; three parts make one deletion segment
+    segment = np.where(part < plan.plain, part, plan.plain + (part - plan.plain) // 3)
+    cell = row * n + segment
+    order = np.argsort(cell, kind="stable")
+    filled = np.bincount(cell, minlength=rows * n)
+    ends = np.cumsum(filled)
+    salt = mix(np.arange(n, dtype=np.uint64) + np.uint64((band + 1) << 40))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tokens[order])])
+    subset = sums[ends] - sums[ends - filled]
+    whole = mix(subset.reshape(rows, n) ^ salt)
+    keep = np.ones((rows, n), bool)
+    skips = np.array([plan.skips(size) for size in sizes.tolist()])
+    if plan.plain and skips.any():
+        common, counts = frequent
+        rarest = np.zeros(rows * n, np.int64)
+        if len(common):
+            at = np.searchsorted(common, members).clip(0, len(common) - 1)
+            weight = np.where(common[at] == members, counts[at], 0)[order]
+            some = filled > 0
+            rarest[some] = np.minimum.reduceat(weight, (ends - filled)[some])
+        rarest[filled == 0] = 1 << 40
+        # costliest first: the rarest shingle of a subset decides, then its size
+        cost = ((rarest << 20) + (1 << 20) - np.minimum(filled, 1 << 20)).reshape(rows, n)
+        costly = np.argsort(-cost[:, :plan.plain], axis=1, kind="stable")
+        left_out = np.arange(plan.plain) < skips[:, None]
+        at_row, at_place = np.nonzero(left_out)
+        keep[at_row, costly[at_row, at_place]] = False
+    found = [whole[keep]]
+    owner = [np.broadcast_to(docs[:, None], (rows, n))[keep]]
+    if plan.deletion:
+        inside = np.flatnonzero(segment >= plan.plain)
+        less = subset[cell[inside]] - tokens[inside]
+        found.append(mix(less ^ salt[segment[inside]]))
+        owner.append(docs[row[inside]])
+    return np.concatenate(found), np.concatenate(owner)
+
+
+def signatures_of(
+    sets: list[np.ndarray], docs: np.ndarray, frequent: tuple[np.ndarray, np.ndarray],
+    percent: int = PERCENT,
+) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of non-empty sets (sorted distinct hashes), and the document of each."""
+    by_band: dict[int, list[int]] = {}
+    for place, members in enumerate(sets):
+        for band in bands_of(len(members), percent):
+            by_band.setdefault(band, []).append(place)
+    made = [
+        _band_signatures(band, [sets[i] for i in places], docs[places], frequent, percent)
+        for band, places in by_band.items()]
+    if not made:
+        return np.zeros(0, np.uint64), docs[:0]
+    sigs, owners = zip(*made)
+    return np.concatenate(sigs), np.concatenate(owners)
+
+
 def signatures(
     members: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent: int = PERCENT,
 ) -> np.ndarray:
-    """All signatures of a set (sorted distinct hashes), over its bands."""
-    found = []
-    spread = mix(members ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    tokens = mix(members + np.uint64(0x5851F42D4C957F2D))
-    common, counts = frequent
-    weight = np.zeros(len(members), np.int64)
-    if len(common):
-        at = np.searchsorted(common, members).clip(0, len(common) - 1)
-        weight = np.where(common[at] == members, counts[at], 0)
-    for band in bands_of(len(members), percent):
-        plan = scheme(band, percent)
-        part = ((spread >> np.uint64(32)) * np.uint64(plan.parts)) >> np.uint64(32)
-        part = part.astype(np.int64)
-        # plain segments first; three parts make one deletion segment
-        segment = np.where(part < plan.plain, part, plan.plain + (part - plan.plain) // 3)
-        n = plan.plain + plan.deletion
-        order = np.argsort(segment, kind="stable")
-        sizes = np.bincount(segment, minlength=n)
-        ends = np.cumsum(sizes)
-        with np.errstate(over="ignore"):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tokens[order])])
-            subset = sums[ends] - sums[ends - sizes]
-            salt = mix(np.arange(n, dtype=np.uint64) + np.uint64((band + 1) << 40))
-            whole = mix(subset ^ salt)
-        skips = plan.skips(len(members))
-        keep = np.ones(n, bool)
-        if skips:
-            rarest = np.full(n, np.iinfo(np.int64).max)
-            filled = sizes > 0
-            rarest[filled] = np.minimum.reduceat(weight[order], (ends - sizes)[filled])
-            cost = np.lexsort((sizes[:plan.plain], -rarest[:plan.plain]))
-            keep[cost[:skips]] = False
-        found.append(whole[keep])
-        if plan.deletion:
-            inside = order[ends[plan.plain] - sizes[plan.plain]:] if plan.plain < n else order[:0]
-            own = segment[inside]
-            with np.errstate(over="ignore"):
-                found.append(mix((subset[own] - tokens[inside]) ^ salt[own]))
-    return np.unique(np.concatenate(found))
+    """All signatures of one set."""
+    return np.unique(signatures_of([members], np.zeros(1, np.int64), frequent, percent)[0])
 
 
 def sketch(members: np.ndarray) -> np.ndarray:
@@ -178,15 +209,22 @@ def folded(sketches: list[bytes]) -> np.ndarray:
         np.frombuffer(s, np.uint8).astype(np.int32).reshape(least, -1).sum(1) for s in sketches])
 
 
+def set_digest(members: np.ndarray) -> bytes:
+    """128 bits of the sorted members."""
+    return xxhash.xxh3_128_digest(members.tobytes())
+
+
 # --- passes over the texts -------------------------------------------------------------------
 
 FEATURES = "doc_id bigint, n_shingles bigint, digest binary, sketch binary, shingle bigint, n bigint"
 
 
 def _frequent(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    values = np.sort(np.concatenate(sets))
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[:len(values)])
+    counts = np.diff(starts, append=len(values))
     often = counts >= max(8, FREQUENT_SHARE * len(sets))
-    return values[often], counts[often]
+    return values[starts[often]], counts[often]
 
 
 def _features(batches) -> Iterator[pa.RecordBatch]:
@@ -205,7 +243,7 @@ def _features(batches) -> Iterator[pa.RecordBatch]:
         sizes, digests, sketches = [], [], []
         for members in shingle_sets(batch.column(1)):
             sizes.append(len(members))
-            digests.append(hashlib.blake2b(members.tobytes(), digest_size=16).digest())
+            digests.append(set_digest(members))
             sketches.append(sketch(members).tobytes())
             recent.append(members)
             if len(recent) >= FREQUENT_CHUNK:
@@ -222,29 +260,31 @@ def _features(batches) -> Iterator[pa.RecordBatch]:
 def _signature_rows(batches, frequent, percent) -> Iterator[pa.RecordBatch]:
     """``sig, doc`` of each text; of equal sets of a task only the first."""
     seen: set[bytes] = set()
-    parts, docs, rows = [], [], 0
+    sets: list[np.ndarray] = []
+    docs: list[int] = []
+    held = 0
 
     def flush() -> pa.RecordBatch:
-        sig = np.concatenate(parts).view(np.int64)
-        doc = np.repeat(np.array(docs, np.int64), [len(p) for p in parts])
-        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(doc)], names=["sig", "doc"])
+        sig, doc = signatures_of(sets, np.array(docs, np.int64), frequent, percent)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(sig.view(np.int64)), pa.array(doc)], names=["sig", "doc"])
 
     for batch in batches:
         ids = batch.column(0).to_pylist()
         for doc, members in zip(ids, shingle_sets(batch.column(1))):
             if doc is None or not len(members):
                 continue
-            digest = hashlib.blake2b(members.tobytes(), digest_size=16).digest()
+            digest = set_digest(members)
             if digest in seen:
                 continue
             seen.add(digest)
-            parts.append(signatures(members, frequent, percent))
+            sets.append(members)
             docs.append(doc)
-            rows += len(parts[-1])
-            if rows >= BATCH_ROWS:
+            held += len(members)
+            if held >= BATCH_MEMBERS:
                 yield flush()
-                parts, docs, rows = [], [], 0
-    if parts:
+                sets, docs, held = [], [], 0
+    if sets:
         yield flush()
 
 
@@ -290,64 +330,173 @@ def _shared_rows(batches) -> Iterator[pa.RecordBatch]:
 # --- candidates ------------------------------------------------------------------------------
 
 
-def _close(sizes: np.ndarray, table: np.ndarray, a: np.ndarray, percent: int) -> np.ndarray:
-    """For rows ``a`` against all rows: whether sizes and sketches allow a link."""
-    apart = (sizes[a, None] + sizes[None, :]) * (100 - percent) // (100 + percent)
-    low, high = np.minimum(sizes[a, None], sizes), np.maximum(sizes[a, None], sizes)
-    fits = high * percent <= low * 100
-    difference = np.zeros((len(a), len(sizes)), np.int64)
-    for cell in range(0, table.shape[1], 64):
-        piece = table[:, cell:cell + 64]
-        difference += np.abs(piece[a, None, :] - piece[None, :, :]).sum(2)
-    return fits & (difference <= apart)
-
-
-def _group_pairs(rows: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of a group that lie in different components and may link."""
-    docs, components, sizes, sketches = map(list, zip(*rows))
-    docs, components, sizes = (np.array(x, np.int64) for x in (docs, components, sizes))
-    table = folded(sketches)
-    step = max(1, COMPARE_CELLS // (len(docs) * min(64, table.shape[1])))
-    for start in range(0, len(docs), step):
-        a = np.arange(start, min(start + step, len(docs)))
-        ok = _close(sizes, table, a, percent)
-        ok &= (components[a, None] != components) & (a[:, None] < np.arange(len(docs)))
-        for i, j in zip(*np.nonzero(ok)):
-            yield min(docs[a[i]], docs[j]), max(docs[a[i]], docs[j])
+def _sketches_close(
+    a: np.ndarray, b: np.ndarray, sizes: np.ndarray, sketches: list[bytes], percent: int,
+) -> np.ndarray:
+    """For pairs of rows: whether their sketches allow a link, by lengths of the sketches."""
+    lengths = np.array([len(s) for s in sketches])
+    place = np.zeros(len(sketches), np.int64)
+    tables = {}
+    for length in np.unique(lengths).tolist():
+        own = np.flatnonzero(lengths == length)
+        place[own] = np.arange(len(own))
+        tables[length] = np.frombuffer(b"".join(sketches[i] for i in own), np.uint8).reshape(
+            len(own), length)
+    ok = np.zeros(len(a), bool)
+    combined = lengths[a] * (1 << 32) + lengths[b]
+    for value in np.unique(combined).tolist():
+        la, lb = value >> 32, value & ((1 << 32) - 1)
+        least = min(la, lb)
+        pairs = np.flatnonzero(combined == value)
+        for start in range(0, len(pairs), step := max(1, COMPARE_CELLS // max(la, lb))):
+            some = pairs[start:start + step]
+            x = tables[la][place[a[some]]].reshape(len(some), least, -1).sum(2, dtype=np.int32)
+            y = tables[lb][place[b[some]]].reshape(len(some), least, -1).sum(2, dtype=np.int32)
+            most = (sizes[a[some]] + sizes[b[some]]) * (100 - percent) // (100 + percent)
+            ok[some] = np.abs(x - y).sum(1) <= most
+    return ok
+
+
+def _distinct_pairs(a, b, docs, sizes, sketches, percent):
+    low, high = np.minimum(docs[a], docs[b]), np.maximum(docs[a], docs[b])
+    order = np.lexsort((high, low))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+    some = order[new]
+    some = some[_sketches_close(a[some], b[some], sizes, sketches, percent)]
+    return low[some], high[some]
+
+
+def _cell_pairs(
+    cell: np.ndarray, docs: np.ndarray, components: np.ndarray, stray: np.ndarray,
+    sizes: np.ndarray, sketches: list[bytes], percent: int,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a stray and any other row of the same cell that may link.
+
+    Rows are sorted by cell, so the partners of a row are a range; the ranges of as many strays
+    as make PAIR_ROWS pairs are laid out at once.
+    """
+    left, right = np.flatnonzero(stray), np.flatnonzero(~stray)
+    first, last = (np.searchsorted(cell[right], cell[left], side) for side in ("left", "right"))
+    counts = last - first
+    done = np.cumsum(counts)
+    start = 0
+    while start < len(left):
+        base = done[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(done, base + PAIR_ROWS, "right")))
+        n = counts[start:stop]
+        a = np.repeat(left[start:stop], n)
+        offsets = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        b = right[np.repeat(first[start:stop], n) + offsets]
+        ok = (components[a] != components[b]) & (
+            np.maximum(sizes[a], sizes[b]) * percent <= np.minimum(sizes[a], sizes[b]) * 100)
+        if ok.any():
+            yield _distinct_pairs(a[ok], b[ok], docs, sizes, sketches, percent)
+        start = stop
 
 
 def _cross_rows(batches, percent) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of rows that are sorted by signature, each pair of a task once."""
-    seen: set[tuple[int, int]] = set()
-    sig, rows = None, []
+    """Candidate pairs of rows that are sorted by cell, whole cells at a time.
 
-    def flush() -> pa.RecordBatch:
-        new = [p for p in set(_group_pairs(rows, percent)) if p not in seen]
-        if len(seen) < 1_000_000:
-            seen.update(new)
-        a, b = zip(*new) if new else ((), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    A cell has a bounded number of rows; they are held until it ends.
+    """
+    kept: list[tuple] = []
+    rows = 0
+
+    def flush():
+        parts = [np.concatenate([p[i] for p in kept]) for i in range(7)]
+        new = np.zeros(len(parts[0]), bool)
+        for column in parts[:3]:
+            new[1:] |= column[1:] != column[:-1]
+        cell = np.cumsum(new)
+        sketches = [s for p in kept for s in p[7]]
+        for a, b in _cell_pairs(cell, *parts[3:], sketches, percent):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
-            if row[0] != sig and rows:
-                yield flush()
-                rows = []
-            sig = row[0]
-            rows.append(row[1:])
-    if rows:
-        yield flush()
+        if not batch.num_rows:
+            continue
+        part = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+        part += (batch.column(7).to_pylist(),)
+        if rows >= CROSS_ROWS:
+            # cut where the last cell that is held ends
+            same = np.ones(len(part[0]), bool)
+            for i in range(3):
+                same &= part[i] == kept[-1][i][-1]
+            end = len(same) if same.all() else int(np.argmin(same))
+            kept.append(tuple(x[:end] for x in part))
+            rows += end
+            if end < len(same):
+                yield from flush()
+                kept, rows = [], 0
+            part = tuple(x[end:] for x in part)
+        if len(part[0]):
+            kept.append(part)
+            rows += len(part[0])
+    if kept:
+        yield from flush()
+
+
+def _close_rows(batches, percent) -> Iterator[pa.RecordBatch]:
+    """Of ``a, b`` with sizes and sketches of both, the pairs that may link."""
+    for batch in batches:
+        n = batch.num_rows
+        sizes = np.concatenate([batch.column(i).to_numpy() for i in (2, 4)])
+        sketches = batch.column(3).to_pylist() + batch.column(5).to_pylist()
+        at = np.arange(n)
+        ok = _sketches_close(at, at + n, sizes, sketches, percent) if n else np.zeros(0, bool)
+        yield batch.select([0, 1]).filter(pa.array(ok))
 
 
 def _allowed(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes allow a link; an exact condition."""
-    sizes = members.select("rep", "n_shingles")
-    joined = pairs.join(
-        sizes.withColumnRenamed("n_shingles", "na"), F.col("a") == F.col("rep")).drop("rep").join(
-        sizes.withColumnRenamed("n_shingles", "nb"), F.col("b") == F.col("rep")).drop("rep")
-    return joined.filter(
-        F.greatest("na", "nb") * percent <= F.least("na", "nb") * 100).select("a", "b")
+    """Pairs whose sizes and sketches allow a link; exact conditions."""
+    a, b = (members.select(F.col("rep").alias(side), F.col("n_shingles").alias(f"n{side}"),
+                           F.col("sketch").alias(f"s{side}")) for side in "ab")
+    joined = pairs.join(a, "a").join(b, "b").filter(
+        F.greatest("na", "nb") * percent <= F.least("na", "nb") * 100)
+    return joined.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(
+        partial(_close_rows, percent=percent), "a bigint, b bigint").distinct()
+
+
+def _crossing(
+    star: DataFrame, components: DataFrame, members: DataFrame, percent: int,
+) -> DataFrame:
+    """Candidate pairs that the stars ``(centre, rep)`` have left in different components.
+
+    Two sets with a common signature are in the star of its centre. If they lie apart, one of
+    them at least is a stray: not in the centre's component. So strays are held against all rows
+    of their star. A star is dealt into cells of bounded numbers of strays and of other rows.
+    """
+    label = components.select(F.col("node").alias("n1"), F.col("component").alias("c1"))
+    centre_label = components.select(F.col("node").alias("n2"), F.col("component").alias("c2"))
+    rows = stored(
+        star.join(label, F.col("rep") == F.col("n1"), "left")
+        .join(centre_label, F.col("centre") == F.col("n2"), "left")
+        .select("centre", "rep", F.coalesce("c1", "rep").alias("component"),
+                (F.coalesce("c1", "rep") != F.coalesce("c2", "centre")).alias("stray")), "stars")
+    dealt = F.ceil(F.greatest(F.lit(1), F.col("n")) / CELL_ROWS).cast("int")
+    parts = rows.groupBy(F.col("centre").alias("of")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("stray").cast("int")).alias("s")).filter(
+            "s > 0 AND n > 1").select(
+                "of", dealt.alias("parts"),
+                F.ceil(F.col("s") / CELL_ROWS).cast("int").alias("stray_parts"))
+    spread = F.xxhash64("rep")
+    number = lambda n: F.pmod(spread, n).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    placed = rows.join(parts, F.col("centre") == F.col("of"))
+    right = placed.select(
+        "centre", number(F.col("parts")).alias("part"),
+        F.explode(every(F.col("stray_parts"))).alias("stray_part"), "rep", "component",
+        F.lit(False).alias("stray"))
+    left = placed.filter("stray").select(
+        "centre", F.explode(every(F.col("parts"))).alias("part"),
+        number(F.col("stray_parts")).alias("stray_part"), "rep", "component", "stray")
+    cells = left.unionByName(right).join(
+        members.withColumnRenamed("rep", "of"), F.col("rep") == F.col("of"))
+    key = ("centre", "part", "stray_part")
+    return cells.select(*key, "rep", "component", "stray", "n_shingles", "sketch").repartition(
+        *key).sortWithinPartitions(*key).mapInArrow(
+            partial(_cross_rows, percent=percent), "a bigint, b bigint").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -413,25 +562,14 @@ def link_sets(
     centres = groups.join(popular, F.col("rep") == F.col("of")).groupBy(F.col("sig").alias("s")).agg(
         F.max(F.struct("popularity", (-F.col("rep")).alias("less"))).alias("top")).select(
             "s", (-F.col("top.less")).alias("centre"))
-    star = groups.join(centres, (F.col("sig") == F.col("s")) & (F.col("rep") != F.col("centre")))
+    star = stored(groups.join(centres, (F.col("sig") == F.col("s")) & (
+        F.col("rep") != F.col("centre"))).select("centre", "rep").distinct(), "star")
     pairs = stored(_allowed(star.select(
         F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct(),
         members, percent), "pairs")
     links = stored(_verified(pairs, held, percent), "links")
     first = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    # what the stars left apart is compared across components
-    labelled = stored(groups.join(first, F.col("rep") == F.col("node"), "left").select(
-        "sig", "rep", F.coalesce("component", "rep").alias("component")), "labelled")
-    open_groups = labelled.groupBy(F.col("sig").alias("s")).agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    left = labelled.join(open_groups.select("s"), F.col("sig") == F.col("s"), "left_semi").join(
-        members.withColumnRenamed("rep", "of"), F.col("rep") == F.col("of")).select(
-            "sig", "rep", "component", "n_shingles", "sketch")
-    crossing = _sorted_by(left, "sig", "rep").mapInArrow(
-        partial(_cross_rows, percent=percent), "a bigint, b bigint").distinct()
-    new_pairs = stored(crossing.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(new_pairs, held, percent)
+    more = _verified(stored(_crossing(star, first, members, percent), "crossing"), held, percent)
     # one key with several sets is one node
     several = reps.groupBy(F.col("of").alias("key")).agg(
         F.min("rep").alias("u"), F.max("rep").alias("top")).filter("u < top")

@@ -69,7 +69,8 @@ def _chunk_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     rolled = mix(rolled)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= SHINGLE_WORDS:
-            yield np.unique(rolled[a:b - SHINGLE_WORDS + 1])
+            own = np.sort(rolled[a:b - SHINGLE_WORDS + 1])
+            yield own[np.concatenate([[True], own[1:] != own[:-1]])]
         else:
             whole = np.uint64(b - a)
             for word in hashes[a:b]:
