@@ -131,6 +131,8 @@ def test_tuning_scores_every_setting(spark, toy):
     scores, best = jobs.tune_job(toy, grid, n_settings=2, folds=2, n_samples=60)
     assert scores.count() == 2 and scores.agg(F.min("f1")).first()[0] == 1.0
     assert best.stages[-1].numFeatures == 10 + 6
+    names = models.feature_names(best, "style")
+    assert len(names) == 16 and names[-6:] == features.STYLE_FEATURES
 
 
 def test_evaluation_counts_every_class_and_refuses_nulls(spark):

@@ -17,7 +17,6 @@ from pyspark.ml.feature import (
     SQLTransformer,
     VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array  # noqa: F401
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +31,7 @@ STYLE_FEATURES = [
     "caps_ratio", "exclamation_density", "question_density",
     "content_word_count", "avg_word_length", "title_content_ratio",
 ]
+EXTRA_FEATURES = {"text": [], "metadata": METADATA_FEATURES, "style": STYLE_FEATURES}
 BOW_FEATURES = 10_000
 TFIDF_FEATURES, TFIDF_MIN_DF, TFIDF_MAX_DF = 1500, 10, 0.9
 
@@ -225,10 +225,9 @@ def feature_stages(
     text_stages: Transformer, feature_set: str, output: str = "features",
 ) -> list[Transformer]:
     """Text features alone, or with the metadata or style columns of the row appended."""
-    extra = {"text": [], "metadata": METADATA_FEATURES, "style": STYLE_FEATURES}
-    if feature_set not in extra:
+    if feature_set not in EXTRA_FEATURES:
         raise ValueError(f"Unsupported feature set: {feature_set}")
     return [
         *text_stages.stages,
-        VectorAssembler(inputCols=["text_features", *extra[feature_set]], outputCol=output),
+        VectorAssembler(inputCols=["text_features", *EXTRA_FEATURES[feature_set]], outputCol=output),
     ]

@@ -56,9 +56,9 @@ def seeded_key(id_column: Column, seed: int) -> Column:
 
 
 def hash_ordering(id_column: Column, seed: int) -> Ordering:
-    """Order by the seeded key; levels are three hex digits (4096 values) at a time."""
+    """Order by the seeded key; levels are two hex digits (256 values) at a time."""
     key = seeded_key(id_column, seed)
-    levels = tuple(F.substring(key, start, 3) for start in range(1, 13, 3))
+    levels = tuple(F.substring(key, start, 2) for start in range(1, 15, 2))
     return Ordering((key, id_column), levels)
 
 

@@ -200,8 +200,11 @@ def tune_job(
     text counts as empty.
     """
     train = features.style_features(_labelled(train, text, label, True))
-    stages = _tfidf_stages(
-        train, text, "style", id_column, fit_rows, **(vocabulary_limits or {}))
+
+    def stages(rows: DataFrame) -> list:
+        return _tfidf_stages(
+            rows, text, "style", id_column, fit_rows, **(vocabulary_limits or {}))
+
     folded = sampling.cv_folds(train, folds, label, id_column=id_column)
     drawn = sampling.bootstrap_sample(folded, n_samples, label, id_column=id_column)
     return models.tune_gbt(drawn, stages, grid, n_settings, folds, label)

@@ -600,8 +600,8 @@ ORACLE_SQL["corpus_report"] = f"""WITH
   UNION ALL SELECT 'artefact_stats', 3
   UNION ALL SELECT 'artefact_by_label', 3 * count(DISTINCT type) FROM labelled"""
 ORACLE_SQL["stream_cleaning"] = f"""SELECT doc_id::VARCHAR AS id,
-  CASE lang WHEN 'en' THEN 0 ELSE 1 END AS type, source AS domain,
-  {_normalized('text')} AS content_normalized FROM documents WHERE lang IN ('en', 'fr')"""
+  CASE WHEN lang IN ('en', 'de') THEN 0 ELSE 1 END AS type, source AS domain,
+  {_normalized('text')} AS content_normalized FROM documents"""
 ORACLE_SQL["stream_vocabulary"] = (
     f"SELECT DISTINCT unnest({_normal_tokens('text')}) AS term FROM documents")
 
@@ -649,3 +649,7 @@ ORACLE_SQL["split_job_chronological"] = (
     f"SELECT id, {_sequential('scraped_at, id')} AS split FROM {_ORDERS}")
 ORACLE_SQL["split_job_stratified"] = f"""WITH {_stratified(_ORDERS, 'type', 'id')}
   SELECT id, split FROM assigned"""
+ORACLE_SQL["model_parts"] = f"""WITH labelled AS (
+    SELECT id, type::INTEGER AS type FROM {LABELLED} WHERE type IS NOT NULL),
+  {_stratified('labelled', 'type', 'id')}
+  SELECT id, type, split AS part FROM assigned"""

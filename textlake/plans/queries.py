@@ -640,6 +640,16 @@ def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return parts["train"], parts["val"]
 
 
+@query
+def model_parts(spark, sf_dir):
+    """The labelled rows that the classifiers are trained on and judged by, with their part."""
+    parts = None
+    for name, part in _processed_parts(spark, sf_dir).items():
+        rows = part.select("id", F.col("type").cast("int").alias("type"), F.lit(name).alias("part"))
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts
+
+
 SMALL_TREES = {"trees": 5, "depth": 4}
 
 
@@ -693,8 +703,8 @@ def top_terms_by_class(spark, sf_dir):
 
 @query
 def term_contributions(spark, sf_dir):
-    model, terms, validation = _linear(spark, sf_dir)
-    return models.term_contributions(validation, model, terms, ["id"])
+    model, _, validation = _linear(spark, sf_dir)
+    return models.term_contributions(validation, model, models.feature_names(model), ["id"])
 
 
 @query
@@ -796,7 +806,7 @@ def stream_cleaning(spark, sf_dir):
     stream = _document_stream(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("id"),
         F.when(F.col("lang") == "en", "reliable").when(F.col("lang") == "fr", "satire")
-        .alias("type"),
+        .when(F.col("lang") == "de", "political").otherwise("unreliable").alias("type"),
         F.col("text").alias("content"), F.col("source").alias("domain"))
     output = scratch_path(spark, "stream")
     incremental.append_cleaned(stream, output, scratch_path(spark, "state")).awaitTermination()
