@@ -25,6 +25,8 @@ from textlake.session import scratch_path
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
+#: Frames that a reading task is given.
+TASK_FRAMES = 256
 LEVEL = 3
 
 # Fixed values of the seekable format.
@@ -247,12 +249,16 @@ def read_records(index: DataFrame) -> DataFrame:
     """The records that ``index`` names (all of an index, or the rows wanted).
 
     Each frame that holds a wanted record is read once, by seeking; records are cut out at their
-    offsets. A revisit has a null payload and the length and digest of the full one.
+    offsets. A revisit has a null payload and the length and digest of the full one. The tasks are
+    as many as the frames ask for: the rows of an index are far smaller than what they name.
     """
     frames = index.groupBy("bundle", "frame").agg(F.collect_list(
         F.struct(F.col("record_offset").alias("at"), F.col("record_bytes").alias("n")),
     ).alias("records"))
-    return frames.mapInArrow(_read, RECORD_SCHEMA)
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, -(-index.select("bundle", "frame").distinct().count() // TASK_FRAMES))
+    return frames.repartition(tasks, "bundle", "frame").sortWithinPartitions(
+        "bundle", "frame").mapInArrow(_read, RECORD_SCHEMA)
 
 
 WARC_SQL = """
