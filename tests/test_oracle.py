@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, differences
 from tests.conftest import SF_DIR
+from textlake.plans.oracle import ORACLE_SQL as ORACLE
+from textlake.plans.queries import QUERIES
 
-ORACLE = entry.oracle_sql()
-MODEL_QUERIES = sorted(set(entry.queries()) - set(ORACLE))
+MODEL_QUERIES = sorted(set(QUERIES) - set(ORACLE))
 
 
 @pytest.fixture(scope="module")
@@ -17,18 +18,20 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, connection, name):
-    assert differences(entry.queries()[name](spark, SF_DIR), connection, ORACLE[name]) is None
+    assert differences(QUERIES[name](spark, SF_DIR), connection, ORACLE[name]) is None
 
 
 @pytest.mark.parametrize("name", MODEL_QUERIES)
 def test_query_without_sql_gives_rows(spark, name):
-    assert not entry.queries()[name](spark, SF_DIR).isEmpty()
+    assert not QUERIES[name](spark, SF_DIR).isEmpty()
 
 
 def test_every_sql_has_a_query():
-    assert set(ORACLE) <= set(entry.queries())
+    assert set(ORACLE) <= set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
     rows = entry.entry(spark).collect()
-    assert [row["type"] for row in sorted(rows)] == [0, 1]
+    assert {row["type"] for row in rows} == {0, 1, None}
+    assert sum(row["percent"] for row in rows) == pytest.approx(100, abs=0.01)
