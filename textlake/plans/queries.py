@@ -755,7 +755,7 @@ def corpus_report_values(spark, sf_dir):
     for name, table in jobs.corpus_report(rows).items():
         if name in ("rank_frequency", "top_words_normalized", "top_words_processed"):
             table = table.select("term", "n")
-        keys = [c for c, kind in table.dtypes if c in ("type", "term", "domain", "bin", "artefact")]
+        keys = [c for c, _ in table.dtypes if c in ("type", "term", "domain", "bin", "feature")]
         values = [c for c, _ in table.dtypes if c not in keys]
         label = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
         part = table.select(label.alias("row"), F.explode(F.array(*[
