@@ -84,6 +84,30 @@ def test_hilbert_windows_have_recall(spark):
     assert hits / (60 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.5])
+def test_hilbert_recall_holds_without_structure(spark, spread):
+    """Many blocks of isotropic vectors, of equal and of unequal lengths."""
+    random = np.random.default_rng(9)
+    made = random.normal(size=(16000, 64))
+    made *= (np.exp(spread * random.normal(size=16000)) / np.linalg.norm(made, axis=1))[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made)],
+                               "vec_id long, embedding array<double>")
+    got = found(hilbert.nearest(df, every=100, block_rows=128))
+    scores = made @ made.T
+    hits = 0
+    for i in range(0, 16000, 100):
+        scores[i, i] = -np.inf
+        hits += len(set(np.argsort(-scores[i])[:20]) & {j for j, _ in got[i]})
+    assert hits / (160 * 20) >= 0.9
+
+
+def test_windows_cover_what_is_asked():
+    apart = np.array([[0, 9], [1, 9], [9, 0], [9, 0]])
+    assert hilbert.choose_windows(apart, 100, 1.0) == (2, 1)
+    assert hilbert.choose_windows(apart, 100, 0.75) == (2, 0)
+    assert hilbert.choose_windows(apart, 5, 1.0) == (1, 5)
+
+
 def test_hilbert_keys_walk_the_grid():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = hilbert.hilbert_keys(grid, 3)

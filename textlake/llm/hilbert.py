@@ -1,13 +1,15 @@
 """Approximate nearest neighbours by shifted space-filling curves.
 
-The vectors are projected by a few random rotations; each projection is shifted, laid on a grid
-and ordered along a Hilbert curve. Every curve is range-partitioned and cut into blocks of equally
-many rows. A query is compared with its own block and the neighbouring ones on every curve, in
+The vectors get a component more that tells long from short ones, and are projected by a few
+random rotations; each projection is shifted, laid on a grid and ordered along a Hilbert curve.
+Every curve is range-partitioned and cut into blocks of equally many rows. A query is set where
+its neighbours are expected and compared with the blocks around that place on every curve, in
 double precision on the original vectors, and what the curves find is merged.
 
-The work is CURVES * 3 * BLOCK_ROWS comparisons a query, whatever the number of rows. Recall on
-vectors without any structure therefore sinks as the table grows; CURVES and BLOCK_ROWS are the
-dials.
+How many curves and how many blocks to either side follows from the table: a bounded sample of
+the queries is compared with all rows, and the cheapest choice that covers RECALL of the sample's
+true neighbours serves all queries. Where that costs as much as all blocks, as on large tables
+without any structure, every query meets every block and the result is exact.
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ from textlake.llm.vectors import finite_vectors, is_query, matrix
 from textlake.operators.ranking import global_index
 
 CURVES, BLOCK_ROWS = 8, 4096
+#: Share of the true neighbours of SAMPLE_QUERIES queries that the windows must cover; above the
+#: 0.9 asked for by more than the sample's error.
+RECALL, SAMPLE_QUERIES = 0.95, 128
+#: A task compares at most about this many queries with a block.
+TASK_QUERIES = 4096
 #: Dimensions of a projection and bits of the grid in each: together at most 62.
 GRID_DIMS, GRID_BITS = 4, 14
 #: The grid is fitted to the spread of at most this many vectors.
@@ -81,16 +88,81 @@ def curve_keys(vectors: np.ndarray, curve: tuple) -> np.ndarray:
     return hilbert_keys(cells, GRID_BITS)
 
 
-def _keys(batches, curves):
+def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """With one component more, the smaller the longer a vector is; 0 from ``longest`` on."""
+    rest = np.sqrt((longest ** 2 - np.einsum("ij,ij->i", vectors, vectors)).clip(0))
+    return np.column_stack([vectors, rest])
+
+
+def expected_place(queries: np.ndarray, along: float, rest: float) -> np.ndarray:
+    """Where the neighbours of each query lie in the middle: in its direction, and their length."""
+    lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+    return np.column_stack([queries * (along / lengths)[:, None], np.full(len(queries), rest)])
+
+
+def _keys(batches, curves, longest):
     for batch in batches:
         vectors = matrix(pa.chunked_array([batch.column("v")]))
         for number, curve in enumerate(curves if batch.num_rows else ()):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(batch.num_rows, number), pa.int32()),
-                 pa.array(curve_keys(vectors, curve)), batch.column("cid")],
+                 pa.array(curve_keys(lifted(vectors, longest), curve)), batch.column("cid")],
                 names=["curve", "place", "cid"])
 
 
+def _sought(batches, curves, starts, along, rest):
+    """Per query its score with itself and, for each curve, the block of its expected place."""
+    for batch in batches:
+        queries = matrix(pa.chunked_array([batch.column("v")]))
+        if not batch.num_rows:
+            continue
+        place = expected_place(queries, along, rest)
+        at = np.column_stack([
+            (np.searchsorted(first, curve_keys(place, curve), "right") - 1).clip(0)
+            for curve, first in zip(curves, starts)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("cid"), batch.column("v"),
+             pa.array(np.einsum("ij,ij->i", queries, queries)), pa.array(at.tolist())],
+            names=["cid", "v", "own", "at"])
+
+
+def _best_of_all(batches, qids, queries, k):
+    """The k best rows of a task for each of a few queries, without the query's own."""
+    kept = [(np.zeros(0), np.zeros(0, np.int64), np.zeros((0, queries.shape[1])))] * len(qids)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        vectors = matrix(pa.chunked_array([batch.column("v")]))
+        ids = batch.column("cid").to_numpy()
+        best, scores = top_scores(queries, vectors, ids, k + 1)
+        for at, qid in enumerate(qids):
+            other = ids[best[at]] != qid
+            joined = [np.concatenate(both) for both in zip(
+                kept[at], (scores[at][other], ids[best[at]][other], vectors[best[at]][other]))]
+            order = np.lexsort((joined[1], -joined[0]))[:k]
+            kept[at] = tuple(part[order] for part in joined)
+    for qid, (scores, ids, vectors) in zip(qids, kept):
+        if len(ids):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(ids), qid)), pa.array(ids), pa.array(scores),
+                 pa.array(vectors.tolist(), pa.list_(pa.float64()))],
+                names=["qid", "cid", "score", "v"])
+
+
+def choose_windows(apart: np.ndarray, blocks: int, recall: float) -> tuple[int, int]:
+    """Curves and blocks to either side, the cheapest that cover ``recall`` of the pairs.
+
+    ``apart`` has a row for each pair of a query and a true neighbour: the blocks between them on
+    each curve. One curve and all blocks where nothing else is cheaper.
+    """
+    best = (blocks, 1, blocks)
+    for curves in range(1, apart.shape[1] + 1):
+        nearest = np.sort(apart[:, :curves].min(1))
+        reach = int(nearest[max(0, int(np.ceil(recall * len(nearest))) - 1)]) if len(nearest) else 0
+        best = min(best, (curves * (2 * reach + 1), curves, reach))
+    return best[1:]
+
+
 def top_scores(queries, vectors, ids, k) -> tuple[np.ndarray, np.ndarray]:
     """The k best columns of each query by (score, smaller id), and their scores."""
     scores = queries @ vectors.T
@@ -138,6 +210,7 @@ def _classes(vectors: DataFrame, k: int) -> DataFrame:
 def nearest(
     df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20,
     every: int = 20, curves: int = CURVES, block_rows: int = BLOCK_ROWS, seed: int = 42,
+    recall: float = RECALL,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k rows of largest inner product that are found.
 
@@ -145,36 +218,93 @@ def nearest(
     Ties go to the smaller key. Zero vectors take no part, nor do the rows that
     ``finite_vectors`` leaves out. Equal vectors are searched once and all found together. With
     fewer than k candidates all are returned; an empty table returns nothing.
+
+    At most ``curves`` curves are used, as many and with windows as wide as cover ``recall`` of
+    the true neighbours of a sample of the queries.
     """
     vectors = stored(finite_vectors(df, key, vector).filter(
         F.exists("v", lambda x: x != 0)), "vectors")
     classes = stored(_classes(vectors, k + 1), "vector-classes")
-    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE_ROWS).select("v").collect()
-    fitted = fit_curves(np.array([row["v"] for row in sample]), curves, seed) if sample else []
-    placed = global_index(
-        classes.select("cid", "v").mapInArrow(
-            partial(_keys, curves=fitted), "curve int, place long, cid long"),
-        "curve", "place", "cid")
-    rows = classes.count()
-    block = F.floor((F.col("row_index") - F.col("curve") * rows) / block_rows).cast("long")
-    blocks = placed.select("curve", block.alias("block"), "cid").join(
-        classes.select("cid", "v"), "cid")
     asked = vectors.filter(is_query(F.col("vec_id"), every)).join(
         classes.select("cid", F.col("v").alias("w")), F.col("v") == F.col("w")).select(
             F.col("vec_id").alias("query_id"), "cid")
     asked = stored(asked, "queries")
-    around = F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))
-    seekers = blocks.join(asked.select("cid").distinct(), "cid", "left_semi").select(
-        F.col("curve").alias("curve"), around.alias("block"), F.col("cid").alias("cid"),
-        F.col("v").alias("v"))
-    found = seekers.groupBy("curve", "block").cogroup(blocks.groupBy("curve", "block")).applyInArrow(
+    askers = classes.select("cid", "v").join(asked.select("cid").distinct(), "cid", "left_semi")
+    by_hash = (F.xxhash64("cid"), "cid")
+    tried = askers.orderBy(*by_hash).limit(SAMPLE_QUERIES).collect()
+    sample = classes.orderBy(*by_hash).limit(SAMPLE_ROWS).select("v").collect() if tried else []
+
+    longest, along, rest, pairs, fitted = 0.0, 0.0, 0.0, [], []
+    if tried:
+        spread = np.array([row["v"] for row in sample])
+        longest = float(np.sqrt(np.einsum("ij,ij->i", spread, spread).max()))
+        fitted = fit_curves(lifted(spread, longest), curves, seed)
+        qids, queries = [row["cid"] for row in tried], np.array([row["v"] for row in tried])
+        order = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
+        pairs = classes.select("cid", "v").mapInArrow(
+            partial(_best_of_all, qids=qids, queries=queries, k=k),
+            "qid long, cid long, score double, v array<double>").withColumn(
+                "rank", F.row_number().over(order)).filter(F.col("rank") <= k).collect()
+    if pairs:
+        met = lifted(np.array([row["v"] for row in pairs]), longest)
+        lengths = dict(zip(qids, np.sqrt(np.einsum("ij,ij->i", queries, queries))))
+        along = float(np.mean([row["score"] / lengths[row["qid"]] for row in pairs]))
+        rest = float(met[:, -1].mean())
+
+    rows = classes.count()
+    n_blocks = max(1, -(-rows // block_rows))
+    placed = global_index(
+        classes.select("cid", "v").mapInArrow(
+            partial(_keys, curves=fitted, longest=longest), "curve int, place long, cid long"),
+        "curve", "place", "cid").withColumn("row_index", F.col("row_index") - F.col("curve") * rows)
+    placed = placed.withColumn("block", F.floor(F.col("row_index") / block_rows).cast("long"))
+    starts = [[] for _ in fitted]
+    for row in placed.filter(F.col("row_index") % block_rows == 0).select(
+            "curve", "block", "place").orderBy("curve", "block").collect():
+        starts[row["curve"]].append(row["place"])
+    starts = [np.array(first, np.int64) for first in starts]
+    sought = stored(askers.mapInArrow(
+        partial(_sought, curves=fitted, starts=starts, along=along, rest=rest),
+        "cid long, v array<double>, own double, at array<long>"), "sought")
+
+    number, reach = 1, n_blocks
+    if pairs and n_blocks > 1:
+        met = sorted({row["cid"] for row in pairs})
+        met = placed.join(df.sparkSession.createDataFrame([(i,) for i in met], "cid long"), "cid")
+        at = {(row["cid"], row["curve"]): row["block"] for row in met.collect()}
+        place = expected_place(queries, along, rest)
+        from_block = {qid: blocks for qid, blocks in zip(qids, zip(*(
+            (np.searchsorted(first, curve_keys(place, curve), "right") - 1).clip(0).tolist()
+            for curve, first in zip(fitted, starts))))}
+        apart = np.array([[abs(at[row["cid"], c] - from_block[row["qid"]][c])
+                           for c in range(len(fitted))] for row in pairs])
+        number, reach = choose_windows(apart, n_blocks, recall)
+
+    seekers = sought.select("cid", "v", F.posexplode(F.slice("at", 1, number)).alias("curve", "at"))
+    seekers = seekers.select("cid", "v", "curve", F.explode(F.sequence(
+        F.greatest(F.col("at") - reach, F.lit(0)),
+        F.least(F.col("at") + reach, F.lit(n_blocks - 1)))).alias("block"))
+    # a block that many queries meet is compared with a part of them at a time
+    parts = seekers.groupBy("curve", "block").agg(
+        F.ceil(F.count(F.lit(1)) / TASK_QUERIES).cast("int").alias("parts"))
+    parts = stored(parts, "parts")
+    seekers = seekers.join(parts, ["curve", "block"]).select(
+        "curve", "block", F.pmod(F.xxhash64("cid"), "parts").cast("int").alias("part"), "cid", "v")
+    blocks = placed.select("curve", "block", "cid").join(parts, ["curve", "block"]).join(
+        classes.select("cid", "v"), "cid").select(
+            "curve", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            "cid", "v")
+    keys = ["curve", "block", "part"]
+    found = seekers.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(
         partial(_compare, k=k + 1), "qid long, cids array<long>, scores array<double>")
     hits = F.arrays_zip("cids", "scores")
     merged = found.groupBy("qid").agg(F.flatten(F.collect_list(hits)).alias("hits")).select(
         "qid", F.explode(F.slice(F.array_sort(F.array_distinct(F.transform(
-            "hits", lambda h: F.struct((-h["scores"]).alias("less"), h["cids"].alias("cid"))))),
-            1, k + 1)).alias("hit"))
-    members = merged.select("qid", "hit.*").join(classes.select("cid", "ids"), "cid")
+            F.filter("hits", lambda h: h["cids"] != F.col("qid")),
+            lambda h: F.struct((-h["scores"]).alias("less"), h["cids"].alias("cid"))))),
+            1, k + 1)).alias("hit")).select("qid", "hit.*")
+    own = sought.select(F.col("cid").alias("qid"), (-F.col("own")).alias("less"), "cid")
+    members = merged.unionByName(own).join(classes.select("cid", "ids"), "cid")
     ranked = members.groupBy("qid").agg(F.slice(F.array_sort(F.flatten(F.collect_list(F.transform(
         "ids", lambda i: F.struct("less", i.alias("vec_id")))))), 1, k + 1).alias("hits"))
     own = asked.join(ranked, F.col("cid") == F.col("qid")).select("query_id", F.slice(F.filter(
