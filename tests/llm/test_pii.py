@@ -55,6 +55,23 @@ def test_disguises(text, kind, value):
     assert value in found
 
 
+@pytest.mark.parametrize("text, kind, plain_part, value", [
+    ("to j\u043ehn@example.com now", "email", "hn@example.com", "j\u043ehn@example.com"),
+    ("ip 192.168.0.1\uff12 here", "ip", "192.168.0.1", "192.168.0.1\uff12"),
+    ("call +49 30 1234\uff15\uff1667 now", "phone", "+49 30 1234", "+49 30 1234\uff15\uff1667"),
+])
+def test_partly_disguised_is_added_whole(text, kind, plain_part, value):
+    base, added = pii.find_all(text)
+    assert [text[a:b] for a, b in base[kind]] == [plain_part]
+    assert [text[a:b] for a, b in added[kind]] == [value]
+
+
+def test_equal_or_inner_spans_are_not_added():
+    text = "a\u00adb c@example.com and 10.0.0.1"
+    base, added = pii.find_all(text)
+    assert len(base["email"]) == len(base["ip"]) == 1 and not any(added.values())
+
+
 def test_plain_prose_stays_clean():
     for text in ("Meet me at noon. Dot your i at home.", "un deux trois", "one or two, three times",
                  "Deux et un font trois.", "look at the dot on the wall"):

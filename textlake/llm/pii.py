@@ -4,7 +4,8 @@ Plain identifiers are found by the base patterns. Then a text that shows signs o
 normalised by small transducers (look-alike letters and digits, invisible characters, digits
 spelled as words, "at" and "dot" written out), each of which keeps for every character it writes
 the source characters it stands for. Identifiers found in the normal form are mapped back and
-added where no base span of their kind is touched.
+added unless they lie within a base span of their kind; one that is partly disguised is added whole
+beside the base span of its plain part.
 """
 
 from __future__ import annotations
@@ -264,7 +265,7 @@ def normalise(source: str) -> Normal | None:
 
 
 def added_spans(source: str, base: dict[str, list[Span]]) -> dict[str, list[Span]]:
-    """Spans that only the normal form shows, without those that touch a base span of the kind."""
+    """Spans that only the normal form shows: those that lie within no base span of the kind."""
     form = normalise(source)
     found: dict[str, list[Span]] = {kind: [] for kind in KINDS}
     if form is None:
@@ -274,8 +275,8 @@ def added_spans(source: str, base: dict[str, list[Span]]) -> dict[str, list[Span
         for span in map(form.source_span, find(form.text)):
             while at < len(taken) and taken[at][1] <= span[0]:
                 at += 1
-            if (at == len(taken) or taken[at][0] >= span[1]) and (
-                    not found[kind] or found[kind][-1][1] <= span[0]):
+            inside = at < len(taken) and taken[at][0] <= span[0] and span[1] <= taken[at][1]
+            if not inside and (not found[kind] or found[kind][-1][1] <= span[0]):
                 found[kind].append(span)
     return found
 
