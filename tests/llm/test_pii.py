@@ -1,5 +1,6 @@
 import random
 import re
+import sys
 
 import pytest
 
@@ -72,6 +73,38 @@ def test_equal_or_inner_spans_are_not_added():
     assert len(base["email"]) == len(base["ip"]) == 1 and not any(added.values())
 
 
+@pytest.mark.parametrize("text, kind, value", [
+    ("to \U0001d41co@example.com", "email", "\U0001d41co@example.com"),
+    ("to \u24d0nn@example.com", "email", "\u24d0nn@example.com"),
+    ("to ann\ufe6bexample\ufe52com", "email", "ann\ufe6bexample\ufe52com"),
+    ("ip \u09e7\u09e6.0.0.1 here", "ip", "\u09e7\u09e6.0.0.1"),
+    ("ip \u0e51\u0e50.0.0.\u2780 here", "ip", "\u0e51\u0e50.0.0.\u2780"),
+    ("john@example .com", "email", "john@example .com"),
+    ("+four nine 17612345678", "phone", "+four nine 17612345678"),
+])
+def test_signs_are_seen_in_any_form(text, kind, value):
+    base, added = pii.find_all(text)
+    assert value in [text[a:b] for a, b in added[kind]]
+
+
+def test_sign_characters_are_what_is_undone():
+    for char in map(chr, range(0x80, sys.maxunicode + 1)):
+        assert bool(pii._SIGN_CHARS.match(char)) == (pii.plain_form(char) != char), hex(ord(char))
+
+
+def test_cheap_tests_pass_over_nothing(monkeypatch):
+    random.seed(11)
+    parts = [*pii.SPELLED, "FİVE", *pii.DOT_WORDS.split("|"), *pii.AT_WORDS.split("|"), "[at]", "( dot )", "<.>",
+             "a", "bo", "example", "com", "org", "@", ".", ".", "+", "-", ",", "1", "192", "49",
+             "\u00a0", "\u2003", "\n", "\u0967", "\U0001d41a", "\u043e", "\u00ad", "é", "17612345678"]
+    texts = ["".join(random.choice(parts) + random.choice(["", " ", " "])
+                     for _ in range(random.randint(1, 14))) for _ in range(20_000)]
+    gated = [pii.find_all(text) for text in texts]
+    monkeypatch.setattr(pii, "shows_signs", lambda text: True)
+    for text, found in zip(texts, gated):
+        assert pii.find_all(text) == found, text
+
+
 def test_plain_prose_stays_clean():
     for text in ("Meet me at noon. Dot your i at home.", "un deux trois", "one or two, three times",
                  "Deux et un font trois.", "look at the dot on the wall"):

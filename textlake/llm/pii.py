@@ -137,38 +137,6 @@ _SPACED_ADDRESS = re.compile(
 _SPACED_JOINT = re.compile(
     rf"(?P<at>\s+(?:{AT_WORDS})\s+|\s*@\s*)|(?P<dot>\s+(?:{DOT_WORDS})\s+|\s*\.)", re.I)
 
-_OTHER_FORMS = (
-    "".join(LOOK_ALIKES) + INVISIBLE + "！-～․‐-―−"
-    "٠-٩۰-۹०-९²³¹⁰-⁹₀-₉"
-    "①-⑨\U0001d7ce-\U0001d7ff")
-_SIGN_CHARS = re.compile(f"[{_OTHER_FORMS}]")
-_SIGN_AT = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|@|{DOT_WORDS}|\.)\s*[\])}}>]", re.I)
-_DOT_WORDS = frozenset(DOT_WORDS.split("|"))
-_SPACED_AT = re.compile(r"\s@|@\s")
-
-
-def shows_signs(text: str) -> bool:
-    """Whether anything in a text may be a disguise; the cheap tests that most texts fail.
-
-    The words are looked up one by one: a run of spelled digits is at least MIN_SPELLED words
-    in a row that are digit words or numbers.
-    """
-    if _SIGN_CHARS.search(text) or _SIGN_AT.search(text):
-        return True
-    if "@" in text and _SPACED_AT.search(text):
-        return True
-    lowered = text.lower()
-    for sign in ",.-":
-        lowered = lowered.replace(sign, " ")
-    words = lowered.split()
-    if not _DOT_WORDS.isdisjoint(words):
-        return True
-    if SPELLED.keys().isdisjoint(words):
-        return False
-    run = bytes(map(operator.or_, map(SPELLED.__contains__, words), map(str.isdecimal, words)))
-    return b"\1" * MIN_SPELLED in run
-
-
 @functools.lru_cache(maxsize=4096)
 def plain_form(char: str) -> str:
     """The ASCII character that a look-alike stands for; empty for an invisible one."""
@@ -189,6 +157,54 @@ def plain_form(char: str) -> str:
     return folded if len(folded) == 1 and folded < "\u0080" else char
 
 
+def _changed_chars() -> str:
+    """Everything that plain_form changes, as ranges of a character class.
+
+    Such characters end below U+20000.
+    """
+    ranges: list[list[int]] = []
+    for code in range(0x80, 0x20000):
+        if plain_form.__wrapped__(chr(code)) != chr(code):
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return "".join(f"\\U{first:08x}-\\U{last:08x}" for first, last in ranges)
+
+
+_SIGN_CHARS = re.compile(f"[{_changed_chars()}]")
+# What must be in a text that the later transducers change: brackets, blanks at the joints of an
+# address, or the words below.
+_SIGN_BRACKETS = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|@|{DOT_WORDS}|\.)\s*[\])}}>]", re.I)
+_SPACED_JOINTS = re.compile(r"\s[@.]|@\s")
+_DOT_WORDS = frozenset(DOT_WORDS.split("|"))
+_TOKEN = re.compile(r"\w+")
+
+
+def lowered(text: str) -> str:
+    """Lower case as the patterns ignore it: the dotted capital I is an i."""
+    return text.replace("İ", "i").lower()
+
+
+def shows_signs(text: str) -> bool:
+    """Whether a transducer may change a text; never false where one does.
+
+    The words are looked up one by one: a run of spelled digits is at least MIN_SPELLED words
+    in a row that are digit words or numbers.
+    """
+    if not text.isascii() and _SIGN_CHARS.search(text) or _SIGN_BRACKETS.search(text):
+        return True
+    if "@" in text and _SPACED_JOINTS.search(text):
+        return True
+    words = _TOKEN.findall(lowered(text))
+    if not _DOT_WORDS.isdisjoint(words):
+        return True
+    if SPELLED.keys().isdisjoint(words):
+        return False
+    run = bytes(map(operator.or_, map(SPELLED.__contains__, words), map(str.isdecimal, words)))
+    return b"\1" * MIN_SPELLED in run
+
+
 class Normal:
     """A text with, for each of its characters, the source characters it stands for."""
 
@@ -198,7 +214,7 @@ class Normal:
     @classmethod
     def of(cls, source: str) -> Normal:
         """First transducer: look-alikes replaced, invisible characters dropped."""
-        if not _SIGN_CHARS.search(source):
+        if source.isascii() or not _SIGN_CHARS.search(source):
             places = list(range(len(source) + 1))
             return cls(source, places[:-1], places[1:])
         chars, starts = [], []
@@ -237,7 +253,7 @@ def _spelled_digits(text: str) -> Iterator[tuple[int, int, str]]:
             if word.isdecimal() and word.isascii():
                 continue
             yield token.start(), token.end(), SPELLED.get(
-                word.lower(), "." if word == "." else "")
+                lowered(word), "." if word == "." else "")
 
 
 def _written_signs(text: str) -> Iterator[tuple[int, int, str]]:
