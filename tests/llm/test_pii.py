@@ -87,6 +87,29 @@ def test_signs_are_seen_in_any_form(text, kind, value):
     assert value in [text[a:b] for a, b in added[kind]]
 
 
+@pytest.mark.parametrize("text, kind, value", [
+    *((f"an ana at correo dot {end} bitte", "email", f"ana at correo dot {end}")
+      for end in "pt jp se pl ru br cl pe online museum".split()),
+    ("to ana at mail dot firma dot zebra now", "email", "ana at mail dot firma dot zebra"),
+    ("to ana at mail [dot] zebra now", "email", "ana at mail [dot] zebra"),
+    ("to ana at correo dot com dot and so", "email", "ana at correo dot com"),
+    ("ip 192 dot 168 dot 0 dot 1 here", "ip", "192 dot 168 dot 0 dot 1"),
+    ("ip one nine two dot one six eight dot zero dot one here", "ip",
+     "one nine two dot one six eight dot zero dot one"),
+    ("ip 10 point zéro point 0.1 ici", "ip", "10 point zéro point 0.1"),
+])
+def test_written_at_and_dot(text, kind, value):
+    base, added = pii.find_all(text)
+    assert value in [text[a:b] for a, b in added[kind]]
+
+
+def test_dots_in_prose_stay_clean():
+    for text in ("look at this dot in it", "aim at red dot on paper", "he came at one point we saw",
+                 "versions 3 dot 5 dot 1", "laugh at every point of it", "at some point he left"):
+        base, added = pii.find_all(text)
+        assert not any(base.values()) and not any(added.values()), text
+
+
 def test_sign_characters_are_what_is_undone():
     for char in map(chr, range(0x80, sys.maxunicode + 1)):
         assert bool(pii._SIGN_CHARS.match(char)) == (pii.plain_form(char) != char), hex(ord(char))

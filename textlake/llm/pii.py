@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from textlake.llm.endings import ENDINGS
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
 
@@ -126,14 +128,27 @@ _SPELLED_TOKEN = re.compile(rf"{_WORDS}|[0-9]+|[^\w\s]|\s+", re.I)
 _BRACKETED = re.compile(
     rf"\s*[\[({{<]\s*(?:(?P<at>{AT_WORDS}|@)|(?P<dot>{DOT_WORDS}|\.))\s*[\])}}>]\s*", re.I)
 _LABEL, _NAME = "[A-Za-z0-9-]{1,63}", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}"
-# What an address with "at" as a word may end in; prose has "at the dot on" too.
-_ENDINGS = ("com|org|net|edu|gov|mil|int|info|biz|example|test|invalid|local|de|at|ch|fr|be|es|mx|ar|"
-            "it|nl|eu|uk|us|ca|au|io|co|me|ai|dev|app")
+# Words of two letters that are no country, and words that are no host; prose has
+# "at the dot on" too.
+_NO_COUNTRY = "an|du|el|en|et|go|he|hi|if|lo|ob|of|oh|ok|on|or|ou|ox|un|up|we|wo|zu"
+_NO_HOST = ("the|a|an|this|that|these|those|each|every|any|one|my|your|his|her|its|our|their|der|die|das|dem|den|"
+            "ein|eine|einem|einer|le|la|les|un|une|el|los|las|una|ce|cette|este|esta|and|or|in|on|to|of|at")
+_HOST = rf"(?!(?:{_NO_HOST})\s){_LABEL}"
 # "at" as a word needs "dot" as a word; @ also goes with full stops.
 _SPACED_ADDRESS = re.compile(
-    rf"{_NAME}(?:\s+(?:{AT_WORDS})\s+{_LABEL}(?:\s+(?:{DOT_WORDS})\s+{_LABEL}){{0,4}}"
-    rf"\s+(?:{DOT_WORDS})\s+(?:{_ENDINGS})(?![A-Za-z0-9-])"
+    rf"{_NAME}(?:\s+(?:{AT_WORDS})\s+{_HOST}(?P<more>(?:\s+(?:{DOT_WORDS})\s+{_LABEL}){{0,4}})"
+    rf"\s+(?:{DOT_WORDS})\s+(?P<ending>[A-Za-z]{{2,63}})(?![A-Za-z0-9-])"
     rf"|\s*@\s*{_LABEL}(?:(?:\s+(?:{DOT_WORDS})\s+|\s*\.){_LABEL}){{1,5}})", re.I)
+_NO_ENDING = frozenset(_NO_COUNTRY.split("|"))
+# "at" as a word before a host with a bracketed dot.
+_AT_BEFORE_BRACKETS = re.compile(
+    rf"{_NAME}(?P<at>\s+(?:{AT_WORDS})\s+)(?!(?:{_NO_HOST})\s){_LABEL}"
+    rf"\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*[A-Za-z]{{2}}", re.I)
+_DIGIT_WORD = "|".join(w for w in sorted(SPELLED, key=len, reverse=True) if SPELLED[w].isdigit())
+_IP_PART = rf"(?:[0-9]+|(?:{_DIGIT_WORD})(?:[\s,\-]{{1,3}}(?:{_DIGIT_WORD}|[0-9]+)(?!\w)){{0,2}})"
+_SPACED_IP = re.compile(
+    rf"(?<!\w){_IP_PART}(?:(?:\s+(?:{DOT_WORDS})\s+|\.){_IP_PART}){{3}}(?!\w)", re.I)
+_IP_TOKEN = re.compile(rf"(?P<dot>\s+(?:{DOT_WORDS})\s+|\.)|[0-9]+|{_DIGIT_WORD}|[\s,\-]+", re.I)
 _SPACED_JOINT = re.compile(
     rf"(?P<at>\s+(?:{AT_WORDS})\s+|\s*@\s*)|(?P<dot>\s+(?:{DOT_WORDS})\s+|\s*\.)", re.I)
 
@@ -256,18 +271,51 @@ def _spelled_digits(text: str) -> Iterator[tuple[int, int, str]]:
                 lowered(word), "." if word == "." else "")
 
 
+def _at_words(text: str) -> Iterator[tuple[int, int, str]]:
+    """Third transducer: "at" as a word becomes @ where a bracketed dot follows the host."""
+    for found in _AT_BEFORE_BRACKETS.finditer(text):
+        yield *found.span("at"), "@"
+
+
 def _written_signs(text: str) -> Iterator[tuple[int, int, str]]:
-    """Third transducer: bracketed "at" and "dot" become @ and a full stop."""
+    """Fourth transducer: bracketed "at" and "dot" become @ and a full stop."""
     for found in _BRACKETED.finditer(text):
         yield found.start(), found.end(), "@" if found["at"] else "."
 
 
+def _spaced_ips(text: str) -> Iterator[tuple[int, int, str]]:
+    """Fifth transducer: four numbers, in digits or words, joined by "dot" become an address."""
+    for address in _SPACED_IP.finditer(text):
+        for token in _IP_TOKEN.finditer(text, *address.span()):
+            word = token.group()
+            if word != "." and not word.isdecimal():
+                yield token.start(), token.end(), "." if token["dot"] else SPELLED.get(
+                    lowered(word), "")
+
+
+def _ends_address(address: re.Match) -> bool:
+    """Whether a match ends as addresses do; those with @ need nothing more."""
+    ending = lowered(address["ending"] or "com")
+    return ending not in _NO_ENDING if len(ending) == 2 else ending in ENDINGS
+
+
+def _spaced_address(found: re.Match) -> re.Match | None:
+    """The longest part of a match with a known ending, or else all of it if it has two dot words."""
+    part = found
+    while part and not _ends_address(part):
+        part = _SPACED_ADDRESS.match(found.string, found.start(), part.start("ending") - 1)
+    return part or (found if found["more"] else None)
+
+
 def _spaced_signs(text: str) -> Iterator[tuple[int, int, str]]:
-    """Fourth transducer: the same as words of their own, within what reads as an address."""
-    for address in _SPACED_ADDRESS.finditer(text):
-        for joint in _SPACED_JOINT.finditer(text, *address.span()):
+    """Sixth transducer: at and dot as words of their own, within what reads as an address."""
+    at = 0
+    while found := _SPACED_ADDRESS.search(text, at):
+        address = _spaced_address(found)
+        for joint in _SPACED_JOINT.finditer(text, *address.span()) if address else ():
             if joint.group() not in ("@", "."):
                 yield joint.start(), joint.end(), "@" if joint["at"] else "."
+        at = (address or found).end()
 
 
 def normalise(source: str) -> Normal | None:
@@ -276,7 +324,9 @@ def normalise(source: str) -> Normal | None:
         return None
     form = Normal.of(source)
     form = form.rewritten(_spelled_digits(form.text))
+    form = form.rewritten(_at_words(form.text))
     form = form.rewritten(_written_signs(form.text))
+    form = form.rewritten(_spaced_ips(form.text))
     return form.rewritten(_spaced_signs(form.text))
 
 
