@@ -44,6 +44,27 @@ def test_impact_is_exact(table):
     assert found(impact.top_k(df)) == brute(ints)
 
 
+def test_impact_keeps_large_components(spark):
+    random = np.random.default_rng(6)
+    made = random.normal(size=(300, 8))
+    made[::10] *= 20_000
+    made[::30] *= 100
+    made[5] = [16_384.0] + [0.0] * 7
+    made[20] = [2.0 ** 24 + 1] + [0.0] * 7
+    made[25] = [0.0, 2.0 ** 70] + [0.0] * 6
+    made[np.arange(300) != 25, 1] = 0
+    rows = {i: [float(x) for x in v] for i, v in enumerate(made)}
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    ints = {i: [math.floor(64 * x) for x in v] for i, v in rows.items()}
+    assert found(impact.top_k(df, every=5)) == brute(ints, every=5)
+
+
+def test_impact_refuses_scores_beyond_a_long(spark):
+    df = spark.createDataFrame([(0, [1e12]), (1, [1e12])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="exceeds a long"):
+        impact.top_k(df).collect()
+
+
 def test_impact_stops_early_with_the_same_result():
     random = np.random.default_rng(4)
     vectors = np.floor(64 * random.standard_t(3, size=(4000, 32))).astype(np.int64)

@@ -5,6 +5,9 @@ ordered by impact (the component's size), highest first, and cut into segments.
 added to the scores of a group of queries at once. After a segment, what is left of a row can
 change its score by no more than the lengths of its rest and of the query multiplied; a block is
 left early only when this proves all but a few rows out of the k best. Those are scored exactly.
+
+Pairs with a vector whose components are too large for these sums are all scored, in whichever
+of doubles, 64-bit and unbounded integers is exact for them.
 """
 
 from __future__ import annotations
@@ -22,16 +25,19 @@ from textlake.llm.vectors import finite_vectors, is_query, matrix
 SCALE = 64
 BLOCK_ROWS, GROUP_QUERIES = 8192, 512
 SEGMENTS = 24
-#: Components of this size or more would not add up exactly; their vectors take no part.
+#: Components of this size or more may not add up exactly; their vectors are scored apart.
 MAX_IMPACT = 1 << 20
 
 
 def quantised(df: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """``vec_id, v`` with components floor(scale * x)."""
-    value = F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("long"))
-    return finite_vectors(df, key, vector).filter(
-        ~F.exists("v", lambda x: F.abs(x * F.lit(float(scale))) >= F.lit(float(MAX_IMPACT)))
-    ).select("vec_id", value.alias("v"))
+    """``vec_id, v`` with components floor(scale * x), as doubles of any size."""
+    def whole(x):
+        scaled = x * F.lit(float(scale))
+        # doubles from 2^53 on are whole numbers, and may be beyond a long
+        return F.when(F.abs(scaled) < float(1 << 53), F.floor(scaled).cast("double")).otherwise(
+            scaled)
+
+    return finite_vectors(df, key, vector).select("vec_id", F.transform("v", whole).alias("v"))
 
 
 def segments(vectors: np.ndarray, count: int = SEGMENTS):
@@ -95,13 +101,71 @@ def search_block(
     return q[best], v[best], score[best]
 
 
+def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """All scores of whole numbers, exact: 64-bit integers, or Python's where those may overflow."""
+    bound = len(queries[0]) * int(np.abs(queries).max()) * int(np.abs(vectors).max())
+    if bound < 1 << 53:
+        return (queries @ vectors.T).astype(np.int64)
+    if bound < 1 << 63:
+        return queries.astype(np.int64) @ vectors.astype(np.int64).T
+    unbounded = np.frompyfunc(int, 1, 1)
+    return unbounded(queries) @ unbounded(vectors).T
+
+
+def search_all(
+    qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``search_block``, for components of any size and without leaving out a pair."""
+    def sizes(rows):
+        return [int(x).bit_length() // 10 for x in np.abs(rows).max(1, initial=0)]
+
+    scores = np.zeros((len(qids), len(ids)), np.int64)
+    low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    q_sizes, v_sizes = np.array(sizes(queries)), np.array(sizes(vectors))
+    # rows of like size together, so that one large vector does not slow down the others
+    for q_size in np.unique(q_sizes) if queries.shape[1] else ():
+        for v_size in np.unique(v_sizes):
+            q, v = np.flatnonzero(q_sizes == q_size), np.flatnonzero(v_sizes == v_size)
+            made = _products(queries[q], vectors[v])
+            if made.dtype == object:
+                beyond = ((made < low) | (made > high)).astype(bool)
+                if (beyond & (qids[q][:, None] != ids[v])).any():
+                    at, other = np.argwhere(beyond & (qids[q][:, None] != ids[v]))[0]
+                    raise ValueError(
+                        f"the score of {qids[q[at]]} and {ids[v[other]]} exceeds a long")
+                made = np.where(beyond, 0, made).astype(np.int64)  # a query with itself
+            scores[np.ix_(q, v)] = made
+    out = []
+    for at, qid in enumerate(qids):
+        rows = np.flatnonzero(ids != qid)
+        less = ~scores[at, rows]  # descending, also for the least integer
+        if len(rows) > k:
+            near = less <= np.partition(less, k - 1)[k - 1]
+            rows, less = rows[near], less[near]
+        rows = rows[np.lexsort((ids[rows], less))[:k]]
+        out.append((np.full(len(rows), at), rows, scores[at, rows]))
+    return tuple(np.concatenate(part) for part in zip(*out))
+
+
 def _search(queries: pa.Table, block: pa.Table, k: int) -> pa.Table:
-    columns = ([], [], [])
+    out = [[np.zeros(0, np.int64)] for _ in range(3)]
     if queries.num_rows and block.num_rows:
         qids, ids = queries["vec_id"].to_numpy(), block["vec_id"].to_numpy()
-        q, v, score = search_block(qids, matrix(queries["v"]), ids, matrix(block["v"]), k)
-        columns = (qids[q], ids[v], score)
-    return pa.table([pa.array(c, pa.int64()) for c in columns],
+        asked, vectors = matrix(queries["v"]), matrix(block["v"])
+        if not (np.isfinite(asked).all() and np.isfinite(vectors).all()):
+            raise ValueError("a scaled component exceeds a double")
+        q_large = np.abs(asked).max(1, initial=0) >= MAX_IMPACT
+        v_large = np.abs(vectors).max(1, initial=0) >= MAX_IMPACT
+        every = np.ones(len(ids), bool)
+        for search, q, v in ((search_block, ~q_large, ~v_large), (search_all, ~q_large, v_large),
+                             (search_all, q_large, every)):
+            if q.any() and v.any():
+                kind = np.int64 if search is search_block else float
+                at, row, score = search(
+                    qids[q], asked[q].astype(kind), ids[v], vectors[v].astype(kind), k)
+                for column, part in zip(out, (qids[q][at], ids[v][row], score)):
+                    column.append(part)
+    return pa.table([pa.array(np.concatenate(c), pa.int64()) for c in out],
                     names=["query_id", "vec_id", "score"])
 
 
@@ -112,9 +176,10 @@ def top_k(
     """``query_id, rank, vec_id, score``: each query's k highest scores over all other rows.
 
     Components count as floor(scale * x). Queries are the rows whose key is divisible by
-    ``every``. Ties go to the smaller key. Rows that ``finite_vectors`` leaves out, and those with
-    a component of 2^20 or more after scaling, take no part; a zero vector does, with score 0.
-    With fewer than k candidates all are returned; an empty table returns nothing.
+    ``every``. Ties go to the smaller key. Rows that ``finite_vectors`` leaves out take no part; a
+    zero vector does, with score 0. Scores are exact for components of any size; one that exceeds
+    a long is an error. With fewer than k candidates all are returned; an empty table returns
+    nothing.
 
     The query set is held against all rows in blocks: each pair of a query group and a block is
     one task's work and returns k rows a query.
