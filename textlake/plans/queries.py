@@ -686,6 +686,31 @@ def tune_results(spark, sf_dir):
     return scores
 
 
+#: The whole jobs behind the short queries of like names; they may take hours.
+FULL_QUERIES: dict[str, Query] = {}
+
+
+def full_query(function):
+    FULL_QUERIES[function.__name__] = function
+    return function
+
+
+@full_query
+def gbt_predictions_full(spark, sf_dir):
+    """Boosted trees with the job's own settings: 400 trees of depth 12."""
+    train, validation = _parts(spark, sf_dir)
+    _, tables = jobs.train_gbt_job(train, validation)
+    return tables["predictions"].select("id", "type", "prediction")
+
+
+@full_query
+def tune_results_full(spark, sf_dir):
+    """The search with the job's own settings: 15 of the whole grid, 3 folds, 150,000 draws."""
+    train, _ = _parts(spark, sf_dir)
+    scores, _ = jobs.tune_job(train)
+    return scores
+
+
 def _linear(spark: SparkSession, sf_dir: str):
     train, validation = _parts(spark, sf_dir)
     words = features.bow_vocabulary(train)
