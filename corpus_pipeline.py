@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from textlake.llm import bpe, langid, lines, mixing, setjoin
 from textlake.llm.common import stored, table
+from textlake.operators.ranking import global_index
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -34,13 +35,24 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates.
+    """The row with the smallest id of each group of near duplicates, rows without id last.
 
+    Rows that share an id are told apart by their texts, and equal rows are duplicates of each
+    other: where ids are missing or repeated, rows are linked by their place in the order instead.
     Documents without shingles link with nothing and stay.
     """
-    groups = setjoin.link_sets(docs)
-    later = groups.filter("n_shingles > 0 AND component_id < doc_id").select("doc_id")
-    return docs.join(later, "doc_id", "left_anti").select(COLUMNS)
+    docs = docs.select(COLUMNS)
+    odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
+    if odd.isEmpty():
+        placed = docs.withColumn("row_index", F.col("doc_id"))
+    else:
+        placed = global_index(
+            docs.withColumns({"keyless": F.col("doc_id").isNull(), "digest": F.sha2("text", 256)}),
+            "keyless", "doc_id", "digest", "lang", "source", "n_chars")
+    groups = setjoin.link_sets(placed.select(F.col("row_index").alias("doc_id"), "text"))
+    later = groups.filter("n_shingles > 0 AND component_id < doc_id").select(
+        F.col("doc_id").alias("later"))
+    return placed.join(later, F.col("row_index") == F.col("later"), "left_anti").select(COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
