@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlake.llm import bpe, chat, hilbert, impact, langid, lines, mixing, pii, setjoin, warc
+from textlake.llm import (
+    bpe, chat, hilbert, impact, langid, lines, mixing, pii, setjoin, spelling, tokencount, warc,
+)
 from textlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def query(function):
@@ -91,8 +94,20 @@ def op10_line_dedup(spark, sf_dir):
         "doc_id", F.md5("text").alias("text_md5"), "n_lines", "n_removed")
 
 
+@query
+def op11_token_counts(spark, sf_dir):
+    return tokencount.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL["op9_chat"] = chat.PREFERENCE_SQL
 ORACLE_SQL["op10_line_dedup"] = lines.LINE_DEDUP_SQL
 ORACLE_SQL["op3_mixing"] = mixing.MIX_SQL
 ORACLE_SQL["op7_impact_topk"] = impact.TOP_K_SQL
 ORACLE_SQL["op2_warc"] = warc.WARC_SQL
+ORACLE_SQL["op13_spelling"] = spelling.SPELLING_SQL
