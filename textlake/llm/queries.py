@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlake.llm import (
-    bpe, chat, hilbert, impact, langid, lines, mixing, pii, setjoin, spelling, tokencount, warc,
+    bpe, chat, hardneg, hilbert, impact, langid, lines, mixing, pii, setjoin, spelling, tokencount, warc,
 )
 from textlake.llm.common import table
 
@@ -100,6 +100,14 @@ def op11_token_counts(spark, sf_dir):
         table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of all embeddings; every seventh label is moved on by one first."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(embeddings.withColumn("label", moved))
+
+
 @query
 def op13_spelling(spark, sf_dir):
     return spelling.spelling_forms(table(spark, sf_dir, "documents"))
@@ -111,3 +119,4 @@ ORACLE_SQL["op3_mixing"] = mixing.MIX_SQL
 ORACLE_SQL["op7_impact_topk"] = impact.TOP_K_SQL
 ORACLE_SQL["op2_warc"] = warc.WARC_SQL
 ORACLE_SQL["op13_spelling"] = spelling.SPELLING_SQL
+ORACLE_SQL["op12_hard_negatives"] = hardneg.HARD_NEGATIVES_SQL
