@@ -128,19 +128,6 @@ def score_intervals(
     return up @ low.T + down @ high.T - slack, up @ high.T + down @ low.T + slack
 
 
-def best_columns(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the k best of each row by (score, smaller id); LOW is no score."""
-    wanted = scores > LOW
-    if scores.shape[1] > k:
-        least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k, None]
-        wanted &= scores >= least
-    row, column = np.nonzero(wanted)
-    order = np.lexsort((ids[column], ~scores[row, column], row))
-    row, column = row[order], column[order]
-    best = np.arange(len(row)) - np.searchsorted(row, row) < k
-    return row[best], column[best]
-
-
 # --- blocks --------------------------------------------------------------------------------
 
 _BLOCK = (
@@ -246,41 +233,67 @@ def _needed(key, anchors: pa.Table, zones: pa.Table) -> pa.Table:
          pa.array(blocks, pa.int32())], names=[*_TASK, "block"])
 
 
+def _best_of(parts: list[np.ndarray], windows: int, k: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The k best (row, window, less, id) of each row and window in order, and their ranks."""
+    row, window, less, ids = parts
+    order = np.lexsort((ids, less, row * windows + window))
+    parts = [part[order] for part in parts]
+    group = parts[0] * windows + parts[1]
+    rank = np.arange(len(group)) - np.searchsorted(group, group)
+    return [part[rank < k] for part in parts], rank[rank < k]
+
+
+def _search(
+    qids: np.ndarray, queries: np.ndarray, ends: list[np.ndarray], met: np.ndarray,
+    blocks: list[tuple[np.ndarray, np.ndarray]], k: int,
+) -> list[np.ndarray]:
+    """Row, window, ~score and id of the k best rows of the needed blocks in each window.
+
+    Once a window is full, its lower end rises to the k-th score.
+    """
+    floor, high = ends[0].copy(), ends[1]
+    windows = floor.shape[1]
+    kept = [np.zeros(0, np.int64)] * 4
+    for number, (ids, vectors) in enumerate(blocks):
+        asked = np.flatnonzero(met[:, number])
+        if not len(asked):
+            continue
+        scores = products(queries[asked], vectors)
+        beyond = np.argwhere(scores == LOW)
+        if (qids[asked[beyond[:, 0]]] != ids[beyond[:, 1]]).any():
+            raise ValueError(f"a score of {qids[asked[beyond[0, 0]]]} exceeds a long")
+        made = [kept]
+        for window in range(windows):
+            inside = scores >= floor[asked, window][:, None]
+            inside &= scores <= high[asked, window][:, None]
+            row, column = np.nonzero(inside)
+            other = qids[asked[row]] != ids[column]
+            row, column = row[other], column[other]
+            made.append([asked[row], np.full(len(row), window), ~scores[row, column], ids[column]])
+        kept, rank = _best_of(list(map(np.concatenate, zip(*made))), windows, k)
+        last = rank == k - 1
+        floor[kept[0][last], kept[1][last]] = ~kept[2][last]
+    return kept
+
+
 def _found(key, anchors: pa.Table, blocks: pa.Table, k: int) -> pa.Table:
     """For each anchor of a part and each window, the k best rows of the blocks it needs."""
-    out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
+    out = [[np.zeros(0, np.int64)] * 4]
     if anchors.num_rows and blocks.num_rows:
         dims = key[0].as_py()
         qids, queries = anchors["vec_id"].to_numpy(), rows_as_matrix(anchors["v"], dims)
         ends = _limits(anchors)
-        held = [(np.array(row["ids"], np.int64), np.array(row["vals"], float).reshape(len(row["ids"]), dims))
-                for row in blocks.select(["ids", "vals"]).to_pylist()]
+        held = []
+        for ids, values in zip(blocks["ids"], blocks["vals"]):
+            ids = ids.values.to_numpy()
+            held.append((ids, values.values.to_numpy().reshape(len(ids), dims)))
         for start in range(0, len(qids), ANCHOR_STEP):
             own = slice(start, start + ANCHOR_STEP)
-            met = _meets(queries[own], [part[own] for part in ends], blocks)
-            for number, (ids, vectors) in enumerate(held):
-                asked = start + np.flatnonzero(met[:, number])
-                if not len(asked):
-                    continue
-                scores = products(queries[asked], vectors)
-                other = qids[asked][:, None] != ids
-                if (other & (scores == LOW)).any():
-                    raise ValueError(f"a score of {qids[asked[0]]} or a later row exceeds a long")
-                for window in range(ends[0].shape[1]):
-                    low, high = (part[asked, window][:, None] for part in ends)
-                    inside = other & (scores >= low) & (scores <= high)
-                    row, column = best_columns(np.where(inside, scores, LOW), ids, k)
-                    for part, values in zip(out, (
-                            qids[asked[row]], np.full(len(row), window), ~scores[row, column],
-                            ids[column])):
-                        part.append(values)
-    qid, window, less, vec_id = map(np.concatenate, out)
-    order = np.lexsort((vec_id, less, window, qid))
-    qid, window, less, vec_id = (part[order] for part in (qid, window, less, vec_id))
-    first = np.flatnonzero(np.append(True, (qid[1:] != qid[:-1]) | (window[1:] != window[:-1])))
-    first = first[:len(qid)]
-    best = np.arange(len(qid)) - np.repeat(first, np.diff(np.append(first, len(qid)))) < k
-    qid, window, less, vec_id = (part[best] for part in (qid, window, less, vec_id))
+            part = [side[own] for side in ends]
+            found = _search(
+                qids[own], queries[own], part, _meets(queries[own], part, blocks), held, k)
+            out.append([qids[own][found[0]], *found[1:]])
+    qid, window, less, vec_id = map(np.concatenate, zip(*out))
     starts = np.flatnonzero(np.append(True, qid[1:] != qid[:-1]))[:len(qid)]
     hits = pa.StructArray.from_arrays(
         [pa.array(window, pa.int32()), pa.array(less), pa.array(vec_id)],
