@@ -45,7 +45,8 @@ def differences(spark_df, connection, sql: str) -> str | None:
     expected = result.fetchall()
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} != {sorted(names)}"
-    loose = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+    loose = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+             "boolean": "BOOLEAN"}
     for name, kind in spark_df.dtypes:
         if loose.get(kind) != kinds[name]:
             return f"type of {name}: {kind} against {kinds[name]}"

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+ROOT = str(Path(__file__).resolve().parents[1])
+
 _made: list[str] = []
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Tell Python workers where this package lies, whatever folder the session was started in.
+
+    For a package that is not installed but lies at the same place on all machines; clusters
+    install it (``pyproject.toml``) or are given it with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *(path for path in paths if path)])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
@@ -33,6 +49,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _made:
+        _made.remove(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables that this process has made.
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textlake.operators.cleaning import align_union
+from textlake.sources import parallel_csv
 
 # Column names of the statement files.
 STATEMENT_COLUMNS = [
@@ -27,6 +29,9 @@ STATEMENT_SCHEMA = T.StructType([
     for name in STATEMENT_COLUMNS
 ])
 
+#: A file above this size is read in ranges although fields may hold line breaks.
+LARGE_FILE_BYTES = 1 << 30
+
 _RECORD = "_odd_record"
 _QUOTED = r'"(?:[^"]|"")*"'
 
@@ -52,6 +57,17 @@ def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     return first.columns
 
 
+def has_large_files(
+    spark: SparkSession, paths: str | Sequence[str], limit: int | None = None,
+) -> bool:
+    """Whether a file that can be read in ranges is larger than ``limit``; reads no content."""
+    files = spark.read.format("binaryFile").load(
+        [paths] if isinstance(paths, str) else list(paths)).select("path", "length")
+    packed = F.col("path").rlike(r"\.(gz|bz2|zst|lz4|snappy|deflate)$")
+    largest = files.filter(~packed).agg(F.max("length")).first()[0]
+    return (largest or 0) > (LARGE_FILE_BYTES if limit is None else limit)
+
+
 def read_articles_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -59,6 +75,7 @@ def read_articles_csv(
     skip_bad_lines: bool = False,
     na_values: Sequence[str] = NA_WORDS,
     multi_line: bool = True,
+    in_ranges: bool | None = None,
 ) -> DataFrame:
     """Article CSV with a header, quoted line breaks and doubled quotes.
 
@@ -68,14 +85,19 @@ def read_articles_csv(
     first. Files below one path must have one header; Spark refuses others.
 
     ``skip_bad_lines`` drops lines with more fields than the header, empty ones included; shorter
-    lines are padded with nulls either way. Quoted line breaks make a file unsplittable:
-    ``multi_line=False`` splits files that have none.
+    lines are padded with nulls either way.
+
+    Spark's reader gives a file whose fields may hold line breaks to one task. Large files are
+    therefore read in ranges by ``parallel_csv``, at the price of a scan or two more;
+    ``in_ranges`` decides for all sizes. ``multi_line=False`` is for files without such fields.
     """
     if not isinstance(path, str):
-        parts = [read_articles_csv(spark, own, columns, skip_bad_lines, na_values, multi_line)
-                 for own in path]
+        parts = [read_articles_csv(
+            spark, own, columns, skip_bad_lines, na_values, multi_line, in_ranges) for own in path]
         return align_union(*parts)
     names = csv_header(spark, path)
+    if in_ranges is None:
+        in_ranges = multi_line and has_large_files(spark, path)
     reader = (
         spark.read.schema(string_schema(names + [_RECORD] * skip_bad_lines))
         .option("header", True)
@@ -85,10 +107,14 @@ def read_articles_csv(
     )
     if skip_bad_lines:
         # Spark hands out records of another length; those with more fields have more commas
-        df = reader.option("columnNameOfCorruptRecord", _RECORD).csv(path)
+        df = (parallel_csv.read_delimited(
+            spark, path, string_schema([*names, _RECORD]), corrupt=_RECORD) if in_ranges
+            else reader.option("columnNameOfCorruptRecord", _RECORD).csv(path))
         commas = F.regexp_count(
             F.regexp_replace(F.col(_RECORD), _QUOTED, ""), F.lit(","))
         df = df.filter(F.col(_RECORD).isNull() | (commas < len(names))).drop(_RECORD)
+    elif in_ranges:
+        df = parallel_csv.read_delimited(spark, path, string_schema(names))
     else:
         df = reader.option("enforceSchema", False).csv(path)
     if columns is not None:
@@ -99,16 +125,75 @@ def read_articles_csv(
     return _na_to_null(df, na_values)
 
 
+def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below some paths by their header: columns in order, and the files that have them.
+
+    The first line of every file is found in one scan of the lines, and parsed by Spark. Headers
+    may hold quoted separators but no line breaks; files without a line are left out.
+    """
+    lines = spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"), "value")
+    first = lines.filter("start = 0 AND value <> ''").groupBy("file").agg(
+        F.min_by("value", "place").alias("header"))
+    by_header: dict[str, list[str]] = {}
+    for row in first.collect():
+        by_header.setdefault(row["header"].rstrip("\r"), []).append(unquote(row["file"]))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for header, files in by_header.items():
+        names = spark.createDataFrame([(header,)], "line string").select(F.from_csv(
+            "line", ", ".join(f"c{i} string" for i in range(header.count(",") + 1)),
+            {"quote": '"', "escape": '"'}).alias("f")).first()["f"]
+        layouts.setdefault(tuple(n for n in names if n is not None), []).extend(files)
+    return layouts
+
+
+def read_mixed_csv(
+    spark: SparkSession, paths: str | Sequence[str], layout: Sequence[str] | None = None,
+    na_values: Sequence[str] = NA_WORDS, in_ranges: bool | None = None,
+) -> DataFrame:
+    """Article CSVs below some paths whose files may have different headers.
+
+    Files are grouped by header and each group is one scan with its own columns; the groups are
+    united by name. ``layout`` names the columns to return, in order: by default all that occur,
+    those of the commonest layout first. Columns that a file does not have are null.
+    """
+    layouts = file_headers(spark, paths)
+    if not layouts:
+        raise ValueError(f"no file with a header below {paths}")
+    order = sorted(layouts, key=lambda names: (-len(layouts[names]), names))
+    wanted = list(layout or dict.fromkeys(name for names in order for name in names))
+    parts = []
+    for names in order:
+        files = sorted(layouts[names])
+        ranged = has_large_files(spark, files) if in_ranges is None else in_ranges
+        schema = string_schema(names)
+        rows = parallel_csv.read_delimited(spark, files, schema) if ranged else (
+            spark.read.schema(schema).option("header", True).option("multiLine", True)
+            .option("quote", '"').option("escape", '"').csv(files))
+        parts.append(rows)
+    first = parts[0].select(*[
+        F.col(f"`{name}`") if name in parts[0].columns else F.lit(None).cast("string").alias(name)
+        for name in wanted])
+    return _na_to_null(align_union(first, *parts[1:]), na_values)
+
+
 def read_statements_tsv(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str] | None = None,
     na_values: Sequence[str] = NA_WORDS,
+    in_ranges: bool | None = None,
 ) -> DataFrame:
     """Headerless tab-separated statements; several files are concatenated.
 
-    Quoted fields may hold tabs, line breaks and doubled quotes.
+    Quoted fields may hold tabs, line breaks and doubled quotes. Large files are read in ranges,
+    as for articles.
     """
+    if has_large_files(spark, paths) if in_ranges is None else in_ranges:
+        df = parallel_csv.read_delimited(spark, paths, STATEMENT_SCHEMA, "\t", header=False)
+        return _na_to_null(df.select(*columns) if columns else df, na_values)
     df = (
         spark.read.schema(STATEMENT_SCHEMA)
         .option("sep", "\t")

@@ -25,6 +25,7 @@ def _writer(df: DataFrame, file_format: str) -> DataFrameWriter:
         return (
             _csv_ready(df).write.mode("overwrite").format("csv")
             .option("header", True).option("escape", '"').option("quoteAll", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         )
     raise ValueError(f"no writer for {file_format}")
 
