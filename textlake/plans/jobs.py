@@ -196,8 +196,8 @@ def tune_job(
     """Random search on text plus style features over a stratified bootstrap sample.
 
     At most ``n_samples`` rows are drawn, with replacement, and the vocabulary is fitted on at
-    most ``fit_rows`` rows; both are the bounds of what the classifiers are fitted on. A null
-    text counts as empty.
+    most ``fit_rows`` of them, each taken once; both are the bounds of what the classifiers are
+    fitted on. A null text counts as empty.
     """
     train = features.style_features(_labelled(train, text, label, True))
 
@@ -205,8 +205,12 @@ def tune_job(
         return _tfidf_stages(
             rows, text, "style", id_column, fit_rows, **(vocabulary_limits or {}))
 
-    folded = sampling.cv_folds(train, folds, label, id_column=id_column)
-    drawn = sampling.bootstrap_sample(folded, n_samples, label, id_column=id_column)
+    # rows drawn several times are one row that counts several times
+    folded = _stored(sampling.cv_folds(train, folds, label, id_column=id_column), "folded")
+    copies = sampling.bootstrap_sample(
+        folded.select(id_column, label), n_samples, label, id_column=id_column).groupBy(
+            id_column).agg(F.count(F.lit(1)).alias("copies"))
+    drawn = _stored(folded.join(copies, id_column), "drawn")
     return models.tune_gbt(drawn, stages, grid, n_settings, folds, label)
 
 
