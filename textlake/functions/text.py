@@ -7,13 +7,13 @@ classes are avoided: they cost ten times as much per character.
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textlake.functions.stopwords import ENGLISH
+from textlake.functions.unicode import drop_marks, fold_letters, repair_encoding
 
 # The artefact patterns of the corpus and the words that replace them.
 URL = r"https?://\S+|www\.\S+"
@@ -38,20 +38,6 @@ CONTRACTED = r"\b(can(?=not\b)|gon(?=na\b)|got(?=ta\b)|gim(?=me\b)|lem(?=me\b)|w
 SYMBOL = r"([$<>+=`^~|])"
 
 
-def _single_letter_folds() -> dict[str, str]:
-    """Accented Latin letters whose decomposition leaves exactly one ASCII character."""
-    folds = {}
-    for code in range(0xC0, 0x180):
-        plain = [c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 128]
-        if len(plain) == 1:
-            folds[chr(code)] = plain[0]
-    return folds
-
-
-FOLDS = _single_letter_folds() | {"ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L"}
-LIGATURES = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE"}
-
-
 def _unicode_bounds(pattern: str) -> str:
     """The same pattern with word boundaries and digits that see all of Unicode."""
     inner = pattern.removeprefix(r"\b").removesuffix(r"\b").replace(r"\d", r"\p{Nd}")
@@ -66,11 +52,8 @@ def text_or_empty(text: Column) -> Column:
 
 
 def fold_ascii(text: Column) -> Column:
-    """Accented Latin letters to their base letters; other scripts are kept."""
-    folded = F.translate(text, "".join(FOLDS), "".join(FOLDS.values()))
-    for letter, plain in LIGATURES.items():
-        folded = F.replace(folded, F.lit(letter), F.lit(plain))
-    return folded
+    """Misread UTF-8 repaired and accented Latin letters folded; other scripts are kept."""
+    return drop_marks(fold_letters(repair_encoding(text)))
 
 
 def replace_urls(text: Column) -> Column:
