@@ -10,6 +10,7 @@ from __future__ import annotations
 from textlake.functions import labels as L
 from textlake.functions import stemming as P
 from textlake.functions import text as T
+from textlake.functions import unicode as U
 from textlake.functions.stopwords import ENGLISH
 from textlake.operators.features import STYLE_FEATURES
 from textlake.plans.corpus import TURN_LABELS
@@ -40,8 +41,8 @@ def _replace(text: str, pattern: str, replacement: str) -> str:
 
 
 def _folded(text: str) -> str:
-    text = f"translate({text}, {_text(''.join(T.FOLDS))}, {_text(''.join(T.FOLDS.values()))})"
-    for letter, plain in T.LIGATURES.items():
+    text = f"translate({text}, {_text(''.join(U.FOLDS))}, {_text(''.join(U.FOLDS.values()))})"
+    for letter, plain in U.LIGATURES.items():
         text = f"replace({text}, '{letter}', '{plain}')"
     return text
 
@@ -143,9 +144,18 @@ ORACLE_SQL["csv_round_trip"] = (
 ORACLE_SQL["csv_skip_bad_lines"] = (
     "SELECT event_id::VARCHAR AS event_id, event_type FROM events "
     "WHERE event_type NOT IN ('error', 'click')")
+ORACLE_SQL["csv_folder_layouts"] = """SELECT doc_id::VARCHAR AS id,
+  CASE WHEN doc_id % 3 <> 1 THEN text END AS content, source AS domain,
+  CASE WHEN doc_id % 3 > 0 THEN lang END AS language FROM documents"""
+ORACLE_SQL["csv_parallel_scan"] = r"""SELECT doc_id::VARCHAR AS id,
+  text || chr(10) || '"' || source || '", ' || chr(9) || '"" ' || chr(13) || chr(10) || chr(10)
+    AS content, source AS domain FROM documents"""
 ORACLE_SQL["csv_two_layouts"] = ORACLE_SQL["csv_round_trip"]
 ORACLE_SQL["tsv_statements"] = (
     f"SELECT id, label, statement FROM {STATEMENTS}")
+ORACLE_SQL["tsv_parallel_scan"] = (
+    "SELECT id, label, statement || chr(9) || '\"' || chr(10) AS statement "
+    f"FROM {STATEMENTS}")
 
 # --- splits and samples --------------------------------------------------------------------------
 
@@ -465,6 +475,17 @@ ORACLE_SQL["top_sources"] = f"""SELECT type, domain, n, rank FROM (
     FROM {LABELLED} WHERE type IS NOT NULL GROUP BY ALL)) WHERE rank <= 10"""
 ORACLE_SQL["top_words"] = f"""WITH {_DOCUMENT_TERMS}
   SELECT term, count(*) AS n FROM tokens GROUP BY term ORDER BY n DESC, term LIMIT 100"""
+ORACLE_SQL["heavy_words"] = ORACLE_SQL["top_words"]
+_ALL_TEXTS = """(SELECT text FROM documents UNION ALL SELECT text FROM conversations
+  UNION ALL SELECT text FROM benchmark)"""
+ORACLE_SQL["vocabulary_estimates"] = f"""WITH terms AS (
+    SELECT DISTINCT unnest({_normal_tokens('text')}) AS term FROM {_ALL_TEXTS})
+  SELECT 'raw' AS stage, count(*) AS n, true AS within FROM terms
+  UNION ALL SELECT 'no_stop', count(*), true FROM terms WHERE term NOT IN {STOP}"""
+ORACLE_SQL["style_quantiles"] = f"""SELECT feature, share::DOUBLE AS share,
+  (SELECT count(*) FROM documents) AS n, true AS within
+  FROM (SELECT unnest([{', '.join(_text(f) for f in STYLE_FEATURES)}]) AS feature),
+       (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]) AS share)"""
 ORACLE_SQL["top_words_processed"] = f"""WITH
   {_processed('documents', 'doc_id', _normal_tokens('text'))},
   stemmed AS (SELECT unnest(string_split(content_processed, ' ')) AS term FROM processed)
@@ -602,6 +623,11 @@ ORACLE_SQL["corpus_report"] = f"""WITH
 ORACLE_SQL["stream_cleaning"] = f"""SELECT doc_id::VARCHAR AS id,
   CASE WHEN lang IN ('en', 'de') THEN 0 ELSE 1 END AS type, source AS domain,
   {_normalized('text')} AS content_normalized FROM documents"""
+ORACLE_SQL["stream_term_counts"] = (
+    f"SELECT term, count(*) AS n FROM (SELECT unnest({_normal_tokens('text')}) AS term "
+    "FROM documents) GROUP BY term")
+ORACLE_SQL["stream_clean_summary"] = ORACLE_SQL["clean_summary"]
+ORACLE_SQL["repair_encoding"] = "SELECT doc_id, text AS result FROM documents"
 ORACLE_SQL["stream_vocabulary"] = (
     f"SELECT DISTINCT unnest({_normal_tokens('text')}) AS term FROM documents")
 

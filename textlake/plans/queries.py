@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from textlake.functions import labels as L
 from textlake.functions import text as T
+from textlake.functions import unicode as U
+from textlake.functions.stopwords import ENGLISH
 from textlake.functions.timestamps import parse_mixed
 from textlake.operators import (
     chunks,
@@ -26,10 +28,11 @@ from textlake.operators import (
     splits,
     vocabulary,
 )
+from textlake.operators import sketches as sketches_of
 from textlake.operators.tokens import process_statements, process_text, process_text_words
 from textlake.plans import corpus, jobs
 from textlake.session import scratch_path
-from textlake.sources import readers, writers
+from textlake.sources import parallel_csv, readers, writers
 from textlake.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +122,22 @@ def csv_two_layouts(spark, sf_dir):
     return readers.read_articles_csv(spark, paths, na_values=[])
 
 
+@query
+def csv_folder_layouts(spark, sf_dir):
+    """A folder of CSV files with three layouts, united by name."""
+    root = scratch_path(spark, "mixed")
+    rows = _documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"),
+        F.col("source").alias("domain"), F.col("lang").alias("the, language"))
+    for number, order in enumerate((
+            ["id", "content", "domain"], ["domain", "the, language", "id"],
+            ["content", "id", "the, language", "domain"])):
+        part = rows.filter(F.pmod(F.col("id").cast("long"), F.lit(3)) == number)
+        writers.write_table(part.select(*[f"`{c}`" for c in order]), f"{root}/{number}", "csv")
+    return readers.read_mixed_csv(spark, f"{root}/*", na_values=[]).withColumnRenamed(
+        "the, language", "language")
+
+
 @query
 def tsv_statements(spark, sf_dir):
     """Statements written as headerless TSV and read back by position, pruned to three columns."""
@@ -131,6 +150,36 @@ def tsv_statements(spark, sf_dir):
     return readers.read_statements_tsv(spark, path, ["id", "label", "statement"])
 
 
+@query
+def csv_parallel_scan(spark, sf_dir):
+    """All documents as one CSV file with quoted breaks, read by a task for each of its ranges."""
+    path = scratch_path(spark, "one-file") + ".csv"
+    rows = _documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.concat("text", F.lit('\n"'), "source", F.lit('", \t"" \r\n\n')).alias("content"),
+        F.col("source").alias("domain"))
+    writers.write_table(rows.coalesce(1), path, "csv")
+    size = rows.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    ranged = parallel_csv.with_range_bytes(spark, min(64 << 20, max(1 << 16, size // 16)))
+    return readers.read_articles_csv(ranged, path, na_values=[], in_ranges=True)
+
+
+@query
+def tsv_parallel_scan(spark, sf_dir):
+    """Statements as one headerless TSV file with quoted tabs and breaks, read in ranges."""
+    path = scratch_path(spark, "one-file")
+    rows = corpus.statements(spark, sf_dir).withColumn(
+        "statement", F.concat("statement", F.lit('\t"\n')))
+    filler = {f.name: F.lit(None).cast(f.dataType) for f in readers.STATEMENT_SCHEMA.fields
+              if f.name not in rows.columns}
+    rows.withColumns(filler).select(readers.STATEMENT_COLUMNS).coalesce(1).write.option(
+        "sep", "\t").option("escape", '"').option("quoteAll", True).option(
+            "ignoreTrailingWhiteSpace", False).csv(path)
+    ranged = parallel_csv.with_range_bytes(spark, 1 << 14)
+    return readers.read_statements_tsv(
+        ranged, path, ["id", "label", "statement"], in_ranges=True)
+
+
 @query
 def split_files(spark, sf_dir):
     """Orders split by status and written as three parts, read back."""
@@ -302,6 +351,25 @@ QUERIES["count_numbers"] = _on_documents(T.count_numbers)
 QUERIES["token_length"] = _on_documents(T.token_length)
 
 
+@query
+def repair_encoding(spark, sf_dir):
+    """Every text read in a one-byte encoding, once or twice, and repaired: the text itself.
+
+    Every third text is misread as Latin-1, the others in the code page; half of them twice.
+    """
+    def misread(text: Column, signs: Column) -> Column:
+        latin = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+        page = F.translate(latin, "".join(U.SIGNS.values()), "".join(U.SIGNS))
+        return F.when(signs, page).otherwise(latin)
+
+    signs, again = F.col("doc_id") % 3 > 0, F.col("doc_id") % 2 == 1
+    once = _documents(spark, sf_dir).select(
+        "doc_id", misread(F.col("text"), signs).alias("once"), signs.alias("signs"))
+    twice = once.select("doc_id", F.when(again, misread(F.col("once"), F.col("signs"))).otherwise(
+        F.col("once")).alias("damaged"))
+    return twice.select("doc_id", U.repair_encoding(F.col("damaged")).alias("result"))
+
+
 @query
 def normalize_columns(spark, sf_dir):
     pages = corpus.table(spark, sf_dir, "pages").select(
@@ -386,6 +454,63 @@ def top_words(spark, sf_dir):
     return vocabulary.top_terms(_normalized_terms(spark, sf_dir))
 
 
+@query
+def heavy_words(spark, sf_dir):
+    """The most frequent words found with a fixed number of counters a task."""
+    return vocabulary.heavy_terms(
+        _documents(spark, sf_dir), T.split_normalized(T.normalize_text(F.col("text"))),
+        counters=1024)
+
+
+@query
+def vocabulary_estimates(spark, sf_dir):
+    """Sketched vocabulary sizes of three inputs together, against the exact sizes."""
+    inputs = ("documents", "conversations", "benchmark")
+    words = T.split_normalized(F.col("text"))
+    stages = {"raw": words, "no_stop": T.remove_stopwords(words)}
+    store = writers.write_table(_texts_of(spark, sf_dir, inputs), scratch_path(spark, "inputs"))
+    texts = spark.read.parquet(store)
+    sketches = writers.write_table(
+        sketches_of.vocabulary_sketches(texts, stages, ["input"]), scratch_path(spark, "sketches"))
+    found = sketches_of.vocabulary_estimates(spark.read.parquet(sketches))
+    exact = texts.select(F.explode(words).alias("term")).distinct().agg(
+        F.count(F.lit(1)).alias("raw"),
+        F.count_if(~F.col("term").isin(*ENGLISH)).alias("no_stop"))
+    sizes = exact.select(F.inline(F.array(*[
+        F.struct(F.lit(stage).alias("stage"), F.col(stage).alias("n")) for stage in stages])))
+    near = F.abs(F.col("estimate") - F.col("n")) <= sketches_of.DISTINCT_ERROR * F.col("n")
+    return sizes.join(found, "stage").select("stage", "n", near.alias("within"))
+
+
+def _texts_of(spark: SparkSession, sf_dir: str, inputs) -> DataFrame:
+    parts = None
+    for name in inputs:
+        part = corpus.texts(spark, sf_dir, name).select(
+            F.lit(name).alias("input"), T.normalize_text(F.col("text")).alias("text"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+QUANTILE_SHARES = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@query
+def style_quantiles(spark, sf_dir):
+    """Quantiles of the style features from sketches of each file, and whether they are in place."""
+    rows = features.style_features(corpus.titled_documents(spark, sf_dir).repartition(4))
+    path = writers.write_table(rows.select("id", *features.STYLE_FEATURES), scratch_path(
+        spark, "style"))
+    rows = spark.read.parquet(path)
+    found = sketches_of.update_by_file(
+        spark, rows.inputFiles(), lambda files: spark.read.parquet(*files),
+        lambda part: sketches_of.quantile_sketches(part, features.STYLE_FEATURES, ["file"]),
+        scratch_path(spark, "sketches"))
+    values = sketches_of.quantiles(sketches_of.merge_quantiles(found), QUANTILE_SHARES)
+    errors = sketches_of.rank_errors(rows, values)
+    return errors.select(
+        "feature", "share", "n", (F.col("error") <= 2 * sketches_of.RANK_ERROR).alias("within"))
+
+
 @query
 def top_words_processed(spark, sf_dir):
     documents = _documents(spark, sf_dir).select(
@@ -845,3 +970,31 @@ def stream_vocabulary(spark, sf_dir):
     incremental.track_vocabulary(
         stream, "text", store, scratch_path(spark, "state")).awaitTermination()
     return incremental.read_vocabulary(spark, store)
+
+
+@query
+def stream_term_counts(spark, sf_dir):
+    """Terms of a stream of documents counted in keyed state, two files a batch."""
+    source = scratch_path(spark, "texts")
+    writers.write_table(_documents(spark, sf_dir).select(
+        T.normalize_text(F.col("text")).alias("text")).repartition(6), source)
+    stream = incremental.read_stream(spark, source, "text string", files_per_batch=2)
+    store = scratch_path(spark, "counts")
+    incremental.track_term_counts(
+        stream, "text", store, scratch_path(spark, "state")).awaitTermination()
+    return incremental.read_term_counts(spark, store)
+
+
+@query
+def stream_clean_summary(spark, sf_dir):
+    """Row totals that a cleaning stream observed batch by batch: the running ones of the last."""
+    source = scratch_path(spark, "raw")
+    articles = corpus.articles(spark, sf_dir)
+    writers.write_table(articles.repartition(6), source)
+    totals = scratch_path(spark, "totals")
+    incremental.append_cleaned(
+        incremental.read_stream(spark, source, articles.schema, files_per_batch=2),
+        scratch_path(spark, "cleaned"), scratch_path(spark, "state"), totals=totals)
+    last = incremental.read_totals(spark, totals).orderBy(F.desc("batch")).limit(1)
+    names = [name for name in last.columns if name.startswith("running_")]
+    return last.select(*[F.col(name).alias(name.removeprefix("running_")) for name in names])
