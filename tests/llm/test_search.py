@@ -1,8 +1,10 @@
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
+from tests.compare import differences
 from textlake.llm import hilbert, impact
 
 SCHEMA = "vec_id long, embedding array<float>, v string, cid int"
@@ -122,11 +124,58 @@ def test_hilbert_recall_holds_without_structure(spark, spread):
     assert hits / (160 * 20) >= 0.9
 
 
-def test_windows_cover_what_is_asked():
-    apart = np.array([[0, 9], [1, 9], [9, 0], [9, 0]])
-    assert hilbert.choose_windows(apart, 100, 1.0) == (2, 1)
-    assert hilbert.choose_windows(apart, 100, 0.75) == (2, 0)
-    assert hilbert.choose_windows(apart, 5, 1.0) == (1, 5)
+def test_blocks_cover_what_is_asked_but_never_all():
+    ranks = np.array([[0, 9], [1, 9], [9, 0], [9, 2]])
+    assert hilbert.blocks_needed(ranks, 100, 1.0) == 3
+    assert hilbert.blocks_needed(ranks, 100, 0.75) == 2
+    assert hilbert.blocks_needed(ranks, 3, 1.0) == 2
+    assert hilbert.blocks_needed(np.array([[0]]), 2, 1.0) == 1
+
+
+@pytest.mark.parametrize("kind, most", [("isotropic", 0.5), ("clustered", 0.2)])
+def test_less_than_half_of_all_pairs_are_compared(spark, monkeypatch, kind, most):
+    random = np.random.default_rng(13)
+    made = random.normal(size=(40_000, 64)).astype(np.float32)
+    if kind == "clustered":
+        made = (random.normal(size=(300, 64))[random.integers(300, size=40_000)]
+                + 0.3 * made).astype(np.float32)
+    made /= np.linalg.norm(made, axis=1)[:, None]
+    df = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(made)], "vec_id long, embedding array<float>")
+    kept = {}
+    store = hilbert.stored
+    monkeypatch.setattr(
+        hilbert, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
+    got = found(hilbert.nearest(df, every=200))
+    read = kept["sought"].selectExpr("sum(size(blocks)) AS n").first()["n"]
+    assert read * -(-40_000 // hilbert.BLOCKS) < most * 200 * 40_000
+    hits = 0
+    for i in range(0, 40_000, 200):
+        scores = made.astype(float) @ made[i].astype(float)
+        scores[i] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & {j for j, _ in got[i]})
+    assert hits / (200 * 20) >= 0.9
+
+
+@pytest.mark.parametrize("search", [hilbert.nearest, impact.top_k])
+def test_vectors_of_three_lengths(spark, search):
+    random = np.random.default_rng(17)
+    rows = {i: [float(x) for x in np.round(random.normal(size=(2, 3, 5)[i % 3]), 2)]
+            for i in range(240)}
+    ints = rows if search is hilbert.nearest else {
+        i: [math.floor(64 * x) for x in v] for i, v in rows.items()}
+    want = {}
+    for size in (2, 3, 5):
+        want |= brute({i: v for i, v in ints.items() if len(v) == size}, every=20)
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    got = found(search(df))
+    assert got.keys() == want.keys()
+    for i in want:
+        assert [j for j, _ in got[i]] == [j for j, _ in want[i]]
+    if search is impact.top_k:
+        connection = duckdb.connect()
+        connection.register("embeddings", df.toArrow())
+        assert differences(search(df), connection, impact.TOP_K_SQL) is None
 
 
 def test_hilbert_keys_walk_the_grid():

@@ -1,41 +1,44 @@
 """Approximate nearest neighbours by shifted space-filling curves.
 
-The vectors get a component more that tells long from short ones, and are projected by a few
-random rotations; each projection is shifted, laid on a grid and ordered along a Hilbert curve.
-Every curve is range-partitioned and cut into blocks of equally many rows. A query is set where
-its neighbours are expected and compared with the blocks around that place on every curve, in
-double precision on the original vectors, and what the curves find is merged.
-
-How many curves and how many blocks to either side follows from the table: a bounded sample of
-the queries is compared with all rows, and the cheapest choice that covers RECALL of the sample's
-true neighbours serves all queries. Where that costs as much as all blocks, as on large tables
-without any structure, every query meets every block and the result is exact.
+Random rotations cut the space into slices of a few dimensions. Each slice is one projection: its
+vectors are shifted, laid on a grid and ordered along a Hilbert curve, which is range-partitioned
+and cut into blocks of equally many rows. On every curve a query reads the blocks whose centre has
+the largest inner product with it; neighbouring blocks are merged to windows, and what the windows
+of all curves hold is scored in double precision on the original vectors.
+
+How many blocks of a curve a query reads follows from the table: a bounded sample of the queries is
+compared with all rows, and the least number that covers RECALL of the sample's true neighbours
+serves all queries. It is always below the number of blocks. Tables of one block are read whole.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textlake.llm.common import stored
 from textlake.llm.vectors import finite_vectors, is_query, matrix
 from textlake.operators.ranking import global_index
 
-CURVES, BLOCK_ROWS = 8, 4096
+#: Curves, blocks of a curve and least rows of a block; smaller tables than BLOCK_ROWS are one block.
+CURVES, BLOCKS, LEAST_ROWS, BLOCK_ROWS = 8, 512, 32, 4096
 #: Share of the true neighbours of SAMPLE_QUERIES queries that the windows must cover; above the
 #: 0.9 asked for by more than the sample's error.
-RECALL, SAMPLE_QUERIES = 0.95, 128
-#: A task compares at most about this many queries with a block.
-TASK_QUERIES = 4096
+RECALL, SAMPLE_QUERIES = 0.93, 128
+#: Blocks that one task reads, rows of these at most, and queries that it compares with them.
+RUN_BLOCKS, RUN_ROWS, TASK_QUERIES = 16, 1 << 16, 4096
 #: Dimensions of a projection and bits of the grid in each: together at most 62.
-GRID_DIMS, GRID_BITS = 4, 14
-#: The grid is fitted to the spread of at most this many vectors.
+GRID_DIMS, GRID_BITS = 8, 7
+#: The grid is fitted to at most this many vectors, which also bound the scores worth returning.
 SAMPLE_ROWS = 4096
 QUERY_STEP = 256
+#: Vectors of more different lengths than this in one table are refused.
+MAX_LENGTHS = 64
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -68,62 +71,143 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def fit_curves(sample: np.ndarray, curves: int, seed: int) -> list[tuple]:
-    """Rotation, lower edge, width and shift of each curve, from a bounded sample of vectors."""
+    """Axes, lower edge, width and shift of each curve, from a bounded sample of vectors."""
+    size = sample.shape[1]
+    dims = min(GRID_DIMS, size)
     made = []
     for number in range(curves):
-        random = np.random.default_rng((seed, number))
-        dims = min(GRID_DIMS, sample.shape[1])
-        rotation = np.linalg.qr(random.normal(size=(sample.shape[1],) * 2))[0][:, :dims]
-        seen = sample @ rotation
+        rotation, slice_ = divmod(number, max(1, size // dims))
+        random = np.random.default_rng((seed, rotation))
+        axes = np.linalg.qr(random.normal(size=(size, size)))[0][
+            :, slice_ * dims:(slice_ + 1) * dims]
+        seen = sample @ axes
         low, high = np.quantile(seen, (0.005, 0.995), axis=0)
-        made.append((rotation, low, np.maximum(high - low, 1e-12), random.random(dims)))
+        shift = np.random.default_rng((seed, number, 1)).random(dims)
+        made.append((axes, low, np.maximum(high - low, 1e-12), shift))
     return made
 
 
-def curve_keys(vectors: np.ndarray, curve: tuple) -> np.ndarray:
-    """Hilbert key of each vector; the spread fills half the grid, the shift places it there."""
-    rotation, low, width, shift = curve
-    place = ((vectors @ rotation - low) / width + shift) / 2
+def curve_keys(projected: np.ndarray, curve: tuple) -> np.ndarray:
+    """Hilbert keys of projected vectors; the spread fills half the grid, the shift places it."""
+    _, low, width, shift = curve
+    place = ((projected - low) / width + shift) / 2
     cells = (place.clip(0, 1 - 1e-9) * (1 << GRID_BITS)).astype(np.int64)
     return hilbert_keys(cells, GRID_BITS)
 
 
-def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
-    """With one component more, the smaller the longer a vector is; 0 from ``longest`` on."""
-    rest = np.sqrt((longest ** 2 - np.einsum("ij,ij->i", vectors, vectors)).clip(0))
-    return np.column_stack([vectors, rest])
+def blocks_of(keys: np.ndarray, ids: np.ndarray, starts: tuple) -> np.ndarray:
+    """The block of each (key, id): that of the last start that is not behind it."""
+    first_keys, first_ids = starts
+    low = np.searchsorted(first_keys, keys, "left")
+    high = np.searchsorted(first_keys, keys, "right")
+    for at in np.flatnonzero(high > low):
+        low[at] += np.searchsorted(first_ids[low[at]:high[at]], ids[at], "right")
+    return (low - 1).clip(0)
 
 
-def expected_place(queries: np.ndarray, along: float, rest: float) -> np.ndarray:
-    """Where the neighbours of each query lie in the middle: in its direction, and their length."""
-    lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
-    return np.column_stack([queries * (along / lengths)[:, None], np.full(len(queries), rest)])
+class Layout:
+    """The curves of a table, where their blocks start, and the centres of the blocks."""
 
+    def __init__(self, curves: list[tuple]):
+        self.curves = curves
+        self.starts: list[tuple] = []
+        self.centres: list[np.ndarray] = []
 
-def _keys(batches, curves, longest):
+    def keys(self, vectors: np.ndarray) -> list[np.ndarray]:
+        return [curve_keys(vectors @ curve[0], curve) for curve in self.curves]
+
+    def blocks(self, vectors: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
+        """The block of each vector on every curve; one block where there are no curves."""
+        if not self.curves:
+            return [np.zeros(len(ids), np.int64)]
+        return [blocks_of(keys, ids, starts)
+                for keys, starts in zip(self.keys(vectors), self.starts)]
+
+    def order(self, queries: np.ndarray) -> list[np.ndarray]:
+        """The blocks of every curve, best first for each query."""
+        if not self.curves:
+            return [np.zeros((len(queries), 1), np.int64)]
+        return [np.argsort(-(queries @ curve[0]) @ centres.T, axis=1, kind="stable")
+                for curve, centres in zip(self.curves, self.centres)]
+
+
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    return matrix(pa.chunked_array([batch.column("v")])).astype(float)
+
+
+def _keys(batches, layout):
+    for batch in batches:
+        if batch.num_rows:
+            for number, keys in enumerate(layout.keys(_vectors(batch))):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(batch.num_rows, number), pa.int32()), pa.array(keys),
+                     batch.column("cid")], names=["curve", "place", "cid"])
+
+
+def _sums(batches, layout, n_blocks):
+    """A task's sums of projected vectors by curve, block and axis, and the numbers of rows."""
+    dims = len(layout.curves[0][3])
+    total = np.zeros((len(layout.curves), n_blocks, dims + 1))
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        vectors = _vectors(batch)
+        for part, curve, block in zip(
+                total, layout.curves, layout.blocks(vectors, batch.column("cid").to_numpy())):
+            projected = np.column_stack([vectors @ curve[0], np.ones(len(block))])
+            np.add.at(part, block, projected)
+    curve, block, axis = np.nonzero(total)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(curve, pa.int32()), pa.array(block, pa.int32()), pa.array(axis, pa.int32()),
+         pa.array(total[curve, block, axis])], names=["curve", "block", "axis", "total"])
+
+
+def _placed(batches, layout, slices):
+    """Each row once a curve, with its block, the run of blocks and the slice of that."""
     for batch in batches:
-        vectors = matrix(pa.chunked_array([batch.column("v")]))
-        for number, curve in enumerate(curves if batch.num_rows else ()):
+        if not batch.num_rows:
+            continue
+        ids = batch.column("cid").to_numpy()
+        for number, block in enumerate(layout.blocks(_vectors(batch), ids)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(batch.num_rows, number), pa.int32()),
-                 pa.array(curve_keys(lifted(vectors, longest), curve)), batch.column("cid")],
-                names=["curve", "place", "cid"])
+                [pa.array(np.full(len(ids), number), pa.int32()),
+                 pa.array(block // RUN_BLOCKS, pa.int32()),
+                 pa.array((ids ^ (ids >> 17)) % slices, pa.int32()), pa.array(block, pa.int32()),
+                 batch.column("cid"), batch.column("v")],
+                names=["curve", "run", "slice", "block", "cid", "v"])
 
 
-def _sought(batches, curves, starts, along, rest):
-    """Per query its score with itself and, for each curve, the block of its expected place."""
+def _sought(batches, layout, wanted, sample, k):
+    """For each query and curve the windows it reads: a row a run, with the blocks in it.
+
+    ``least`` is the k-th best score in the sample, so no neighbour among k has a lower one.
+    """
     for batch in batches:
-        queries = matrix(pa.chunked_array([batch.column("v")]))
         if not batch.num_rows:
             continue
-        place = expected_place(queries, along, rest)
-        at = np.column_stack([
-            (np.searchsorted(first, curve_keys(place, curve), "right") - 1).clip(0)
-            for curve, first in zip(curves, starts)])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("cid"), batch.column("v"),
-             pa.array(np.einsum("ij,ij->i", queries, queries)), pa.array(at.tolist())],
-            names=["cid", "v", "own", "at"])
+        queries = _vectors(batch)
+        least = np.full(len(queries), -np.inf)
+        if len(sample) >= k:
+            for at in range(0, len(queries), QUERY_STEP):
+                own = queries[at:at + QUERY_STEP] @ sample.T
+                least[at:at + QUERY_STEP] = np.partition(own, len(sample) - k, axis=1)[
+                    :, len(sample) - k]
+        for number, order in enumerate(layout.order(queries)):
+            chosen = np.sort(order[:, :wanted], axis=1)
+            query = np.repeat(np.arange(len(queries)), chosen.shape[1])
+            block = chosen.ravel()
+            run = block // RUN_BLOCKS
+            first = np.flatnonzero(np.append(
+                True, (np.diff(run) != 0) | (np.diff(query) != 0)))
+            rows = pa.array(query[first])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(first), number), pa.int32()), pa.array(run[first], pa.int32()),
+                 batch.column("cid").take(rows), batch.column("v").take(rows),
+                 pa.array(least[query[first]]),
+                 pa.ListArray.from_arrays(
+                     pa.array(np.append(first, len(block)), pa.int32()),
+                     pa.array(block, pa.int32()))],
+                names=["curve", "run", "cid", "v", "least", "blocks"])
 
 
 def _best_of_all(batches, qids, queries, k):
@@ -132,7 +216,7 @@ def _best_of_all(batches, qids, queries, k):
     for batch in batches:
         if not batch.num_rows:
             continue
-        vectors = matrix(pa.chunked_array([batch.column("v")]))
+        vectors = _vectors(batch)
         ids = batch.column("cid").to_numpy()
         best, scores = top_scores(queries, vectors, ids, k + 1)
         for at, qid in enumerate(qids):
@@ -149,18 +233,15 @@ def _best_of_all(batches, qids, queries, k):
                 names=["qid", "cid", "score", "v"])
 
 
-def choose_windows(apart: np.ndarray, blocks: int, recall: float) -> tuple[int, int]:
-    """Curves and blocks to either side, the cheapest that cover ``recall`` of the pairs.
+def blocks_needed(ranks: np.ndarray, blocks: int, recall: float) -> int:
+    """The least number of blocks a curve that covers ``recall`` of the pairs, not all blocks.
 
-    ``apart`` has a row for each pair of a query and a true neighbour: the blocks between them on
-    each curve. One curve and all blocks where nothing else is cheaper.
+    ``ranks`` has a row for each pair of a query and a true neighbour: on each curve, how many
+    blocks the query prefers to the neighbour's.
     """
-    best = (blocks, 1, blocks)
-    for curves in range(1, apart.shape[1] + 1):
-        nearest = np.sort(apart[:, :curves].min(1))
-        reach = int(nearest[max(0, int(np.ceil(recall * len(nearest))) - 1)]) if len(nearest) else 0
-        best = min(best, (curves * (2 * reach + 1), curves, reach))
-    return best[1:]
+    nearest = np.sort(ranks.min(1))
+    needed = int(nearest[max(0, int(np.ceil(recall * len(nearest))) - 1)]) + 1
+    return max(1, min(needed, blocks - 1))
 
 
 def top_scores(queries, vectors, ids, k) -> tuple[np.ndarray, np.ndarray]:
@@ -178,19 +259,43 @@ def top_scores(queries, vectors, ids, k) -> tuple[np.ndarray, np.ndarray]:
     return column[best].reshape(-1, k), exact[best].reshape(-1, k)
 
 
-def _compare(queries: pa.Table, block: pa.Table, k: int) -> pa.Table:
-    names = ["qid", "cids", "scores"]
-    out = ([], [], [])
-    if queries.num_rows and block.num_rows:
-        vectors, asked = matrix(block["v"]), matrix(queries["v"])
-        ids, qids = block["cid"].to_numpy(), queries["cid"].to_numpy()
-        for start in range(0, len(qids), QUERY_STEP):
-            best, scores = top_scores(asked[start:start + QUERY_STEP], vectors, ids, k)
-            out[0].extend(qids[start:start + QUERY_STEP])
-            out[1].extend(ids[best].tolist())
-            out[2].extend(scores.tolist())
-    return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64())),
-                     pa.array(out[2], pa.list_(pa.float64()))], names=names)
+def _compare(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each query among the blocks of this run that it reads."""
+    names, out = ["qid", "cids", "scores"], ([], [], [])
+    if queries.num_rows and rows.num_rows:
+        vectors, asked = matrix(rows["v"]).astype(float), matrix(queries["v"]).astype(float)
+        ids, qids = rows["cid"].to_numpy(), queries["cid"].to_numpy()
+        least = queries["least"].to_numpy()
+        least = least - 1e-9 * np.abs(least)
+        lists = queries["blocks"].combine_chunks()
+        wanted = lists.flatten().to_numpy()
+        query = np.repeat(np.arange(len(qids)), lists.value_lengths().to_numpy())
+        block = rows["block"].to_numpy()
+        of_block = np.argsort(block, kind="stable")
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for number in np.unique(wanted):
+            own = of_block[slice(*np.searchsorted(block[of_block], [number, number + 1]))]
+            reads = query[wanted == number]
+            for start in range(0, len(reads) if len(own) else 0, QUERY_STEP):
+                part = reads[start:start + QUERY_STEP]
+                q, v = np.nonzero(asked[part] @ vectors[own].T >= least[part][:, None])
+                found.append((part[q], own[v]))
+        q, v = map(np.concatenate, zip(*found))
+        # the same sum for a pair wherever it turns up
+        exact = np.concatenate([
+            np.einsum("ij,ij->i", asked[q[i:i + 65536]], vectors[v[i:i + 65536]])
+            for i in range(0, len(q), 65536)] or [np.zeros(0)])
+        order = np.lexsort((ids[v], -exact, q))
+        q, v, exact = q[order], v[order], exact[order]
+        best = np.arange(len(q)) - np.searchsorted(q, q) < k
+        q, v, exact = q[best], v[best], exact[best]
+        first = np.flatnonzero(np.append(True, np.diff(q) != 0))[:len(q)]
+        ends = pa.array(np.append(first, len(q)), pa.int32())
+        out = (qids[q[first]], pa.ListArray.from_arrays(ends, pa.array(ids[v])),
+               pa.ListArray.from_arrays(ends, pa.array(exact)))
+    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()))
+    return pa.table([pa.array(part, kind) if isinstance(part, (list, np.ndarray)) else part
+                     for part, kind in zip(out, kinds)], names=names)
 
 
 def _classes(vectors: DataFrame, k: int) -> DataFrame:
@@ -207,23 +312,38 @@ def _classes(vectors: DataFrame, k: int) -> DataFrame:
     )
 
 
-def nearest(
-    df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20,
-    every: int = 20, curves: int = CURVES, block_rows: int = BLOCK_ROWS, seed: int = 42,
-    recall: float = RECALL,
+def _fitted(
+    classes: DataFrame, rows: int, n_blocks: int, sample: np.ndarray, curves: int, seed: int,
+) -> Layout:
+    """The curves of a table with the starts and centres of their blocks."""
+    layout = Layout(fit_curves(sample, curves, seed))
+    placed = global_index(
+        classes.select("cid", "v").mapInArrow(
+            partial(_keys, layout=layout), "curve int, place long, cid long"),
+        "curve", "place", "cid").withColumn("at", F.col("row_index") - F.col("curve") * rows)
+    starts = placed.filter(F.col("at") % -(-rows // n_blocks) == 0).select(
+        "curve", "place", "cid").orderBy("curve", "place", "cid").collect()
+    for number in range(curves):
+        own = [(row["place"], row["cid"]) for row in starts if row["curve"] == number]
+        layout.starts.append(tuple(np.array(part, np.int64) for part in zip(*own)))
+    dims = len(layout.curves[0][3])
+    sums = np.zeros((curves, n_blocks, dims + 1))
+    for row in classes.select("cid", "v").mapInArrow(
+            partial(_sums, layout=layout, n_blocks=n_blocks),
+            "curve int, block int, axis int, total double").groupBy("curve", "block", "axis").agg(
+                F.sum("total").alias("total")).collect():
+        sums[row["curve"], row["block"], row["axis"]] = row["total"]
+    layout.centres = [
+        part[:len(starts[0]), :-1] / part[:len(starts[0]), -1:]
+        for part, starts in zip(sums, layout.starts)]
+    return layout
+
+
+def _nearest_of_length(
+    vectors: DataFrame, k: int, every: int, curves: int, block_rows: int, seed: int, recall: float,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k rows of largest inner product that are found.
-
-    Queries are the rows whose key is divisible by ``every``; a query is no candidate of its own.
-    Ties go to the smaller key. Zero vectors take no part, nor do the rows that
-    ``finite_vectors`` leaves out. Equal vectors are searched once and all found together. With
-    fewer than k candidates all are returned; an empty table returns nothing.
-
-    At most ``curves`` curves are used, as many and with windows as wide as cover ``recall`` of
-    the true neighbours of a sample of the queries.
-    """
-    vectors = stored(finite_vectors(df, key, vector).filter(
-        F.exists("v", lambda x: x != 0)), "vectors")
+    """``nearest`` among vectors of one length."""
+    vectors = stored(vectors, "vectors")
     classes = stored(_classes(vectors, k + 1), "vector-classes")
     asked = vectors.filter(is_query(F.col("vec_id"), every)).join(
         classes.select("cid", F.col("v").alias("w")), F.col("v") == F.col("w")).select(
@@ -231,71 +351,51 @@ def nearest(
     asked = stored(asked, "queries")
     askers = classes.select("cid", "v").join(asked.select("cid").distinct(), "cid", "left_semi")
     by_hash = (F.xxhash64("cid"), "cid")
-    tried = askers.orderBy(*by_hash).limit(SAMPLE_QUERIES).collect()
-    sample = classes.orderBy(*by_hash).limit(SAMPLE_ROWS).select("v").collect() if tried else []
-
-    longest, along, rest, pairs, fitted = 0.0, 0.0, 0.0, [], []
-    if tried:
-        spread = np.array([row["v"] for row in sample])
-        longest = float(np.sqrt(np.einsum("ij,ij->i", spread, spread).max()))
-        fitted = fit_curves(lifted(spread, longest), curves, seed)
-        qids, queries = [row["cid"] for row in tried], np.array([row["v"] for row in tried])
+    rows = classes.count()
+    sample = np.array([row["v"] for row in classes.orderBy(*by_hash).limit(SAMPLE_ROWS).select(
+        "v").collect()], float)
+    layout, wanted, n_blocks = Layout([]), 1, 1
+    if rows > block_rows:
+        n_blocks = max(2, min(BLOCKS, rows // LEAST_ROWS))
+        layout = _fitted(classes, rows, n_blocks, sample, curves, seed)
+        tried = askers.orderBy(*by_hash).limit(SAMPLE_QUERIES).collect()
+        qids, queries = [row["cid"] for row in tried], np.array([row["v"] for row in tried], float)
         order = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
         pairs = classes.select("cid", "v").mapInArrow(
             partial(_best_of_all, qids=qids, queries=queries, k=k),
             "qid long, cid long, score double, v array<double>").withColumn(
-                "rank", F.row_number().over(order)).filter(F.col("rank") <= k).collect()
-    if pairs:
-        met = lifted(np.array([row["v"] for row in pairs]), longest)
-        lengths = dict(zip(qids, np.sqrt(np.einsum("ij,ij->i", queries, queries))))
-        along = float(np.mean([row["score"] / lengths[row["qid"]] for row in pairs]))
-        rest = float(met[:, -1].mean())
-
-    rows = classes.count()
-    n_blocks = max(1, -(-rows // block_rows))
-    placed = global_index(
-        classes.select("cid", "v").mapInArrow(
-            partial(_keys, curves=fitted, longest=longest), "curve int, place long, cid long"),
-        "curve", "place", "cid").withColumn("row_index", F.col("row_index") - F.col("curve") * rows)
-    placed = placed.withColumn("block", F.floor(F.col("row_index") / block_rows).cast("long"))
-    starts = [[] for _ in fitted]
-    for row in placed.filter(F.col("row_index") % block_rows == 0).select(
-            "curve", "block", "place").orderBy("curve", "block").collect():
-        starts[row["curve"]].append(row["place"])
-    starts = [np.array(first, np.int64) for first in starts]
-    sought = stored(askers.mapInArrow(
-        partial(_sought, curves=fitted, starts=starts, along=along, rest=rest),
-        "cid long, v array<double>, own double, at array<long>"), "sought")
-
-    number, reach = 1, n_blocks
-    if pairs and n_blocks > 1:
-        met = sorted({row["cid"] for row in pairs})
-        met = placed.join(df.sparkSession.createDataFrame([(i,) for i in met], "cid long"), "cid")
-        at = {(row["cid"], row["curve"]): row["block"] for row in met.collect()}
-        place = expected_place(queries, along, rest)
-        from_block = {qid: blocks for qid, blocks in zip(qids, zip(*(
-            (np.searchsorted(first, curve_keys(place, curve), "right") - 1).clip(0).tolist()
-            for curve, first in zip(fitted, starts))))}
-        apart = np.array([[abs(at[row["cid"], c] - from_block[row["qid"]][c])
-                           for c in range(len(fitted))] for row in pairs])
-        number, reach = choose_windows(apart, n_blocks, recall)
-
-    seekers = sought.select("cid", "v", F.posexplode(F.slice("at", 1, number)).alias("curve", "at"))
-    seekers = seekers.select("cid", "v", "curve", F.explode(F.sequence(
-        F.greatest(F.col("at") - reach, F.lit(0)),
-        F.least(F.col("at") + reach, F.lit(n_blocks - 1)))).alias("block"))
-    # a block that many queries meet is compared with a part of them at a time
-    parts = seekers.groupBy("curve", "block").agg(
-        F.ceil(F.count(F.lit(1)) / TASK_QUERIES).cast("int").alias("parts"))
-    parts = stored(parts, "parts")
-    seekers = seekers.join(parts, ["curve", "block"]).select(
-        "curve", "block", F.pmod(F.xxhash64("cid"), "parts").cast("int").alias("part"), "cid", "v")
-    blocks = placed.select("curve", "block", "cid").join(parts, ["curve", "block"]).join(
-        classes.select("cid", "v"), "cid").select(
-            "curve", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-            "cid", "v")
-    keys = ["curve", "block", "part"]
-    found = seekers.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(
+                "rank", F.row_number().over(order)).filter(
+                    F.col("rank") <= k).collect() if tried else []
+        if pairs:
+            at = {qid: i for i, qid in enumerate(qids)}
+            query = np.array([at[row["qid"]] for row in pairs])
+            held = layout.blocks(np.array([row["v"] for row in pairs]),
+                                 np.array([row["cid"] for row in pairs]))
+            ranks = [np.argsort(preferred, axis=1)[query, block]
+                     for preferred, block in zip(layout.order(queries), held)]
+            wanted = blocks_needed(np.column_stack(ranks), len(layout.centres[0]), recall)
+
+    slices = max(1, -(-RUN_BLOCKS * -(-rows // n_blocks) // RUN_ROWS))
+    kind = dict(classes.dtypes)["v"]
+    seekers = stored(askers.mapInArrow(
+        partial(_sought, layout=layout, wanted=wanted, sample=sample, k=k + 1),
+        f"curve int, run int, cid long, v {kind}, least double, blocks array<int>"), "sought")
+    # a run that many queries read is compared with a part of them at a time
+    parts = stored(seekers.groupBy("curve", "run").agg(
+        F.ceil(F.count(F.lit(1)) / TASK_QUERIES).cast("int").alias("parts")), "parts")
+
+    def each(limit):
+        return F.explode(F.sequence(F.lit(0), limit - 1))
+
+    seekers = seekers.join(parts, ["curve", "run"]).withColumn(
+        "part", F.pmod(F.xxhash64("cid"), "parts").cast("int")).drop("parts").withColumn(
+            "slice", each(F.lit(slices)))
+    placed = classes.select("cid", "v").mapInArrow(
+        partial(_placed, layout=layout, slices=slices),
+        f"curve int, run int, slice int, block int, cid long, v {kind}").join(
+            parts, ["curve", "run"]).withColumn("part", each(F.col("parts"))).drop("parts")
+    keys = ["curve", "run", "part", "slice"]
+    found = seekers.groupBy(*keys).cogroup(placed.groupBy(*keys)).applyInArrow(
         partial(_compare, k=k + 1), "qid long, cids array<long>, scores array<double>")
     hits = F.arrays_zip("cids", "scores")
     merged = found.groupBy("qid").agg(F.flatten(F.collect_list(hits)).alias("hits")).select(
@@ -303,7 +403,8 @@ def nearest(
             F.filter("hits", lambda h: h["cids"] != F.col("qid")),
             lambda h: F.struct((-h["scores"]).alias("less"), h["cids"].alias("cid"))))),
             1, k + 1)).alias("hit")).select("qid", "hit.*")
-    own = sought.select(F.col("cid").alias("qid"), (-F.col("own")).alias("less"), "cid")
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    own = askers.select(F.col("cid").alias("qid"), (-squares).alias("less"), "cid")
     members = merged.unionByName(own).join(classes.select("cid", "ids"), "cid")
     ranked = members.groupBy("qid").agg(F.slice(F.array_sort(F.flatten(F.collect_list(F.transform(
         "ids", lambda i: F.struct("less", i.alias("vec_id")))))), 1, k + 1).alias("hits"))
@@ -312,3 +413,38 @@ def nearest(
     return own.select("query_id", F.posexplode("hits").alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), "hit.vec_id",
         (-F.col("hit.less")).alias("score"))
+
+
+def nearest(
+    df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20,
+    every: int = 20, curves: int = CURVES, block_rows: int = BLOCK_ROWS, seed: int = 42,
+    recall: float = RECALL,
+) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the k rows of largest inner product that are found.
+
+    Queries are the rows whose key is divisible by ``every``; a query is no candidate of its own.
+    Ties go to the smaller key. Zero vectors take no part, nor do the rows that
+    ``finite_vectors`` leaves out. Vectors of different lengths have no inner product: each length
+    is searched on its own. Equal vectors are searched once and all found together. With fewer
+    than k candidates all are returned; an empty table returns nothing. Very long vectors only
+    cost their memory; other columns are not read, whatever their names.
+
+    Tables of at most ``block_rows`` different vectors are one block, and the result is exact.
+    Others are read through ``curves`` curves, as many blocks of each as cover ``recall`` of the
+    true neighbours of a sample of the queries, never all.
+    """
+    vectors = finite_vectors(df, key, vector).filter(F.exists("v", lambda x: x != 0))
+    single = T.ArrayType(T.FloatType())
+    if df.schema[vector].dataType.simpleString() == single.simpleString():
+        vectors = vectors.withColumn("v", F.col("v").cast(single))  # half the bytes to shuffle
+    vectors = stored(vectors, "finite")
+    lengths = [row[0] for row in vectors.select(F.size("v")).distinct().limit(
+        MAX_LENGTHS + 1).collect()]
+    if len(lengths) > MAX_LENGTHS:
+        raise ValueError(f"vectors of more than {MAX_LENGTHS} lengths")
+    parts = [_nearest_of_length(vectors.filter(F.size("v") == length), k, every, curves,
+                                block_rows, seed, recall) for length in sorted(lengths)]
+    if not parts:
+        return df.sparkSession.createDataFrame(
+            [], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, parts)

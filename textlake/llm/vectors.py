@@ -11,18 +11,15 @@ from pyspark.sql import functions as F
 def finite_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     """``vec_id, v``: one row per key, components as doubles, negative zero as zero.
 
-    Left out are rows without key, null vectors, vectors that hold null or non-finite components,
-    and vectors whose length is not the most frequent one (of several, the longest). Of several
-    vectors with the same key the smallest, compared by components, takes part.
+    Left out are rows without key, null vectors, and vectors that hold null or non-finite
+    components. Of several vectors with the same key the smallest, compared by components, takes
+    part.
     """
     value = F.transform(F.col(f"`{vector}`"), lambda x: x.cast("double") + F.lit(0.0))
     odd = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     rows = df.select(F.col(f"`{key}`").cast("long").alias("vec_id"), value.alias("v")).filter(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull()).filter(~odd)
-    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
-    top = lengths.orderBy(F.desc("rows"), F.desc("n")).first()
-    dims = top["n"] if top else 0
-    return rows.filter(F.size("v") == dims).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def is_query(key: Column, every: int = 20) -> Column:
