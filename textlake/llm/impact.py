@@ -177,7 +177,8 @@ def top_k(
 
     Components count as floor(scale * x). Queries are the rows whose key is divisible by
     ``every``. Ties go to the smaller key. Rows that ``finite_vectors`` leaves out take no part; a
-    zero vector does, with score 0. Scores are exact for components of any size; one that exceeds
+    zero vector does, with score 0. Vectors of different lengths have no score with each other,
+    however long they are. Other columns are not read, whatever their names. Scores are exact for components of any size; one that exceeds
     a long is an error. With fewer than k candidates all are returned; an empty table returns
     nothing.
 
@@ -196,7 +197,9 @@ def top_k(
         F.col("vec_id").alias("vec_id"), F.col("v").alias("v"),
         F.pmod(spread, F.lit(n_groups)).cast("int").alias("group"),
         F.explode(every_block).alias("block"))
-    found = groups.groupBy("group", "block").cogroup(blocks.groupBy("group", "block")).applyInArrow(
+    # vectors of different lengths have no score with each other
+    keys = [F.size("v"), "group", "block"]
+    found = groups.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(
         partial(_search, k=k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
@@ -209,7 +212,7 @@ WITH q AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUB
            WHERE embedding IS NOT NULL AND len(list_filter(embedding,
              lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
-      FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+      FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
       FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
