@@ -38,6 +38,10 @@ DATES = [
 NUMERIC = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})$"
 
 
+# ISO dates, with hyphens or slashes, alone or with a time of day in UTC
+PLAIN = r"^\d{4}(?:-\d\d-|/\d\d/)\d\d(?:[T ]\d\d:[0-5]\d(?::[0-5]\d(?:\.\d{1,6})?)?Z?)?$"
+
+
 def _number(text: Column) -> Column:
     return F.nullif(text, F.lit("")).cast("int")
 
@@ -94,9 +98,16 @@ def parse_mixed(raw: Column, day_first: bool = False) -> Column:
     are UTC, in any session zone. In ``1/2/2018`` the month comes first, unless it can't or
     ``day_first`` is set; dots and hyphens are read alike.
     """
-    text = F.regexp_replace(F.trim(raw.cast("string")), WEEKDAY, "")
-    return _once(text, lambda t: F.when(t.rlike(COMPACT), _packed(t)).otherwise(
-        _once(_split(t), lambda parts: _instant(parts, day_first))))
+    text = F.trim(raw.cast("string"))
+    plain = F.try_to_timestamp(F.concat(
+        F.translate(text, "/Z", "-"),
+        F.when(text.rlike(r":\d\d:|^[^:]+$"), "").otherwise(":00"),
+        F.when(text.contains(":"), "Z").otherwise("T00:00:00Z")))
+    other = _once(F.regexp_replace(text, WEEKDAY, ""), lambda t: F.when(
+        t.rlike(COMPACT), _packed(t)).otherwise(
+            _once(_split(t), lambda parts: _instant(parts, day_first))))
+    # the commonest forms are cast; what has no digit is no date
+    return F.when(text.rlike(PLAIN), plain).when(text.rlike("[0-9]"), other)
 
 
 def _once(value: Column, then: Callable[[Column], Column]) -> Column:

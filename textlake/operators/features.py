@@ -77,21 +77,23 @@ def document_terms(text: Column, stopwords: Sequence[str], bigrams: bool) -> Col
     return T.with_bigrams(words) if bigrams else words
 
 
-def term_statistics(terms: Column, df: DataFrame) -> DataFrame:
+def term_statistics(terms: Column, df: DataFrame, copies: Column | None = None) -> DataFrame:
     """``(term, tf, df)``: occurrences and documents per term, in one aggregate.
 
     Sorting the terms of a row puts copies side by side, so the first copy of each can be
-    flagged in the row and documents are counted without a shuffle by document.
+    flagged in the row and documents are counted without a shuffle by document. ``copies`` says
+    how often a row counts.
     """
-    return (
-        df.select(F.sort_array(terms).alias("terms"))
-        .select(F.explode(F.transform("terms", lambda term, i: F.struct(
+    entries = (
+        df.select(F.sort_array(terms).alias("terms"),
+                  (F.lit(1) if copies is None else copies).cast("long").alias("copies"))
+        .select("copies", F.explode(F.transform("terms", lambda term, i: F.struct(
             term.alias("term"),
             F.when((i > 0) & (F.get("terms", i - 1) == term), 0).otherwise(1).alias("first"),
         ))).alias("entry"))
-        .groupBy("entry.term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.sum("entry.first").alias("df"))
     )
+    return entries.groupBy("entry.term").agg(
+        F.sum("copies").alias("tf"), F.sum(F.col("entry.first") * F.col("copies")).alias("df"))
 
 
 def bow_vocabulary(
@@ -113,15 +115,18 @@ def tfidf_vocabulary(
     stopwords: Sequence[str] = ENGLISH,
     bigrams: bool = True,
     n_documents: int | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """``(term, tf, df, idf)`` of the most frequent words and pairs within the df limits.
 
-    idf is the smoothed form ``ln((1 + rows) / (1 + df)) + 1``.
+    idf is the smoothed form ``ln((1 + rows) / (1 + df)) + 1``. ``copies`` names a column that
+    says how often a row counts.
     """
     # every row holds the null term once, so one aggregate also counts the rows
     terms = F.concat(
         document_terms(F.col(text), stopwords, bigrams), F.array(F.lit(None).cast("string")))
-    statistics = _stored(term_statistics(terms, df).filter(
+    statistics = _stored(term_statistics(
+        terms, df, F.col(copies) if copies else None).filter(
         (F.col("df") >= min_df) | F.col("term").isNull()), "terms")
     rows = statistics.filter(F.col("term").isNull()).first()
     n = n_documents if n_documents is not None else rows["tf"] if rows else 0

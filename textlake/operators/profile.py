@@ -36,9 +36,15 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 def label_distribution(df: DataFrame, label: str = "type") -> DataFrame:
     """Rows and percentage per label, null counted as a label."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy()
-    return counts.withColumn("percent", F.col("n") * 100 / F.sum("n").over(everything))
+    counts = _with_totals(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), label)
+    return counts.select(label, "n", (F.col("n") * 100 / F.col("total")).alias("percent"))
+
+
+def _with_totals(counts: DataFrame, label: str) -> DataFrame:
+    """Class counts with ``total`` and ``classes``, their sum and number: a row for each class."""
+    return counts.agg(
+        F.collect_list(F.struct(label, "n")).alias("rows"), F.sum("n").alias("total"),
+        F.count(F.lit(1)).alias("classes")).select(F.inline("rows"), "total", "classes")
 
 
 def value_histogram(df: DataFrame, value: str, *groups: str) -> DataFrame:
@@ -136,8 +142,7 @@ def class_ratio(df: DataFrame, label: str = "type") -> DataFrame:
 
 def class_weights(df: DataFrame, label: str = "type") -> DataFrame:
     """Balanced weight of each class: rows / (classes * rows of the class)."""
-    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(
-        F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy()
-    weight = F.sum("n").over(everything) / (F.count("n").over(everything) * F.col("n"))
-    return counts.withColumn("weight", weight)
+    counts = _with_totals(df.filter(F.col(label).isNotNull()).groupBy(label).agg(
+        F.count(F.lit(1)).alias("n")), label)
+    return counts.select(
+        label, "n", (F.col("total") / (F.col("classes") * F.col("n"))).alias("weight"))

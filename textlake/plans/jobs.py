@@ -196,14 +196,15 @@ def tune_job(
     """Random search on text plus style features over a stratified bootstrap sample.
 
     At most ``n_samples`` rows are drawn, with replacement, and the vocabulary is fitted on at
-    most ``fit_rows`` of them, each taken once; both are the bounds of what the classifiers are
-    fitted on. A null text counts as empty.
+    most ``fit_rows`` rows, as often as they were drawn; both are the bounds of what the
+    classifiers are fitted on. A null text counts as empty.
     """
     train = features.style_features(_labelled(train, text, label, True))
 
     def stages(rows: DataFrame) -> list:
         return _tfidf_stages(
-            rows, text, "style", id_column, fit_rows, **(vocabulary_limits or {}))
+            rows, text, "style", id_column, fit_rows, copies="copies",
+            **(vocabulary_limits or {}))
 
     # rows drawn several times are one row that counts several times
     folded = _stored(sampling.cv_folds(train, folds, label, id_column=id_column), "folded")
@@ -219,12 +220,16 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def corpus_report(cleaned: DataFrame) -> dict[str, DataFrame]:
+def corpus_report(cleaned: DataFrame, store: bool = True) -> dict[str, DataFrame]:
     """The tables behind the six observations on a cleaned corpus.
 
-    The text is measured once: a stored table of labels, sources, lengths and counts feeds six
-    of the reports, and the stored ranking of processed terms feeds two.
+    The text is cleaned and measured once: the texts are stored first (``store=False`` for a table
+    that is stored already), a stored table of labels, sources, lengths and counts feeds six of
+    the reports, and the stored ranking of processed terms feeds two.
     """
+    if store:
+        cleaned = _stored(cleaned.select(
+            "type", "domain", "content", "content_normalized", "content_processed"), "cleaned")
     measured = _stored(
         profile.count_artefacts(cleaned).select(
             "type", "domain", *profile.ARTEFACTS,

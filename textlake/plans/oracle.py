@@ -679,3 +679,8 @@ ORACLE_SQL["model_parts"] = f"""WITH labelled AS (
     SELECT id, type::INTEGER AS type FROM {LABELLED} WHERE type IS NOT NULL),
   {_stratified('labelled', 'type', 'id')}
   SELECT id, type, split AS part FROM assigned"""
+
+_VALIDATION = f"(SELECT id, type FROM ({ORACLE_SQL['model_parts']}) WHERE part = 'val')"
+ORACLE_SQL["tree_contributions_add_up"] = f"SELECT id, type, true AS adds_up FROM {_VALIDATION}"
+ORACLE_SQL["model_facts"] = f"""SELECT model, type AS label, count(*) AS support, 0::BIGINT AS odd
+  FROM {_VALIDATION}, (SELECT unnest(['logreg', 'gbt']) AS model) GROUP BY model, type"""

@@ -857,6 +857,49 @@ def term_contributions(spark, sf_dir):
     return models.term_contributions(validation, model, models.feature_names(model), ["id"])
 
 
+EXPLAINED_TREES = {"trees": 30, "depth": 6}
+
+
+def _explained(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """Contributions to the margins of the validation rows, and the rows with their margins."""
+    train, validation = _parts(spark, sf_dir)
+    model, tables = jobs.train_gbt_job(train, validation, **EXPLAINED_TREES)
+    return models.tree_contributions(validation, model, ["id"], k=k), tables["predictions"]
+
+
+@query
+def tree_contributions(spark, sf_dir):
+    """The 15 features that moved each validation row's margin most."""
+    return _rounded(_explained(spark, sf_dir, 15)[0].drop("total"))
+
+
+@query
+def tree_contributions_add_up(spark, sf_dir):
+    """For every validation row, whether all contributions and the base are its margin."""
+    told, scored = _explained(spark, sf_dir, 1 << 30)
+    sums = told.groupBy("id").agg(
+        (F.sum("contribution") + F.first("base")).alias("sum"), F.max("margin").alias("told"))
+    same = (F.abs(F.col("sum") - F.col("margin")) < 1e-9) & (F.col("told") == F.col("margin"))
+    return scored.select("id", "type", "margin").join(sums, "id", "left").select(
+        "id", "type", F.coalesce(same, F.lit(False)).alias("adds_up"))
+
+
+@query
+def model_facts(spark, sf_dir):
+    """Rows of each class that the two classifiers were judged by, and predictions that are none."""
+    train, validation = _parts(spark, sf_dir)
+    parts = None
+    for name, (_, tables) in (
+            ("logreg", jobs.train_logreg_job(train, validation)),
+            ("gbt", jobs.train_gbt_job(train, validation, **SMALL_TREES))):
+        rows = tables["confusion_matrix"].groupBy("label").agg(
+            F.sum("n").alias("support"),
+            F.sum(F.when(F.col("prediction").isin(0, 1), 0).otherwise(F.col("n"))).alias("odd"))
+        rows = rows.select(F.lit(name).alias("model"), "label", "support", "odd")
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts
+
+
 @query
 def cross_domain_report(spark, sf_dir):
     """A pipeline trained on documents, saved, loaded and applied to the statements."""
@@ -903,8 +946,6 @@ def corpus_report_values(spark, sf_dir):
     rows = corpus.processed_documents(spark, sf_dir)
     parts = None
     for name, table in jobs.corpus_report(rows).items():
-        if name in ("rank_frequency", "top_words_normalized", "top_words_processed"):
-            table = table.select("term", "n")
         keys = [c for c, _ in table.dtypes if c in ("type", "term", "domain", "bin", "feature")]
         values = [c for c, _ in table.dtypes if c not in keys]
         label = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
