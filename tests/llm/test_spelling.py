@@ -80,6 +80,24 @@ def test_pairs_are_complete(spark):
         assert len(pairs) == len(want) and {frozenset(p) for p in pairs} == want
 
 
+def test_long_words(spark):
+    random.seed(6)
+    long = "".join(random.choices("abc", k=20_000))
+    words = [long, long[1:], long + "a", long[:10_000] + "z" + long[10_001:], "q" + long[1:],
+             long[:9_999] + long[10_000:], long[:66], long[:65], "z" + long[:65], long[:64],
+             long[:32] + "z" + long[33:65], long[::-1]]
+    want = {frozenset((a, b)) for a in words for b in words if a < b and one_edit(a, b)}
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    for hot in (2, 1000):
+        pairs = spelling.near_pairs(
+            table if hot > 2 else table.filter("length(word) < 100"), hot).collect()
+        assert {frozenset(p) for p in pairs} == {
+            p for p in want if hot > 2 or max(map(len, p)) < 100}
+    text = f"{long} {long[1:]} " * 5
+    found = spelling.spelling_forms(spark.createDataFrame([(0, text)], "doc_id long, text string"))
+    assert sorted(map(len, (r["word"] for r in found.collect()))) == [19_999, 20_000]
+
+
 def test_empty(no_documents):
     assert spelling.spelling_forms(no_documents).count() == 0
 

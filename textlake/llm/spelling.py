@@ -25,6 +25,9 @@ DROPPED = 199
 MIN_CHARS, MIN_COUNT, FORM_TIMES = 6, 5, 5
 #: A chunk with more words than this on its side is joined by its surroundings too.
 HOT_WORDS = 128
+#: Of longer words only those grams are made whose position is within one of a chunk's: others
+#: join nothing, and all grams of a very long word would be its length squared.
+LONG_CHARS = 64
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -70,9 +73,12 @@ def grams(words: DataFrame) -> DataFrame:
     sizes = words.select("word", F.explode(F.array(
         F.length("word"), F.length("word") + 1)).alias("long"))
     half = F.floor(F.col("long") / 2).cast("int")
-    return sizes.withColumn("at", F.explode(F.sequence(
-        F.lit(0), F.length("word") - half))).withColumn(
-            "chunk", F.substring("word", F.col("at") + 1, half))
+    last = F.length("word") - half
+    near = F.filter(
+        F.array(F.lit(0), F.lit(1), half - 1, half, half + 1), lambda at: at <= last)
+    places = F.when(F.length("word") > LONG_CHARS, near).otherwise(F.sequence(F.lit(0), last))
+    return sizes.withColumn("at", F.explode(places)).withColumn(
+        "chunk", F.substring("word", F.col("at") + 1, half))
 
 
 def _rests(rows: DataFrame) -> DataFrame:
@@ -128,7 +134,7 @@ def spelling_forms(
 
     Null and empty texts have no words. A null key counts as the empty string before the colon of
     the hashed name. Repeated rows count as often as they occur. Texts of any length are read
-    whole. Other columns are not read, whatever their names. An empty table returns nothing.
+    whole, and words of any length take part. Other columns are not read, whatever their names. An empty table returns nothing.
     """
     words = stored(count_words(docs, key, text), "words")
     pairs = near_pairs(words.select("word"), hot_words)
