@@ -51,13 +51,20 @@ class CleaningTotals(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str):
         self._spark, self._path = spark, path.rstrip("/")
-        self._run, self._ended = None, threading.Event()
-
-    def follow(self, query: StreamingQuery) -> None:
-        """Wait until the query has ended and its last totals are written."""
-        query.awaitTermination()
-        self._ended.wait(60)
-        self._spark.streams.removeListener(self)
+        self._ended: set[str] = set()
+        self._changed, self._failure = threading.Condition(), None
+
+    def follow(self, query: StreamingQuery, seconds: float = 300) -> None:
+        """Wait until the query has ended and its last totals are written; raises what failed."""
+        try:
+            query.awaitTermination()
+            with self._changed:
+                if not self._changed.wait_for(lambda: str(query.runId) in self._ended, seconds):
+                    raise TimeoutError(f"the totals of {self._path} are not complete")
+        finally:
+            self._spark.streams.removeListener(self)
+        if self._failure:
+            raise self._failure
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -65,14 +72,19 @@ class CleaningTotals(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         row = progress.observedMetrics.get(f"{METRICS}:{self._path}")
-        if row is not None and row["rows_in"]:
-            names = [name.split()[0] for name in TOTALS.split(", ")]
+        if row is None or not row["rows_in"]:
+            return
+        names = [name.split()[0] for name in TOTALS.split(", ")]
+        try:
             self._spark.createDataFrame([tuple(row[name] for name in names)], TOTALS).coalesce(
                 1).write.mode("overwrite").parquet(f"{self._path}/batch={progress.batchId}")
+        except Exception as error:  # noqa: BLE001, the bus would only log it
+            self._failure = error
 
     def onQueryTerminated(self, event) -> None:
-        if self._run is None or str(event.runId) == str(self._run):
-            self._ended.set()
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -101,7 +113,6 @@ def append_cleaned(
         .start(output)
     )
     if listener:
-        listener._run = query.runId
         listener.follow(query)
     return query
 
