@@ -6,8 +6,10 @@ from textlake.functions import text as T
 from textlake.functions.stemming import stem
 from textlake.functions.stopwords import ENGLISH
 from textlake.functions.timestamps import parse_mixed
+from textlake.functions.treebank import treebank_words
 from textlake.operators import cleaning, features, vocabulary
-from textlake.operators.tokens import add_processed, process_text, process_text_words
+from textlake.operators.tokens import (
+    add_processed, process_raw_words, process_text, process_text_words)
 
 
 def apply(spark, function, *values):
@@ -143,3 +145,28 @@ def test_statement_labels(spark):
     labels = ["true", "mostly-true", "half-true", "barely-true", "false", "pants-fire", "odd", None]
     assert apply(spark, L.statement_label, *labels) == [0, 0, 0, 1, 1, 1, 1, 1]
     assert apply(spark, L.statement_label_or_null, *labels) == [0, 0, 0, 1, 1, 1, None, None]
+
+
+def test_treebank_words(spark):
+    texts = {
+        "They'll save and invest more.": "They 'll save and invest more .",
+        "hi, my name can't hello,": "hi , my name ca n't hello ,",
+        "Good muffins cost $3.88\nin New York.  Please buy me\ntwo of them.\nThanks.":
+            "Good muffins cost $ 3.88 in New York. Please buy me two of them. Thanks .",
+        '"I cannot," he said... (1,000 times)--or more!':
+            "`` I can not , '' he said ... ( 1,000 times ) -- or more !",
+        "'Tis gonna be d'ye know: more'n 5:30": "'T is gon na be d 'ye know : more 'n 5:30",
+        "it's John's dogs' and the N'T 'quoted' x": "it 's John 's dogs ' and the N'T 'quoted ' x",
+        "a@b.c; 50% & #tag*": "a @ b.c ; 50 % & # tag *",
+        "We’re “in” «it»": "We ’ re “ in ” « it »",
+        "end.\")": "end . '' )", "wanna": "wan na", "": "", " \n ": "",
+    }
+    df = spark.createDataFrame([(k,) for k in [*texts, None]], "t string")
+    got = {r["t"]: r["w"] for r in df.select("t", treebank_words(F.col("t")).alias("w")).collect()}
+    assert got.pop(None) == []
+    assert got == {text: words.split() for text, words in texts.items()}
+
+
+def test_raw_words_are_stemmed(spark):
+    assert apply(spark, process_raw_words, "They're NOT running, \"quickly\"!") == [
+        "re run , `` quick '' !"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textlake.functions import text as T
 from textlake.functions.stemming import stem_words
 from textlake.functions.stopwords import ENGLISH
+from textlake.functions.treebank import treebank_words
 
 
 def process_tokens(words: Column, stopwords: Sequence[str] = ENGLISH) -> Column:
@@ -26,6 +27,14 @@ def process_text_words(normalized: Column, stopwords: Sequence[str] = ENGLISH) -
     return process_tokens(T.tokenize_words(normalized), stopwords)
 
 
+def process_raw_words(text: Column, stopwords: Sequence[str] = ENGLISH) -> Column:
+    """Chain over raw text: Treebank words in lower case, without stop words, stemmed.
+
+    Signs stay, as do the parts of contracted forms that are no stop words.
+    """
+    return process_tokens(treebank_words(F.lower(text)), stopwords)
+
+
 def add_processed(
     df: DataFrame, source: str = "content_normalized", target: str = "content_processed",
     stopwords: Sequence[str] = ENGLISH,

@@ -430,6 +430,38 @@ ORACLE_SQL["process_text"] = f"""WITH {_processed('documents', 'doc_id', _normal
   SELECT id AS doc_id, content_processed AS result FROM processed"""
 ORACLE_SQL["process_text_words"] = f"""WITH {_processed('documents', 'doc_id', _WORD_TOKENS)}
   SELECT id AS doc_id, content_processed AS result FROM processed"""
+
+
+def _treebank(text: str) -> str:
+    """List of words and signs: RE2 rules of our own, in the order of the convention."""
+    step = _squeezed(f"coalesce({text}, '')")
+    for pattern, new in (
+        (r"([«“‘„]|`+)", r" \1 "), (r'^"', " `` "), (r"([ (\[{<])(\"|'')", r"\1 `` "),
+        (r"'([a-zA-Z0-9_])\b", "'\x01\\1"), ("'\x01([dmnstDMNST])", r"'\1"), ("\x01", " "),
+        (r"""([^.])\.([\])}>"'»”’ ]*)$""", r"\1 . \2 "), (r"(:|,)([^0-9])", r" \1 \2"),
+        (r"(:|,)$", r" \1 "), (r"(\.\.+)", r" \1 "), (r"([!#$%&*;?@])", r" \1 "),
+        (r"([^'])' ", r"\1 ' "), (r"([()<>{}]|\[|\])", r" \1 "), ("--", " -- "),
+    ):
+        step = _replace(step, pattern, new)
+    step = f"' ' || {step} || ' '"
+    for pattern, new in (
+        (r"(»|”|’)", r" \1 "), (r"\"|''", " '' "), ("  +", " "),
+        (r"([^' ])('s|'S|'m|'M|'d|'D|') ", r"\1 \2 "),
+        (r"([^' ])('(?:ll|LL|re|RE|ve|VE)|n't|N'T) ", r"\1 \2 "),
+    ) + tuple(
+        (rf"(?i)\b({head})({tail}){end}", r" \1 \2 ") for head, tail, end in (
+            ("can", "not", r"\b"), ("d", "'ye", r"\b"), ("gim|lem", "me", r"\b"),
+            ("gon", "na", r"\b"), ("got", "ta", r"\b"), ("more", "'n", r"\b"), ("wan", "na", " "))
+    ) + ((r"(?i) ('t)(is|was)\b", r" \1 \2 "),):
+        step = _replace(step, pattern, new)
+    return f"list_filter(string_split({step}, ' '), lambda w: w <> '')"
+
+
+ORACLE_SQL["treebank_words"] = (
+    f"SELECT doc_id, array_to_string({_treebank('text')}, ' ') AS result FROM documents")
+ORACLE_SQL["process_raw_words"] = f"""WITH
+  {_processed('documents', 'doc_id', _treebank('lower(text)'))}
+  SELECT id AS doc_id, content_processed AS result FROM processed"""
 ORACLE_SQL["process_statements"] = f"""WITH
   {_processed(STATEMENTS, 'id', _normal_tokens('statement'))}
   SELECT id, content_processed FROM processed"""
@@ -620,6 +652,54 @@ ORACLE_SQL["corpus_report"] = f"""WITH
   UNION ALL SELECT 'rank_frequency', least(10000, n) FROM stemmed
   UNION ALL SELECT 'artefact_stats', 3
   UNION ALL SELECT 'artefact_by_label', 3 * count(DISTINCT type) FROM labelled"""
+
+
+def _measures(name: str, keys: str, table: str, *measures: str) -> str:
+    """A table of the report in long form: keys joined by bars, one row per measure."""
+    row = ", ".join(f"coalesce({key}::VARCHAR, 'null')" for key in keys.split())
+    return f"""SELECT '{name}' AS name, concat_ws('|', {row}) AS "row",
+      unnest({list(measures)}) AS measure,
+      unnest([{', '.join(f'round({m}::DOUBLE, 6)' for m in measures)}]) AS value FROM {table}"""
+
+
+ORACLE_SQL["corpus_report_values"] = f"""WITH
+  {_processed('documents', 'doc_id', _normal_tokens('text'))},
+  sized AS (SELECT type, coalesce(len(string_split(nullif(content_processed, ''), ' ')), 0) AS v
+            FROM processed JOIN {LABELLED} USING (id) WHERE type IS NOT NULL),
+  lengths AS (SELECT type, count(*) AS n, avg(v) AS mean, median(v) AS median,
+                quantile_cont(v, 0.95) AS p95, max(v) AS maximum FROM sized GROUP BY type),
+  limits AS (SELECT type, min(v)::DOUBLE AS lo, quantile_cont(v, 0.99) AS hi
+             FROM sized GROUP BY type),
+  placed AS (SELECT type, lo, hi, CASE WHEN hi > lo THEN least(49, floor(
+      (least(v, hi) - lo) / ((hi - lo) / 50))) ELSE 0 END::INTEGER AS bin
+    FROM sized JOIN limits USING (type)),
+  bins AS (SELECT type, bin, count(*) AS n,
+             any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 50 AS bin_start
+           FROM placed GROUP BY type, bin),
+  sources AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY n DESC, domain) AS rank FROM (
+    SELECT type, coalesce(domain, 'missing') AS domain, count(*) AS n
+    FROM {LABELLED} WHERE type IS NOT NULL GROUP BY ALL)),
+  normal AS (SELECT term, count(*) AS n FROM (
+    SELECT unnest({_normal_tokens('text')}) AS term FROM documents)
+    GROUP BY term ORDER BY n DESC, term LIMIT 100),
+  ranked AS (SELECT term, n, row_number() OVER (ORDER BY n DESC, term) AS rank FROM (
+    SELECT term, count(*) AS n FROM (
+      SELECT unnest(string_split(content_processed, ' ')) AS term FROM processed)
+    WHERE term <> '' GROUP BY term) ORDER BY rank LIMIT 10000)
+  {' UNION ALL '.join((
+      _measures('label_distribution', 'type', f"({ORACLE_SQL['label_distribution']})",
+                'n', 'percent'),
+      _measures('length_stats', 'type', 'lengths', 'n', 'mean', 'median', 'p95', 'maximum'),
+      _measures('length_histogram', 'type bin', 'bins', 'bin_start', 'n'),
+      _measures('top_sources', 'type domain', '(SELECT * FROM sources WHERE rank <= 10)',
+                'n', 'rank'),
+      _measures('top_words_normalized', 'term', 'normal', 'n'),
+      _measures('top_words_processed', 'term', '(SELECT * FROM ranked WHERE rank <= 100)', 'n'),
+      _measures('rank_frequency', 'term', 'ranked', 'rank', 'n'),
+      _measures('artefact_stats', 'feature', f"({ORACLE_SQL['artefact_stats']})",
+                'total', 'mean', 'median', 'p95'),
+      _measures('artefact_by_label', 'type feature', f"({ORACLE_SQL['artefact_by_label']})",
+                'mean', 'median')))}"""
 ORACLE_SQL["stream_cleaning"] = f"""SELECT doc_id::VARCHAR AS id,
   CASE WHEN lang IN ('en', 'de') THEN 0 ELSE 1 END AS type, source AS domain,
   {_normalized('text')} AS content_normalized FROM documents"""

@@ -16,6 +16,7 @@ from textlake.functions import text as T
 from textlake.functions import unicode as U
 from textlake.functions.stopwords import ENGLISH
 from textlake.functions.timestamps import parse_mixed
+from textlake.functions.treebank import treebank_words
 from textlake.operators import (
     chunks,
     cleaning,
@@ -29,7 +30,8 @@ from textlake.operators import (
     vocabulary,
 )
 from textlake.operators import sketches as sketches_of
-from textlake.operators.tokens import process_statements, process_text, process_text_words
+from textlake.operators.tokens import (
+    process_raw_words, process_statements, process_text, process_text_words)
 from textlake.plans import corpus, jobs
 from textlake.session import scratch_path
 from textlake.sources import parallel_csv, readers, writers
@@ -342,6 +344,8 @@ QUERIES["remove_stopwords"] = _on_documents(
 QUERIES["process_text"] = _on_documents(lambda text: process_text(T.normalize_text(text)))
 QUERIES["process_text_words"] = _on_documents(
     lambda text: process_text_words(T.normalize_text(text)))
+QUERIES["treebank_words"] = _on_documents(lambda text: F.array_join(treebank_words(text), " "))
+QUERIES["process_raw_words"] = _on_documents(process_raw_words)
 QUERIES["tokenize_words"] = _on_documents(lambda text: F.array_join(T.model_words(text), "|"))
 QUERIES["word_bigrams"] = _on_documents(
     lambda text: F.array_join(T.with_bigrams(T.remove_stopwords(T.model_words(text))), "|"))
