@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 import sys
@@ -147,3 +148,60 @@ def test_tables(odd_documents, no_documents):
     assert pii.find_pii(odd_documents).columns == [*odd_documents.columns, "pii"]
     assert pii.find_pii(odd_documents).count() == 10
     assert pii.pii_report(no_documents).count() == 0
+
+
+@pytest.mark.parametrize("text, kind, value", [
+    ("to pαul@example.com now", "email", "pαul@example.com"),
+    ("to мaria@example.com now", "email", "мaria@example.com"),
+    ("to каte@example.com now", "email", "каte@example.com"),
+    ("write john dot doe at example dot com now", "email", "john dot doe at example dot com"),
+    ("to j dot r dot doe@example .com now", "email", "j dot r dot doe@example .com"),
+    ("call +49 176 one 2345678 now", "phone", "+49 176 one 2345678"),
+    ("call +one 49 176 2345678 now", "phone", "+one 49 176 2345678"),
+    ("ip 192 . 168 . 0 . 1 here", "ip", "192 . 168 . 0 . 1"),
+    ("ann at aa dot bb dot cc dot dd dot ee dot ff dot com ok", "email",
+     "ann at aa dot bb dot cc dot dd dot ee dot ff dot com"),
+    ("n" * 90 + " at example dot com ok", "email", "n" * 90 + " at example dot com"),
+    ("a@b" + " dot b" * 40 + ", ok", "email", "a@b" + " dot b" * 40),
+    ("ann at mail dot com dot b2 ok", "email", "ann at mail dot com"),
+])
+def test_long_and_mixed_disguises(text, kind, value):
+    base, added = pii.find_all(text)
+    assert value in [text[a:b] for a, b in added[kind]]
+
+
+@pytest.mark.parametrize("char", sorted(pii.LOOK_ALIKES))
+def test_every_look_alike_in_every_position(char):
+    for address in (f"{char}b@exa.com", f"a{char}b@exa.com", f"ab{char}@exa.com",
+                    f"ab@{char}xa.com", f"ab@ex{char}.com", f"ab@exa.c{char}m", f"ab@exa.co{char}"):
+        base, added = pii.find_all(f"to {address} now")
+        assert [f"to {address} now"[a:b] for a, b in added["email"]] == [address]
+
+
+def test_words_near_numbers_stay_clean():
+    for text in ("I paid one 4041894974608795 today", "pages 1. 2. 3. 4 of it", "the one . two of us",
+                 "this dot at the door", "call one or two men", "room 12, two 5 and 7"):
+        base, added = pii.find_all(text)
+        assert base == plain(text) and not any(added.values()), text
+    base, added = pii.find_all("the end of this point ann at example dot com")
+    assert ["ann at example dot com"] == [
+        "the end of this point ann at example dot com"[a:b] for a, b in added["email"]]
+
+
+def test_long_written_chains_are_linear():
+    for text in ("a dot " * 100_000 + "a at b dot com", "a at b" + " dot b" * 100_000,
+                 "a at b" + " dot b1" * 100_000, "a@b" + " . b" * 100_000, "1 . " * 100_000,
+                 "1 one " * 100_000, "at dot " * 100_000):
+        pii.find_all(text)
+
+
+def test_report_values(spark, odd_documents):
+    texts = {1: "jo [at] exa dot com, +49 30 1234567", 2: None, 3: "", 4: "192 . 168 . 0 . 1"}
+    rows = spark.createDataFrame([*texts.items(), (None, texts[1])], "doc_id long, text string")
+    for row in pii.pii_report(rows).collect():
+        base, added = pii.find_all(texts[row["doc_id"] or 1])
+        listed = ",".join(f"{k}:{a}:{b}" for k in pii.KINDS for a, b in base[k])
+        assert row["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        assert row["spans"] == ",".join(
+            f"{k}:{a}:{b}" for k in pii.KINDS for a, b in sorted(base[k] + added[k]))
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [len(base[k]) for k in pii.KINDS]

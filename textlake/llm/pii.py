@@ -99,10 +99,13 @@ def base_spans(text: str) -> dict[str, list[Span]]:
 
 # --- the normal form: a list of (character, first source character, end) --------------------
 
-# Letters of other scripts that look like Latin ones.
+# Letters that look like plain Latin ones: Cyrillic, Greek, Armenian, small capitals
+# and other Latin forms.
 LOOK_ALIKES = dict(zip(
-    "АВЕЅІЈКМНОРСТУХаеорсухіјѕһԁԛԝ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο" "ıɑɡ",
-    "ABESIJKMHOPCTYXaeopcyxijshdqw" "ABEZHIKMNOPTYXo" "iag"))
+    "АВЕЅІЈКМНОРСТУХаеорсухіјѕһԁԛԝвкмнтгьпѵӏүԌԚԜѴҮ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοαικνρτυχγϲϳ" "օոսհցզյ"
+    "ᴀʙᴄᴅᴇɢʜɪᴊᴋʟᴍɴᴏᴘʀꜱᴛᴜᴠᴡʏᴢ" "ıȷɑɡɩ",
+    "ABESIJKMHOPCTYXaeopcyxijshdqwbkmhtrbnvlyGQWVY" "ABEZHIKMNOPTYXoaikvptuxycj" "onuhgqj"
+    "abcdeghijklmnoprstuvwyz" "ijagi", strict=True))
 # Characters that are not seen.
 INVISIBLE = "­​‌‍‎‏⁠﻿"
 # Digits and "plus" in words, by language.
@@ -115,7 +118,7 @@ DIGIT_WORDS = {
 OTHER_WORDS = {"oh": "0", "plus": "+", "más": "+", "dash": "-", "hyphen": "-"}
 # Fixed values: "at" and "dot" in words.
 AT_WORDS, DOT_WORDS = "at|arobase|arroba", "dot|point|punkt|punto"
-#: Runs of fewer spelled digits are left alone.
+#: Shorter runs of spelled digits are left alone, but for those of two that follow a digit or a plus.
 MIN_SPELLED = 3
 
 SPELLED = {
@@ -123,22 +126,24 @@ SPELLED = {
     for value, word in enumerate(words.split())} | OTHER_WORDS
 _WORDS = "|".join(sorted(SPELLED, key=len, reverse=True))
 _SPELLED_RUN = re.compile(
-    rf"(?<!\w)(?:{_WORDS})(?:[\s,.\-]{{1,3}}(?:{_WORDS}|[0-9]+)(?!\w)){{{MIN_SPELLED - 1},}}", re.I)
+    rf"(?<!\w)(?:{_WORDS})(?:[\s,.\-]{{1,3}}(?:{_WORDS}|[0-9]+)(?!\w))+", re.I)
 _SPELLED_TOKEN = re.compile(rf"{_WORDS}|[0-9]+|[^\w\s]|\s+", re.I)
 _BRACKETED = re.compile(
     rf"\s*[\[({{<]\s*(?:(?P<at>{AT_WORDS}|@)|(?P<dot>{DOT_WORDS}|\.))\s*[\])}}>]\s*", re.I)
-_LABEL, _NAME = "[A-Za-z0-9-]{1,63}", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}"
+_LABEL, _NAME = "[A-Za-z0-9-]++", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++"
 # Words of two letters that are no country, and words that are no host; prose has
 # "at the dot on" too.
 _NO_COUNTRY = "an|du|el|en|et|go|he|hi|if|lo|ob|of|oh|ok|on|or|ou|ox|un|up|we|wo|zu"
 _NO_HOST = ("the|a|an|this|that|these|those|each|every|any|one|my|your|his|her|its|our|their|der|die|das|dem|den|"
             "ein|eine|einem|einer|le|la|les|un|une|el|los|las|una|ce|cette|este|esta|and|or|in|on|to|of|at")
+_NO_NAME = frozenset(_NO_HOST.split("|"))
 _HOST = rf"(?!(?:{_NO_HOST})\s){_LABEL}"
 # "at" as a word needs "dot" as a word; @ also goes with full stops.
 _SPACED_ADDRESS = re.compile(
-    rf"{_NAME}(?:\s+(?:{AT_WORDS})\s+{_HOST}(?P<more>(?:\s+(?:{DOT_WORDS})\s+{_LABEL}){{0,4}})"
-    rf"\s+(?:{DOT_WORDS})\s+(?P<ending>[A-Za-z]{{2,63}})(?![A-Za-z0-9-])"
-    rf"|\s*@\s*{_LABEL}(?:(?:\s+(?:{DOT_WORDS})\s+|\s*\.){_LABEL}){{1,5}})", re.I)
+    rf"{_NAME}(?:\s+(?:{AT_WORDS})\s+{_HOST}(?P<more>(?:\s+(?:{DOT_WORDS})\s+{_LABEL})*)"
+    rf"\s+(?:{DOT_WORDS})\s+(?P<ending>[A-Za-z]{{2,}})(?![A-Za-z0-9-])"
+    rf"|\s*@\s*{_LABEL}(?:(?:\s+(?:{DOT_WORDS})\s+|\s*\.){_LABEL})+)", re.I)
+_DOT_LABEL = re.compile(rf"\s(?:{DOT_WORDS})\s+({_LABEL})", re.I)
 _NO_ENDING = frozenset(_NO_COUNTRY.split("|"))
 # "at" as a word before a host with a bracketed dot.
 _AT_BEFORE_BRACKETS = re.compile(
@@ -147,8 +152,8 @@ _AT_BEFORE_BRACKETS = re.compile(
 _DIGIT_WORD = "|".join(w for w in sorted(SPELLED, key=len, reverse=True) if SPELLED[w].isdigit())
 _IP_PART = rf"(?:[0-9]+|(?:{_DIGIT_WORD})(?:[\s,\-]{{1,3}}(?:{_DIGIT_WORD}|[0-9]+)(?!\w)){{0,2}})"
 _SPACED_IP = re.compile(
-    rf"(?<!\w){_IP_PART}(?:(?:\s+(?:{DOT_WORDS})\s+|\.){_IP_PART}){{3}}(?!\w)", re.I)
-_IP_TOKEN = re.compile(rf"(?P<dot>\s+(?:{DOT_WORDS})\s+|\.)|[0-9]+|{_DIGIT_WORD}|[\s,\-]+", re.I)
+    rf"(?<!\w){_IP_PART}(?:(?:\s+(?:{DOT_WORDS}|\.)\s+|\.){_IP_PART}){{3}}(?!\w)", re.I)
+_IP_TOKEN = re.compile(rf"(?P<dot>\s+(?:{DOT_WORDS}|\.)\s+|\.)|[0-9]+|{_DIGIT_WORD}|[\s,\-]+", re.I)
 _SPACED_JOINT = re.compile(
     rf"(?P<at>\s+(?:{AT_WORDS})\s+|\s*@\s*)|(?P<dot>\s+(?:{DOT_WORDS})\s+|\s*\.)", re.I)
 
@@ -192,6 +197,7 @@ _SIGN_CHARS = re.compile(f"[{_changed_chars()}]")
 # address, or the words below.
 _SIGN_BRACKETS = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|@|{DOT_WORDS}|\.)\s*[\])}}>]", re.I)
 _SPACED_JOINTS = re.compile(r"\s[@.]|@\s")
+_SPACED_STOP = re.compile(r"\s\.\s")
 _DOT_WORDS = frozenset(DOT_WORDS.split("|"))
 _TOKEN = re.compile(r"\w+")
 
@@ -204,20 +210,21 @@ def lowered(text: str) -> str:
 def shows_signs(text: str) -> bool:
     """Whether a transducer may change a text; never false where one does.
 
-    The words are looked up one by one: a run of spelled digits is at least MIN_SPELLED words
-    in a row that are digit words or numbers.
+    The words are looked up one by one: a run of spelled digits is a digit word with another one
+    or a number behind it.
     """
     if not text.isascii() and _SIGN_CHARS.search(text) or _SIGN_BRACKETS.search(text):
         return True
-    if "@" in text and _SPACED_JOINTS.search(text):
+    if "@" in text and _SPACED_JOINTS.search(text) or _SPACED_STOP.search(text):
         return True
     words = _TOKEN.findall(lowered(text))
     if not _DOT_WORDS.isdisjoint(words):
         return True
     if SPELLED.keys().isdisjoint(words):
         return False
-    run = bytes(map(operator.or_, map(SPELLED.__contains__, words), map(str.isdecimal, words)))
-    return b"\1" * MIN_SPELLED in run
+    known = list(map(SPELLED.__contains__, words))
+    return any(map(operator.and_, known, map(
+        operator.or_, known[1:], map(str.isdecimal, words[1:]))))
 
 
 class Normal:
@@ -260,9 +267,18 @@ class Normal:
         return self.starts[span[0]], self.ends[span[1] - 1]
 
 
+def _follows_digit(text: str, at: int) -> bool:
+    """Whether a digit or plus stands before a place, with up to three signs of a number between."""
+    before = text[max(0, at - 4):at].rstrip(" ().-")
+    return before[-1:] == "+" or before[-1:].isdecimal()
+
+
 def _spelled_digits(text: str) -> Iterator[tuple[int, int, str]]:
     """Second transducer: runs of digits in words become digits; their separators go."""
     for run in _SPELLED_RUN.finditer(text):
+        n_digits = sum(token[0].isalnum() for token in _SPELLED_TOKEN.findall(run.group()))
+        if n_digits < MIN_SPELLED and not _follows_digit(text, run.start()):
+            continue
         for token in _SPELLED_TOKEN.finditer(text, *run.span()):
             word = token.group()
             if word.isdecimal() and word.isascii():
@@ -293,29 +309,57 @@ def _spaced_ips(text: str) -> Iterator[tuple[int, int, str]]:
                     lowered(word), "")
 
 
-def _ends_address(address: re.Match) -> bool:
-    """Whether a match ends as addresses do; those with @ need nothing more."""
-    ending = lowered(address["ending"] or "com")
+def _ends_address(ending: str) -> bool:
+    ending = lowered(ending)
+    if not ending.isascii() or not ending.isalpha():
+        return False
     return ending not in _NO_ENDING if len(ending) == 2 else ending in ENDINGS
 
 
-def _spaced_address(found: re.Match) -> re.Match | None:
-    """The longest part of a match with a known ending, or else all of it if it has two dot words."""
-    part = found
-    while part and not _ends_address(part):
-        part = _SPACED_ADDRESS.match(found.string, found.start(), part.start("ending") - 1)
-    return part or (found if found["more"] else None)
+def _address_end(found: re.Match) -> int | None:
+    """Where the longest part with a known ending ends, or else all of it if it has two dot words.
+
+    Addresses with @ need no known ending.
+    """
+    if found["ending"] is None or _ends_address(found["ending"]):
+        return found.end()
+    labels = list(_DOT_LABEL.finditer(found.string, *found.span()))
+    for label in reversed(labels[:-1]):
+        if _ends_address(label[1]):
+            return label.end()
+    return found.end() if found["more"] else None
+
+
+def _word_before(text: str, at: int, done: int, letters) -> int:
+    while at > done and letters(text[at - 1]):
+        at -= 1
+    return at
+
+
+def _name_start(text: str, start: int, done: int) -> int:
+    """Start of a name with written dots, such as "jo dot doe", that ends with the name at start."""
+    while True:
+        blank = _word_before(text, start, done, str.isspace)
+        dot = _word_before(text, blank, done, str.isalpha)
+        gap = _word_before(text, dot, done, str.isspace)
+        name = _word_before(text, gap, done, _LOCAL.__contains__)
+        if (blank == start or gap == dot or name == gap or lowered(text[dot:blank]) not in _DOT_WORDS
+                or lowered(text[name:gap]) in _NO_NAME):
+            return start
+        start = name
 
 
 def _spaced_signs(text: str) -> Iterator[tuple[int, int, str]]:
     """Sixth transducer: at and dot as words of their own, within what reads as an address."""
     at = 0
     while found := _SPACED_ADDRESS.search(text, at):
-        address = _spaced_address(found)
-        for joint in _SPACED_JOINT.finditer(text, *address.span()) if address else ():
-            if joint.group() not in ("@", "."):
-                yield joint.start(), joint.end(), "@" if joint["at"] else "."
-        at = (address or found).end()
+        end = _address_end(found)
+        if end is not None:
+            start = _name_start(text, found.start(), at)
+            for joint in _SPACED_JOINT.finditer(text, start, end):
+                if joint.group() not in ("@", "."):
+                    yield joint.start(), joint.end(), "@" if joint["at"] else "."
+        at = end or found.end()
 
 
 def normalise(source: str) -> Normal | None:
@@ -395,9 +439,13 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def pii_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts of base spans by kind, their digest, and all spans, one row per document.
+    """Counts of base spans by kind, their digest, and all spans, one row per row of ``docs``.
 
-    ``n_added`` counts the spans that the normal form adds; ``spans`` lists both sorts.
+    ``n_added`` counts the spans that the normal form adds; ``spans`` lists both sorts. Map-only,
+    over whole texts of any length. Null and empty texts have counts of 0, the digest of the empty
+    string and empty ``spans``. Null and repeated keys and equal rows are kept as they are; an empty
+    table gives an empty one. Columns other than key and text are not looked at, so their names
+    cannot clash.
     """
     rows = docs.select(f"`{key}`", f"`{text}`")
     names = [key, *(f"n_{kind}" for kind in KINDS), "n_added", "base_sha256", "spans"]
