@@ -3,6 +3,7 @@ import hashlib
 import io
 
 import pyarrow.fs
+import pytest
 import zstandard
 
 from textlake.llm import warc
@@ -52,3 +53,27 @@ def test_bundles_are_plain_zstandard_too(spark, tmp_path):
 def test_empty(spark):
     pages = spark.createDataFrame([], SCHEMA)
     assert warc.read_records(warc.write_bundles(warc.mark_revisits(pages))).count() == 0
+
+
+def test_record_ids_are_unique(spark):
+    rows = [(7, "u", "alone", 0)] * 3 + [(7, "u", "other", 0), (None, "u", "alone", 0),
+            (None, "u", "alone", 0), (None, None, None, 0), (8, "u", "one", 0), (9, "u", "one", 0),
+            (6, "v", "alone", 0)]
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    index = warc.write_bundles(warc.mark_revisits(pages))
+    ids = [r["record_id"] for r in index.collect()]
+    assert len(set(ids)) == len(ids) == len(rows)
+    assert "urn:page:9" in ids and "urn:revisit:8" in ids and "urn:revisit:6" in ids
+    assert sum(one.startswith("urn:page:7:") for one in ids) == 4
+    got = {r["record_id"]: r for r in warc.read_records(index).collect()}
+    assert set(got) == set(ids)
+    assert got["urn:revisit:6"]["refers_to"] == 7
+    one = next(i for i in ids if i.startswith("urn:page:7:"))
+    assert warc.read_records(index.filter(index["record_id"] == one)).count() == 1
+
+
+def test_names_of_stores(tmp_path):
+    assert warc.shared_file(f"file://{tmp_path}/a")[1] == f"{tmp_path}/a"
+    assert warc.shared_file("dbfs:/tmp/a")[1] == "/dbfs/tmp/a"
+    with pytest.raises(ValueError, match="viewfs"):
+        warc.shared_file("viewfs://x/a")

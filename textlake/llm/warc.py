@@ -101,12 +101,31 @@ def parse_record(data: bytes) -> dict:
     }
 
 
+def shared_file(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """File system and path of a file in the shared folder, as Python workers reach it.
+
+    Names that Spark has for a store are translated: s3a and s3n to s3, abfss to abfs, dbfs to its
+    mounted folder. Stores that Python cannot open are an error that names the folder.
+    """
+    scheme, colon, rest = uri.partition(":")
+    if scheme == "dbfs":
+        uri = "file:///dbfs/" + rest.lstrip("/")
+    elif colon:
+        uri = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme) + ":" + rest
+    try:
+        return pyarrow.fs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as error:
+        raise ValueError(f"bundles can't be kept in {uri}: give write_bundles a folder that "
+                         f"Python workers can open ({error})") from error
+
+
 class _Bundle:
     """One bundle being written: frames, then the footer that lists them."""
 
     def __init__(self, folder: str):
-        self.name = f"{folder}/{uuid.uuid4().hex}.warc.zst"
-        files, path = pyarrow.fs.FileSystem.from_uri(self.name)
+        self.key, self.records = uuid.uuid4().hex, 0
+        self.name = f"{folder}/{self.key}.warc.zst"
+        files, path = shared_file(self.name)
         files.create_dir(path.rpartition("/")[0], recursive=True)
         self.out = files.open_output_stream(path, compression=None)
         self.sizes: list[tuple[int, int]] = []
@@ -160,12 +179,16 @@ def _write(folder: str):
 
         for batch in batches:
             for row in batch.to_pylist():
-                data = record_bytes(row["record_id"], row["page_id"], row["url"],
-                                    row["payload"] or b"", row["refers_to"])
                 bundle = bundle or _Bundle(folder)
+                record_id = row["record_id"]
+                if row["repeated"]:  # set apart by where it is written
+                    record_id += f":{bundle.key}:{bundle.records}"
+                bundle.records += 1
+                data = record_bytes(record_id, row["page_id"], row["url"],
+                                    row["payload"] or b"", row["refers_to"])
                 if frame and size + len(data) > FRAME_BYTES:
                     flush()
-                index.append((row["record_id"], bundle.name, len(bundle.sizes), size, len(data)))
+                index.append((record_id, bundle.name, len(bundle.sizes), size, len(data)))
                 frame.append(data)
                 size += len(data)
                 if bundle.written >= BUNDLE_BYTES:
@@ -186,7 +209,9 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
     Of the rows with equal payloads of at least ``min_bytes`` bytes, that with the largest page_id
     is the response. Rows that share payload and page_id are the same page and are all written
-    alike; rows without page_id revisit, unless all of their group lack one.
+    alike; rows without page_id revisit, unless all of their group lack one. A null html is an
+    empty payload; payloads of any length are hashed whole. An empty table gives an empty one, and
+    columns other than page_id, url and html are not looked at.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -207,17 +232,28 @@ def write_bundles(records: DataFrame, folder: str | None = None) -> DataFrame:
     Each task writes bundles of its own under names that no other attempt uses, into a folder that
     all executors share. The index is made of what the successful attempts return, so bundles of
     lost or repeated tasks are never read. A task holds one frame at a time. A record larger than
-    a frame has a frame to itself. An empty table gives an empty index and no bundle.
+    a frame has a frame to itself. An empty table gives an empty index and no bundle. Columns other
+    than the four are left out.
+
+    Record ids are unique. The response of a page that has one record is ``urn:page:<page_id>``;
+    records of a page_id that occurs several times, or of none, add bundle and number. A revisit
+    names its response by page, so where that page is repeated, by what their ids begin with.
     """
     folder = folder or scratch_path(records.sparkSession, "bundles")
-    named = records.withColumn("record_id", F.when(
-        F.col("page_id").isNotNull() & F.col("refers_to").isNull(),
-        F.concat(F.lit("urn:page:"), F.col("page_id")),
-    ).otherwise(F.concat(
-        F.lit("urn:record:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")),
-        F.lit(":"), F.sha1(F.concat_ws(" ", "url", F.sha1("payload"))))))
-    return stored(named.select("record_id", "page_id", "url", "payload", "refers_to").mapInArrow(
-        _write(folder), INDEX_SCHEMA), "warc-index")
+    records = records.select("page_id", "url", "payload", "refers_to")
+    kind = F.when(F.col("refers_to").isNull(), F.lit("urn:page:")).otherwise(F.lit("urn:revisit:"))
+    named = records.withColumns({
+        "record_id": F.concat(kind, F.coalesce(F.col("page_id").cast("string"), F.lit("none"))),
+        "repeated": F.col("page_id").isNull()})
+    twice = stored(records.filter("page_id IS NOT NULL").groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+            F.col("page_id").alias("twice")), "repeated-pages")
+    if not twice.isEmpty():
+        named = named.join(twice, F.col("page_id") == F.col("twice"), "left").withColumn(
+            "repeated", F.col("repeated") | F.col("twice").isNotNull())
+    return stored(named.select(
+        "record_id", "page_id", "url", "payload", "refers_to", "repeated").mapInArrow(
+            _write(folder), INDEX_SCHEMA), "warc-index")
 
 
 def _read(batches) -> Iterator[pa.RecordBatch]:
@@ -230,7 +266,7 @@ def _read(batches) -> Iterator[pa.RecordBatch]:
             if row["bundle"] != opened:
                 if files is not None:
                     files.close()
-                system, path = pyarrow.fs.FileSystem.from_uri(row["bundle"])
+                system, path = shared_file(row["bundle"])
                 files, opened = system.open_input_file(path), row["bundle"]
                 table = seek_table(files)
             offset, packed, plain = table[row["frame"]]
