@@ -51,7 +51,8 @@ def learn(
     The sample is spread over salts by a hash of the text, so that no task ranks all rows of a
     language; Spark limits each group before its shuffle. Texts longer than SAMPLE_CHARS are
     sampled by their first SAMPLE_CHARS characters. Rows without language or without a letter are
-    not learned from. Equal texts count once.
+    not learned from. Equal texts count once. What comes to the driver is cut to about
+    DICTIONARY_BYTES and one more text a language.
     """
     rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.substring(
         F.col(f"`{text}`"), 1, SAMPLE_CHARS).alias("text")).filter(
@@ -60,14 +61,22 @@ def learn(
     salted = rows.withColumn("order", order).withColumn("salt", F.pmod("order", F.lit(SALTS)))
     place = F.row_number().over(Window.partitionBy("lang", "salt").orderBy("order", "text"))
     sample = salted.withColumn("place", place).filter(F.col("place") <= ROWS_PER_SALT)
-    held = stored(sample.select("lang", "order", "text").distinct(), "language-sample")
+    # Signs and digits are one blank in the normal form, and each letter at least one byte of it.
+    texts = sample.select("lang", "order", "text").distinct().withColumn(
+        "text", F.regexp_replace("text", r"[\p{P}\p{Z}\p{Nd}\p{S}\p{Cc}]+", " "))
+    before = F.sum(F.length(F.regexp_replace("text", r"\P{L}", ""))).over(
+        Window.partitionBy("lang").orderBy("order", "text").rowsBetween(
+            Window.unboundedPreceding, -1))
+    needed = texts.withColumn("before", before).filter(
+        F.coalesce("before", F.lit(0)) < DICTIONARY_BYTES).drop("before")
+    held = stored(needed, "language-sample")
     if held.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    texts: dict[str, list[str]] = {}
+    forms: dict[str, list[str]] = {}
     for row in sorted(held.collect()):
-        texts.setdefault(row["lang"], []).append(normal_form(row["text"]))
+        forms.setdefault(row["lang"], []).append(normal_form(row["text"]))
     found = {}
-    for name, own in texts.items():
+    for name, own in forms.items():
         held, size = [], 0
         for one in (x.encode() for x in own):
             held.append(one)
