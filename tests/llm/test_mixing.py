@@ -60,3 +60,11 @@ def test_odd_rows(odd_documents, no_documents):
     assert mixing.mix_report(no_documents).count() == 0 == mixing.mix(no_documents).count()
     same = [r["repeats"] for r in rows if r["doc_id"] == 6]
     assert same[0] == same[1]
+
+
+def test_names_with_dots(spark, small):
+    plain = mixing.mix_report(small)
+    dotted = small.withColumnsRenamed({"doc_id": "a.id", "text": "a.text", "source": "of.it"})
+    options = {"key": "a.id", "text": "a.text", "source": "of.it"}
+    assert sorted(mixing.mix_report(dotted, **options).collect()) == sorted(plain.collect())
+    assert mixing.mix(dotted, **options).columns == dotted.columns

@@ -135,7 +135,13 @@ def encode_table(
 def encode_digests(
     docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """``key, n_tokens, ids_sha256, decoded_sha256`` of each text, encoded and decoded again."""
+    """``key, n_tokens, ids_sha256, decoded_sha256`` of each text, encoded and decoded again.
+
+    One row per row of ``docs``, null and repeated keys and equal rows included. A null text is an
+    empty one: no tokens, both digests those of nothing. Long texts are encoded whole, piece by
+    piece. An empty table gives an empty one. Columns other than key and text are not looked at, so
+    their names cannot clash.
+    """
     rows = docs.select(f"`{key}`", f"`{text}`")
     kind = dict(rows.dtypes)[key]
     return rows.mapInArrow(

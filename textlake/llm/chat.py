@@ -81,6 +81,8 @@ def format_preferences(turns: DataFrame) -> DataFrame:
 
     A pair whose sides are equal has empty completions. A side without turns gives an empty
     completion, and the whole of the other side is its completion. An empty table gives none.
+    Nulls, ties and repeated turns are handled as in ``preference_segments``; texts of any length are
+    rendered whole, all turns of a pair in one row. Other columns are not looked at.
     """
     parts = {part: _joined(part) for part in ("prompt", "chosen", "rejected")}
     return preference_segments(turns).groupBy("pair_id").agg(

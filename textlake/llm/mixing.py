@@ -108,6 +108,11 @@ def _extra_cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.when(F.col("fits"), F.col("h"))), before).alias("cut"))
 
 
+def _named(name: str) -> Column:
+    """A column by its name, dots and all."""
+    return F.col(f"`{name}`")
+
+
 def plan_mix(
     docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = (5, 2, 1), share: float = 1.0, max_epochs: float = 3.0,
@@ -121,9 +126,9 @@ def plan_mix(
     Sources of size 0 have target 0. An empty table gives two empty tables.
     """
     sizes = stored(docs.select(
-        F.col(key).alias("doc_id"), F.col(source).alias("source"),
-        n_words(F.col(text)).alias("size"),
-        seeded_hash(F.col(key), F.col(text), seed).alias("h")), "sizes")
+        _named(key).alias("doc_id"), _named(source).alias("source"),
+        n_words(_named(text)).alias("size"),
+        seeded_hash(_named(key), _named(text), seed).alias("h")), "sizes")
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     weighted = stored(source_weights(sources, weights), "weights")
     total = share * float(weighted.agg(F.sum("source_size")).first()[0] or 0)
@@ -160,8 +165,8 @@ def mix(
     names = docs.columns
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"),
-        F.col(source).alias("_of"),
-        seeded_hash(F.col(key), F.col(text), seed).alias("_h"))
+        _named(source).alias("_of"),
+        seeded_hash(_named(key), _named(text), seed).alias("_h"))
     times = taken_times(F.col("_h"), F.col("whole"), F.col("cut"))
     return (
         rows.join(plan, F.col("_of").eqNullSafe(F.col("source")))
@@ -172,7 +177,13 @@ def mix(
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, repeats`` for every document."""
+    """``doc_id, size, source_size, target, taken, repeats``, one row per row of ``docs``.
+
+    Nulls, ties and repeated rows count as in ``plan_mix``: a null text has size 0 and takes
+    nothing, a null source is one of its own, rows with the same key are taken alike. Texts are
+    counted whole. An empty table gives an empty one. Columns other than key, text and source are
+    not looked at, so their names cannot clash.
+    """
     sizes, plan = plan_mix(docs, **options)
     rows = sizes.withColumnRenamed("source", "_of")
     times = taken_times(F.col("h"), F.col("whole"), F.col("cut"))
