@@ -20,7 +20,13 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined, labelled with it; rejected ones go."""
+    """Documents whose language is determined, labelled with it; rejected ones go.
+
+    Null and empty texts and texts without a letter have no language and go, as do all where nothing
+    is labelled. Whole texts are judged; a tie between languages is a rejection. Rows without an id
+    may be learned from. Repeated rows stay repeated, an empty table stays empty, and columns other
+    than those of documents are left out, here and in all stages.
+    """
     dictionaries = langid.learn(docs.filter(~langid.is_held_out(F.col("doc_id"))))
     found = langid.identify(docs.select(COLUMNS), dictionaries)
     return found.filter(~F.col("lang_rejected")).withColumn("lang", F.col("lang_pred")).select(
@@ -28,7 +34,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated three-line windows; those with nothing left go."""
+    """Documents without repeated three-line windows; those with nothing left go.
+
+    Null and empty texts have no lines and stay as they are, as do rows without an id. Rows that
+    share an id are one place: none of their equal windows is a later one, and what is removed in
+    one is removed in all. Texts of any length are looked through whole. An empty table stays empty.
+    """
     cleaned = lines.dedup_lines(docs).filter((F.col("n_removed") == 0) | (F.trim(F.translate(
         "text", "\n\t\r", "   ")) != ""))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
@@ -56,12 +67,21 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    A null source is one of its own. Null and empty texts have no words and are repeated as often as
+    their source's plan says. Rows that share an id, or without ids a text, are taken alike. Texts
+    are counted whole; an empty table stays empty.
+    """
     return mixing.mix(docs).select(COLUMNS)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded bytes of every document taken."""
+    """Token counts and digests of ids and decoded bytes of every document taken.
+
+    One row per row, null ids and repeated rows included. A null text is an empty one. Long texts are
+    encoded whole; an empty table gives an empty one.
+    """
     return bpe.encode_digests(
         docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
