@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from textlake.plans import queries
 from textlake.sources import parallel_csv, readers
 
 NAMES = ["id", "content", "domain"]
@@ -135,3 +136,33 @@ def test_files_of_several_layouts_below_one_path(spark, tmp_path):
     assert few.columns == ["content", "other", "id"] and few.count() == 4
     with pytest.raises(ValueError, match="no file with a header"):
         readers.read_mixed_csv(spark, str(tmp_path / "e.csv"))
+
+
+@pytest.mark.parametrize("name", ["csv_parallel_scan", "tsv_parallel_scan"])
+def test_larger_inputs_get_more_files_and_larger_ranges(spark, tmp_path, monkeypatch, name):
+    """No task writes a file of more than FILE_BYTES, and a file has few ranges."""
+    texts = [f'{i} "a"\n' + "x, \t" * 200 for i in range(300)]
+    spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)],
+                          "doc_id long, text string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 0, "user", t) for i, t in enumerate(texts)],
+                          "conv_id long, turn long, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet"))
+    ranges, cut = [], parallel_csv.with_range_bytes
+    monkeypatch.setattr(queries, "FILE_BYTES", 1 << 16, raising=False)
+    monkeypatch.setattr(queries, "scratch_path", lambda *_: str(tmp_path / "made"))
+    monkeypatch.setattr(parallel_csv, "with_range_bytes", lambda spark, size: (
+        ranges.append(size), cut(spark, size))[1])
+    found = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    if name == "csv_parallel_scan":
+        want = {(str(i), t + '\n"s", \t"" \r\n\n') for i, t in enumerate(texts)}
+        assert {(r["id"], r["content"]) for r in found} == want
+    else:
+        assert {(r["id"], r["statement"]) for r in found} == {
+            (f"{i}-0", t + '\t"\n') for i, t in enumerate(texts)}
+    assert len(found) == len(texts)
+    made = [f.stat().st_size for f in tmp_path.glob("made*/part-*")]
+    assert len(made) > 2 and max(made) < 2 << 16
+    assert max(made) <= 8 * ranges[0]
+
+
