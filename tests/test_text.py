@@ -1,8 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from textlake.functions import labels as L
+from textlake.functions import stemming
 from textlake.functions import text as T
+from textlake.functions import treebank
 from textlake.functions.stemming import stem
 from textlake.functions.stopwords import ENGLISH
 from textlake.functions.timestamps import parse_mixed
@@ -170,3 +174,42 @@ def test_treebank_words(spark):
 def test_raw_words_are_stemmed(spark):
     assert apply(spark, process_raw_words, "They're NOT running, \"quickly\"!") == [
         "re run , `` quick '' !"]
+
+
+def test_ends_cover_every_rule():
+    """A word without one of the ends can not be changed by any step."""
+    suffixes = {*stemming.STEP_2, *stemming.STEP_3, *stemming.STEP_4, *stemming._exceptions(),
+                "s", "ied", "ies", "eed", "eedly", "ing", "ingly", "ed", "edly", "y", "e", "ll"}
+    assert all(suffix.endswith(stemming.ENDS) for suffix in suffixes)
+
+
+def test_cheap_tests_leave_no_match_out(spark):
+    """Texts that skip a rule or a step come out as if they had gone through all of them."""
+    rng = random.Random(3)
+    parts = ["cannot", "D'Ye", "wanna ", " 'twas", "''", '"', "``", "“", "’", ".", "...", ",", ":",
+             "1", "12-3-2020", "-", "--", "$", "?", "(", "]", "'s ", "N'T ", "word", "é", "Ã©", "ß",
+             "a@b.com", "www.x", "http://x.y", "1,000.5", "\n", " ", " ", " ", "running", "日本"]
+    df = spark.createDataFrame(
+        [("".join(rng.choices(parts, k=rng.randint(0, 9))),) for _ in range(400)] + [(None,)],
+        "t string")
+    t = F.col("t")
+    inner = treebank.squeeze_blanks(treebank.text_or_empty(t))
+    for pattern, replacement, _ in treebank.OPENING + treebank.PUNCTUATION:
+        inner = F.regexp_replace(inner, pattern, replacement)
+    plain = F.concat(F.lit(" "), inner, F.lit(" "))
+    for pattern, replacement, *_ in treebank.CLOSING + treebank.CONTRACTED:
+        plain = F.regexp_replace(plain, pattern, replacement)
+    folded = T.drop_marks(T.fold_letters(T.repair_encoding(t)))
+    pairs = {
+        "treebank": (treebank_words(t), T.split_normalized(plain)), "fold": (T.fold_ascii(t), folded),
+        "dates": (T.replace_dates(t), F.regexp_replace(t, T.DATE, T.DATE_TOKEN)),
+        "urls": (T.replace_urls(t), F.regexp_replace(t, "(?U)" + T.URL, T.URL_TOKEN)),
+        "emails": (T.replace_emails(t), F.regexp_replace(t, T.EMAIL, T.EMAIL_TOKEN)),
+        "numbers": (T.replace_numbers(t), F.regexp_replace(t, T.NUMBER, "$1" + T.NUMBER_TOKEN)),
+        "words": (T.model_words(t), F.regexp_extract_all(
+            F.lower(T.text_or_empty(t)), F.lit(T.MODEL_WORD), F.lit(0)))}
+    wrong = df.select(*[F.count_if(~a.eqNullSafe(b)).alias(name) for name, (a, b) in pairs.items()])
+    assert not any(wrong.first())
+    stems = df.select(F.explode(treebank_words(F.lower(t))).alias("w")).select(
+        F.count_if(stemming.stem(F.col("w")) != stemming._stem_of(F.col("w"))))
+    assert stems.first()[0] == 0

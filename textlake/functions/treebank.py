@@ -7,35 +7,40 @@ sentence: only its last full stop is cut off, so split into sentences first wher
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textlake.functions.text import split_normalized, squeeze_blanks, text_or_empty
+from textlake.functions.unicode import let
 
-# The rewriting rules of the convention, in order.
+# The rewriting rules of the convention, in order. The third part names pieces of
+# text: a rule can only match where one of them is, and looking for them is much faster.
 OPENING = (
-    (r"([«“‘„]|`+)", " $1 "),
-    (r'^"', " `` "),
-    (r"""([ (\[{<])(?:"|'')""", "$1 `` "),
+    (r"([«“‘„]|`+)", " $1 ", "«“‘„`"),
+    (r'^"', " `` ", '"'),
+    (r"""([ (\[{<])(?:"|'')""", "$1 `` ", ('"', "''")),
     # an apostrophe before a single letter that is no ending
-    (r"'([A-CE-LO-RU-Za-ce-lo-ru-z0-9_])\b", "' $1"),
+    (r"'([A-CE-LO-RU-Za-ce-lo-ru-z0-9_])\b", "' $1", "'"),
 )
 PUNCTUATION = (
-    (r"""([^.])\.([\])}>"'»”’ ]*)$""", "$1 . $2 "),
-    (r"([:,])([^0-9])", " $1 $2"),
-    (r"([:,])$", " $1 "),
-    (r"(\.{2,})", " $1 "),
-    (r"([;@#$%&?!*])", " $1 "),
-    (r"([^'])' ", "$1 ' "),
-    (r"([\]\[(){}<>])", " $1 "),
-    (r"--", " -- "),
+    (r"""([^.])\.([\])}>"'»”’ ]*)$""", "$1 . $2 ", "."),
+    (r"([:,])([^0-9])", " $1 $2", ":,"),
+    (r"([:,])$", " $1 ", ":,"),
+    (r"(\.{2,})", " $1 ", ("..",)),
+    (r"([;@#$%&?!*])", " $1 ", ";@#$%&?!*"),
+    (r"([^'])' ", "$1 ' ", ("' ",)),
+    (r"([\]\[(){}<>])", " $1 ", "][(){}<>"),
+    (r"--", " -- ", ("--",)),
 )
 CLOSING = (
-    (r"([»”’])", " $1 "),
-    (r"""(?:''|")""", " '' "),
-    (r" +", " "),
-    (r"([^' ])('[sS]|'[mM]|'[dD]|') ", "$1 $2 "),
-    (r"([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "$1 $2 "),
+    (r"([»”’])", " $1 ", "»”’"),
+    (r"""(?:''|")""", " '' ", ("''", '"')),
+    (r" {2,}", " ", ("  ",)),
+    (r"([^' ])('[sS]|'[mM]|'[dD]|') ", "$1 $2 ", "'"),
+    (r"([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "$1 $2 ", "'"),
 )
 CONTRACTED = (
     (r"(?i)\b(can)(not)\b", " $1 $2 "),
@@ -47,16 +52,33 @@ CONTRACTED = (
     (r"(?i)\b(wan)(na) ", " $1 $2 "),
     (r"(?i) ('t)(is|was)\b", " $1 $2 "),
 )
+#: One of these is in any lower-case text in which one of the above matches.
+CONTRACTED_SIGNS = (
+    "cannot", "d'ye", "gimme", "lemme", "gonna", "gotta", "more'n", "wanna", "'tis", "'twas")
+
+
+def _holds(text: Column, pieces: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [text.contains(piece) for piece in pieces])
 
 
-def _rewritten(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
-    for pattern, replacement in rules:
-        text = F.regexp_replace(text, pattern, replacement)
+def _rewritten(text: Column, rules: tuple[tuple[str, str, Sequence[str]], ...]) -> Column:
+    for pattern, replacement, pieces in rules:
+        # the function is called at once, so it sees this round's rule
+        text = let(text, lambda t: F.when(
+            _holds(t, pieces), F.regexp_replace(t, pattern, replacement)).otherwise(t))
     return text
 
 
+def _parted(text: Column) -> Column:
+    """Contracted forms without a sign between their parts, split."""
+    split = text
+    for pattern, replacement in CONTRACTED:
+        split = F.regexp_replace(split, pattern, replacement)
+    return F.when(let(F.lower(text), lambda t: _holds(t, CONTRACTED_SIGNS)), split).otherwise(text)
+
+
 def treebank_words(text: Column) -> Column:
     """Array of words and signs; null, empty and blank text give an empty array."""
     inner = _rewritten(squeeze_blanks(text_or_empty(text)), OPENING + PUNCTUATION)
     padded = F.concat(F.lit(" "), inner, F.lit(" "))
-    return split_normalized(_rewritten(padded, CLOSING + CONTRACTED))
+    return split_normalized(let(_rewritten(padded, CLOSING), _parted))
