@@ -85,6 +85,21 @@ def test_heavy_terms_are_exact(spark, counters, monkeypatch):
     assert vocabulary.heavy_terms(df, words, 10, 4).collect() == want
 
 
+def test_words_are_made_once(spark):
+    """However often the passes are repeated."""
+    made = spark.sparkContext.accumulator(0)
+
+    def cut(text):
+        made.add(1)
+        return text.split(" ")
+
+    texts = [" ".join(f"w{i * j % 61}" for j in range(40)) for i in range(100)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4)
+    words = F.udf(cut, "array<string>")("t")
+    assert vocabulary.heavy_terms(df, words, 10, 4).count() == 10
+    assert made.value == len(texts)
+
+
 def test_no_terms(spark):
     df = spark.createDataFrame([], "t string")
     assert vocabulary.heavy_terms(df, F.split("t", " ")).count() == 0
