@@ -119,6 +119,38 @@ def test_feature_sets_add_columns(spark, toy):
         features.feature_stages(features.bow_transformer(features.bow_vocabulary(toy)), "images")
 
 
+def test_feature_sets_compared_equal_those_trained_alone(spark, toy, monkeypatch):
+    made, make = [], features.bow_vocabulary
+    monkeypatch.setattr(
+        jobs.features, "bow_vocabulary", lambda *args: made.append(args) or make(*args))
+    rows = toy.unionByName(toy.limit(3).withColumn("type", F.lit(None).cast("int"))).unionByName(
+        toy.limit(3).withColumn("content_processed", F.lit(None).cast("string")))
+    compared = jobs.compare_logreg_job(rows, rows, max_iter=20)
+    assert list(compared) == ["text", "metadata"] and len(made) == 1
+    for name, (model, tables) in compared.items():
+        alone, own = jobs.train_logreg_job(rows, rows, name, max_iter=20)
+        assert model.stages[-1].coefficients.toArray() == pytest.approx(
+            alone.stages[-1].coefficients.toArray(), abs=1e-9)
+        assert sorted(tables["confusion_matrix"].collect()) == sorted(
+            own["confusion_matrix"].collect())
+        assert tables["f1_scores"].collect() == own["f1_scores"].collect()
+        assert tables["predictions"].count() == 40
+
+
+def test_tasks_of_a_fit_follow_the_entries(spark, toy):
+    stages = features.feature_stages(
+        features.bow_transformer(features.bow_vocabulary(toy)), "text")
+    for parts in (1, 16):
+        vectors = toy.repartition(parts)
+        for stage in stages:
+            vectors = stage.transform(vectors)
+        assert models._in_sized_tasks(vectors).rdd.getNumPartitions() == 1
+        dealt = models._in_sized_tasks(vectors, 100)
+        assert dealt.rdd.getNumPartitions() == 3  # of 40 dense rows of six entries
+        assert dealt.count() == 40
+    assert models._in_sized_tasks(vectors.limit(0)).count() == 0
+
+
 def test_boosted_trees_learn(spark, toy):
     model, tables = jobs.train_gbt_job(toy, toy, trees=2, depth=2)
     assert tables["accuracy"].first()[0] == 1.0
@@ -148,6 +180,22 @@ def test_evaluation_counts_every_class_and_refuses_nulls(spark):
                 spark.createDataFrame(bad, "label int, prediction int")).collect()
 
 
+def test_predictions_are_made_once_for_all_tables(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def predicted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame([(0, 0), (0, 1), (1, 1)], "label int, prediction int")
+    tables = evaluation.evaluate(df.mapInPandas(predicted, df.schema), LABEL_NAMES)
+    assert sorted(map(tuple, tables["confusion_matrix"].collect())) == [
+        (0, 0, 1), (0, 1, 1), (1, 0, 0), (1, 1, 1)]
+    assert tables["classification_report"].count() == 4
+    assert seen.value == 3
+
+
 def test_dense_and_sparse_entries_agree(spark):
     from pyspark.ml.linalg import Vectors
     df = spark.createDataFrame(
