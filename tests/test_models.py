@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +169,28 @@ def test_tuning_scores_every_setting(spark, toy):
     assert len(names) == 16 and names[-6:] == features.STYLE_FEATURES
 
 
+def test_wide_rows_are_not_shuffled_to_draw_them(spark, toy, monkeypatch):
+    plans, store = {}, jobs._stored
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(jobs, "_stored", stored)
+    monkeypatch.setattr(jobs.models, "tune_gbt", lambda drawn, *_: drawn.collect())
+    drawn, threshold = {}, "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, -1)
+    for most in (60, 59):
+        monkeypatch.setattr(jobs, "BROADCAST_DRAWS", most)
+        drawn[most] = sorted((r["id"], r["fold"], r["copies"]) for r in jobs.tune_job(
+            toy, n_samples=60))
+        last_join = re.search(r"(BroadcastHash|SortMerge)Join", plans["drawn"]).group(1)
+        assert last_join == ("BroadcastHash" if most == 60 else "SortMerge")
+    spark.conf.set(threshold, before)
+    assert drawn[60] == drawn[59] and sum(n for _, _, n in drawn[60]) == 60
+
+
 def test_evaluation_counts_every_class_and_refuses_nulls(spark):
     rows = [(0, 0), (1, 1), (2, 0), (2, 2), (0, 3)]
     tables = evaluation.evaluate(spark.createDataFrame(rows, "label int, prediction int"))
