@@ -80,6 +80,22 @@ def test_pairs_are_complete(spark):
         assert len(pairs) == len(want) and {frozenset(p) for p in pairs} == want
 
 
+def test_tables_of_words_are_not_broadcast(spark, documents, monkeypatch):
+    """Exploded chunks and grams pass for no larger than the stored words they are made of."""
+    plans, store = [], spelling.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(spelling, "stored", stored)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    found = spelling.spelling_forms(documents)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    joins = re.findall(r"(BroadcastHash|SortMerge)Join .*?(Inner|LeftOuter)", "\n".join(plans))
+    assert len(joins) >= 6 and {kind for kind, _ in joins} == {"SortMerge"}
+
+
 def test_long_words(spark):
     random.seed(6)
     long = "".join(random.choices("abc", k=20_000))

@@ -104,7 +104,8 @@ def near_pairs(words: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
             for side, name in zip(sides, ("a", "b")))
         # words of one length meet in both roles; the smaller gives the chunk
         once = (F.length("a") > F.length("b")) | (F.col("a") < F.col("b"))
-        return left.join(right, by).filter(
+        # by merging: Spark takes a side for no larger than before its words were exploded
+        return left.join(right.hint("merge"), by).filter(
             (F.abs(F.col("a_at") - F.col("b_at")) <= 1) & once
             & (F.levenshtein("a", "b", 1) == 1)).select("a", "b")
 
@@ -132,6 +133,8 @@ def spelling_forms(
     A word's form is its most frequent near word (ties: the smallest in code-point order), if that
     has FORM_TIMES its count at least; its root is the end of the chain of forms, or itself.
 
+    Tables that grow with the words are joined by merging and never sent to the driver.
+
     Null and empty texts have no words. A null key counts as the empty string before the colon of
     the hashed name. Repeated rows count as often as they occur. Texts of any length are read
     whole, and words of any length take part. Other columns are not read, whatever their names. An empty table returns nothing.
@@ -142,11 +145,11 @@ def spelling_forms(
     both = pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("word"), F.col("b").alias("near")),
         F.struct(F.col("b").alias("word"), F.col("a").alias("near")))).alias("pair")).select("pair.*")
-    best = both.join(counted, "near").groupBy("word").agg(
+    best = both.join(counted.hint("merge"), "near").groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"),
         F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     enough = -F.col("best.less") >= FORM_TIMES * F.col("n")
-    linked = stored(words.join(best, "word", "left").select(
+    linked = stored(words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(enough, F.col("best.near")).alias("form"),
         F.when(enough, -F.col("best.less")).alias("form_n")), "forms")
@@ -155,9 +158,9 @@ def spelling_forms(
     largest = words.agg(F.max("n")).first()[0] or 0
     for _ in range(chain_rounds(largest)):
         further = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        roots = stored(roots.join(further, "root", "left").select(
+        roots = stored(roots.join(further.hint("merge"), "root", "left").select(
             "word", F.coalesce("next", "root").alias("root")), "roots")
-    return linked.join(roots, "word", "left").select(
+    return linked.join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
